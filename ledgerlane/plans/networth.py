@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from ledgerlane.config import ModelConfig
 from ledgerlane.functions.clock import days_before
 from ledgerlane.operators.latest import order_of, pick_latest
+from ledgerlane.sources.warehouse import read_table, write_model
 
 AMOUNTS = ("networth", "investment_amount")
+LABEL = "date_stamp"
 
 
 def networth(
@@ -37,74 +40,85 @@ def networth(
     return past.unionByName(current)
 
 
-def networth_comparison(series: DataFrame, config: ModelConfig) -> DataFrame:
+def daily_networth(series: DataFrame, config: ModelConfig) -> DataFrame:
+    """The series' newest reading per portfolio and date label.
+
+    Next to it stand the label's first instant and the portfolio's newest one.
+    One row per calendar day is left of however many readings, combined
+    map-side, so the window partition that finds the newest instant is bounded
+    by the calendar.
+    """
+    keys = list(config.keys)
+    ordered = _with_order(series, config)
+    return (
+        ordered.groupBy(*keys, LABEL)
+        .agg(
+            F.min("datetime_stamp").alias("label_start"),
+            F.max("datetime_stamp").alias("datetime_stamp"),
+            F.max("reading_order").alias("reading_order"),
+            *[c.alias(a) for a, c in zip(AMOUNTS, pick_latest(AMOUNTS, "reading_order"))],
+        )
+        .withColumn("newest", F.max("datetime_stamp").over(Window.partitionBy(*keys)))
+    )
+
+
+def networth_comparison(series: DataFrame, config: ModelConfig, folder: str) -> DataFrame:
     """Latest net worth, and the latest at least N whole days before it.
 
     "N days before" depends on each portfolio's newest reading, so a direct
-    solution would bring the whole series together by portfolio. Instead:
-
-    1. Shrink the series to the newest reading per portfolio and date label
-       (combined map-side; one row per calendar day leaves this step).
-    2. Attach the portfolio's newest instant. For nearly all labels the newest
-       reading alone settles every age: all of the label lies on one side of
-       the age limit.
-    3. Only a label that the limit cuts in two needs its single readings. Those
-       labels, at most a few per portfolio, go back to the series: first their
-       dates alone filter it where it lies (and prune a table partitioned by
-       that date), then what is left is joined on (portfolio, date label).
+    solution would bring the whole series together by portfolio. Instead the
+    series is first shrunk to daily rows, stored in ``folder`` because the
+    steps after it read them several times. For nearly all date labels the
+    newest reading alone settles every age, as all of the label lies on one
+    side of the age limit. Only a label that a limit cuts in two, at most a few
+    per portfolio, needs its single readings: their dates filter the series
+    where it lies (and prune a table partitioned by date), and what is left is
+    joined on (portfolio, date label).
 
     With no keys the result is one row, of nulls if the series is empty.
     """
     keys = list(config.keys)
-    label = "date_stamp"
-    ordered = series.withColumn(
-        "_order", order_of(series, "datetime_stamp", config.tie_breaker)
-    ).select(*keys, label, "datetime_stamp", "_order", *AMOUNTS)
-
-    daily = ordered.groupBy(*keys, label).agg(
-        F.min("datetime_stamp").alias("_first_ts"),
-        F.max("datetime_stamp").alias("datetime_stamp"),
-        F.max("_order").alias("_order"),
-        *[c.alias(a) for a, c in zip(AMOUNTS, pick_latest(AMOUNTS, "_order"))],
-    )
-    # At most one row per calendar day in a window partition.
-    aged = daily.withColumn(
-        "_now", F.max("datetime_stamp").over(Window.partitionBy(*keys))
-    )
+    write_model(daily_networth(series, config), folder)
+    daily = read_table(series.sparkSession, folder)
 
-    limits = {name: days_before(F.col("_now"), days) for name, days in config.ages.items()}
+    limits = {name: days_before(F.col("newest"), days) for name, days in config.ages.items()}
     is_cut = [
-        (F.col("_first_ts") <= limit) & (F.col("datetime_stamp") > limit)
+        (F.col("label_start") <= limit) & (F.col("datetime_stamp") > limit)
         for limit in limits.values()
     ]
-    cut_labels = aged.filter(reduce(lambda a, b: a | b, is_cut)).select(*keys, label, "_now")
+    cut_labels = daily.filter(reduce(or_, is_cut)).select(*keys, LABEL, "newest")
 
-    candidate = [*keys, "datetime_stamp", "_now", "_order", *AMOUNTS]
-    candidates = aged.select(*candidate).unionByName(
-        _readings_of(ordered, cut_labels, keys, label).select(*candidate)
+    candidate = [*keys, "datetime_stamp", "newest", "reading_order", *AMOUNTS]
+    candidates = daily.select(*candidate).unionByName(
+        _readings_of(_with_order(series, config), cut_labels, keys).select(*candidate)
     )
 
-    result = [("now", None)] + [
-        (name, F.col("datetime_stamp") <= limit) for name, limit in limits.items()
-    ]
-    picked = {
-        f"{amount}_{suffix}": pick_latest([amount], "_order", where)[0]
-        for amount in AMOUNTS
-        for suffix, where in result
-    }
-    return candidates.groupBy(*keys).agg(*[c.alias(name) for name, c in picked.items()])
+    conditions = {"now": None}
+    conditions.update({name: F.col("datetime_stamp") <= limit for name, limit in limits.items()})
+    return candidates.groupBy(*keys).agg(
+        *[
+            pick_latest([amount], "reading_order", where)[0].alias(f"{amount}_{name}")
+            for amount in AMOUNTS
+            for name, where in conditions.items()
+        ]
+    )
 
 
-def _readings_of(
-    ordered: DataFrame, cut_labels: DataFrame, keys: list[str], label: str
-) -> DataFrame:
+def _with_order(series: DataFrame, config: ModelConfig) -> DataFrame:
+    order = order_of(series, "datetime_stamp", config.tie_breaker)
+    return series.withColumn("reading_order", order).select(
+        *config.keys, LABEL, "datetime_stamp", "reading_order", *AMOUNTS
+    )
+
+
+def _readings_of(ordered: DataFrame, cut_labels: DataFrame, keys: list[str]) -> DataFrame:
     """All readings of the given (portfolio, date label) pairs."""
     # Safe to broadcast at any scale: distinct days, and a DATE column has no
     # more than 3.7 million values (about 30 MB) whatever the table size.
     on_cut_days = ordered.join(
-        F.broadcast(cut_labels.select(label).distinct()), label, "left_semi"
+        F.broadcast(cut_labels.select(LABEL).distinct()), LABEL, "left_semi"
     )
     if not keys:
         # One portfolio: its labels are distinct days, too.
-        return on_cut_days.join(F.broadcast(cut_labels), label)
-    return on_cut_days.join(cut_labels, [*keys, label])
+        return on_cut_days.join(F.broadcast(cut_labels), LABEL)
+    return on_cut_days.join(cut_labels, [*keys, LABEL])

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlane.config import ModelConfig
-from ledgerlane.functions.money import decimals_to_double
 from ledgerlane.operators.checks import require_not_null, require_unique
 from ledgerlane.operators.latest import latest_row
+from ledgerlane.operators.reshape import columns_to_rows
 from ledgerlane.plans.distribution import asset_distribution, asset_totals, stock_distribution
 from ledgerlane.plans.gains import gains_losses
 from ledgerlane.plans.networth import networth, networth_comparison
@@ -42,31 +44,39 @@ def run_models(
     staging: Staging,
     config: ModelConfig,
     folder: str,
-    table_prefix: str | None = None,
+    views: Collection[str] = ("networth",),
+    view_prefix: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Write every model below ``folder`` and return them, read from there.
-
-    Each model reads the stored result of the ones before it: the comparison
-    sees this run's net worth, and the shared part of the distributions is
-    computed once. Written tables also cut the lineage, so a lost executor
-    never recomputes an earlier model. With ``table_prefix`` the models are
-    also available as temporary views.
+    """Build every model, store it below ``folder`` and return it read from there.
+
+    Each model reads the result of the ones before it: the comparison sees this
+    run's net worth, and the shared part of the distributions is computed once.
+    Written tables also cut the lineage, so a lost executor never recomputes an
+    earlier model. Models named in ``views`` are not stored: net worth is a
+    projection of its sources, and a second copy of the whole history would
+    lose their date partitions. With ``view_prefix`` every model also becomes
+    a temporary view.
     """
     check_staging(staging, config)
     built: dict[str, DataFrame] = {}
 
     def build(name: str, make: Callable[[], DataFrame]) -> None:
-        path = f"{folder}/{name}"
-        write_model(make(), path)
-        built[name] = read_table(spark, path)
-        if table_prefix is not None:
-            built[name].createOrReplaceTempView(f"{table_prefix}{name}")
+        model = make()
+        if name not in views:
+            write_model(model, f"{folder}/{name}")
+            model = read_table(spark, f"{folder}/{name}", model.schema)
+        built[name] = model
+        if view_prefix is not None:
+            model.createOrReplaceTempView(f"{view_prefix}{name}")
 
     build(
         "networth",
         lambda: networth(staging.networth_historical, staging.account_data, config),
     )
-    build("networth_comparison", lambda: networth_comparison(built["networth"], config))
+    build(
+        "networth_comparison",
+        lambda: networth_comparison(built["networth"], config, f"{folder}/networth_daily"),
+    )
     build("gains_losses", lambda: gains_losses(staging.account_data, staging.dates, config))
     latest = latest_row(staging.account_data, config.keys, "datetime_now", config.tie_breaker)
     build(
@@ -84,20 +94,17 @@ def run_models(
 
 
 def run_summary(models: dict[str, DataFrame]) -> DataFrame:
-    """Rows, and the sum of every amount, per model column (long form)."""
+    """Row count of every model and total of each of its amounts (long form)."""
     parts = []
     for name, df in models.items():
-        amounts = [f.name for f in decimals_to_double(df).schema.fields if f.dataType.typeName() == "double"]
-        wide = df.agg(
-            F.count("*").alias("_rows"),
+        amounts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)]
+        totals = df.agg(
+            F.count("*").alias("row_count"),
             *[F.sum(a).cast("double").alias(a) for a in amounts],
         )
         parts.append(
-            wide.unpivot(["_rows"], amounts, "column_name", "total").select(
-                F.lit(name).alias("model"), "column_name", F.col("_rows").alias("row_count"), "total"
+            columns_to_rows(totals, ["row_count"], amounts, "column_name", "total").select(
+                F.lit(name).alias("model"), "column_name", "row_count", "total"
             )
         )
-    summary = parts[0]
-    for part in parts[1:]:
-        summary = summary.unionByName(part)
-    return summary
+    return reduce(DataFrame.unionByName, parts)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.config import DEFAULT_RULES, ModelConfig
-from ledgerlane.functions.clock import is_weekday, reading_order, time_of_day, whole_days_between
+from ledgerlane.functions.clock import is_weekday, time_of_day, whole_days_between
 from ledgerlane.functions.money import MONEY, decimals_to_double, money
 from ledgerlane.operators.latest import latest_row, morning_readings, wide_balances
 from ledgerlane.operators.rules import corrected_balance
@@ -98,22 +98,22 @@ def q_networth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(_order_series(spark, sf_dir))
 
 
+def _compared(series: DataFrame, config: ModelConfig) -> DataFrame:
+    folder = new_run_folder(series.sparkSession, "networth-daily")
+    return decimals_to_double(networth_comparison(series, config, folder))
+
+
 def q_networth_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decimals_to_double(
-        networth_comparison(_order_series(spark, sf_dir), given.ORDER_CONFIG)
-    )
+    return _compared(_order_series(spark, sf_dir), given.ORDER_CONFIG)
 
 
 def q_networth_comparison_global(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = replace(given.ORDER_CONFIG, keys=())
-    return decimals_to_double(networth_comparison(_order_series(spark, sf_dir), config))
+    return _compared(_order_series(spark, sf_dir), replace(given.ORDER_CONFIG, keys=()))
 
 
 def q_networth_comparison_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Other ages, on readings spread over the day."""
-    return decimals_to_double(
-        networth_comparison(given.event_networth(spark, sf_dir), SHORT_AGES)
-    )
+    return _compared(given.event_networth(spark, sf_dir), SHORT_AGES)
 
 
 def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,7 +205,7 @@ def q_payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_payload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = payload_snapshot(_payloads(spark, sf_dir), given.PAYLOAD_ACCOUNTS)
-    return decimals_to_double(checked_snapshot(wide))
+    return decimals_to_double(checked_snapshot(wide, new_run_folder(spark, "snapshot")))
 
 
 def q_account_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,22 +326,23 @@ def q_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The ordered run
 
 
-def _order_staging(spark: SparkSession, sf_dir: str, folder: str) -> Staging:
-    """Orders as wide snapshots of three accounts, stored once for all models."""
+def _order_staging(spark: SparkSession, sf_dir: str) -> Staging:
+    """Orders as wide snapshots of three accounts, and what customers hold."""
     history, orders = given.order_networth(spark, sf_dir)
-    accounts = [
-        F.when(F.col("o_orderstatus") == status, F.col("networth")).otherwise(0).alias(name)
-        for name, status in given.ORDER_ACCOUNTS.items()
-    ]
-    snapshots = orders.select(
-        PORTFOLIO, "primary_key", "datetime_now", "date_now", *[money(a) for a in accounts]
-    ).toDF(PORTFOLIO, "primary_key", "datetime_now", "date_now", *given.ORDER_ACCOUNTS)
-    append_snapshots(snapshots, f"{folder}/account_data")
     span = orders.agg(
         F.to_date(F.min("datetime_now")).alias("lo"), F.to_date(F.max("datetime_now")).alias("hi")
     )
     return Staging(
-        account_data=read_table(spark, f"{folder}/account_data", snapshots.schema),
+        account_data=orders.select(
+            PORTFOLIO,
+            "primary_key",
+            "datetime_now",
+            "date_now",
+            *[
+                money(F.when(F.col("o_orderstatus") == status, F.col("networth")).otherwise(0)).alias(name)
+                for name, status in given.ORDER_ACCOUNTS.items()
+            ],
+        ),
         networth_historical=history,
         investment_distribution=given.held_weights(spark, sf_dir),
         assett_class_split=given.part_class_split(spark, sf_dir),
@@ -351,12 +352,13 @@ def _order_staging(spark: SparkSession, sf_dir: str, folder: str) -> Staging:
 
 def q_model_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All models over orders, lineitem and part: rows and total per column."""
-    folder = new_run_folder(spark, "models")
-    amount = " + ".join(given.ORDER_ACCOUNTS)
     config = replace(
-        given.HELD_CONFIG, networth_expr=amount, investment_expr="filled + opened"
+        given.HELD_CONFIG,
+        networth_expr=" + ".join(given.ORDER_ACCOUNTS),
+        investment_expr="filled + opened",
     )
-    return run_summary(run_models(spark, _order_staging(spark, sf_dir, folder), config, folder))
+    folder = new_run_folder(spark, "models")
+    return run_summary(run_models(spark, _order_staging(spark, sf_dir), config, folder))
 
 
 QUERIES: dict[str, Query] = {

@@ -196,14 +196,17 @@ def _with_checks(
     )
 
 
-def checked_snapshot(snapshot: DataFrame) -> DataFrame:
+def checked_snapshot(snapshot: DataFrame, folder: str) -> DataFrame:
     """The snapshot without its check columns; raises if an account fails.
 
     A missing account or balance would silently become null here, where a
-    single-portfolio loader would stop. The check is a job of its own.
+    single-portfolio loader would stop. The snapshot is written to ``folder``
+    once; the check reads only its two check columns back.
     """
+    snapshot.write.mode("overwrite").parquet(folder)
+    stored = snapshot.sparkSession.read.schema(snapshot.schema).parquet(folder)
     require_none(
-        snapshot.filter((F.size("missing") > 0) | (F.size("unreadable") > 0)),
+        stored.filter((F.size("missing") > 0) | (F.size("unreadable") > 0)),
         "payload lacks mapped accounts or their balances",
     )
-    return snapshot.drop("missing", "unreadable")
+    return stored.drop("missing", "unreadable")
