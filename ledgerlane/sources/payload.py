@@ -38,10 +38,12 @@ def capture_columns(run_ts: datetime) -> list[Column]:
 
 
 def encode_payload(records: Column) -> Column:
-    """Array of account records to JSON text; keys come out in sorted order."""
-    return F.to_json(
-        F.transform(records, lambda r: F.struct(*[r[f].alias(f) for f in sorted(RECORD_FIELDS)]))
-    )
+    """Array of account records to JSON text.
+
+    Keys come out in field order, which is sorted for the declared record
+    schema. Numbers are written as they are, other types as text.
+    """
+    return F.to_json(records)
 
 
 def decode_payload(payload: Column) -> Column:
@@ -93,9 +95,9 @@ def payload_snapshot(
     and ``unreadable`` list mapped ids that are absent or have no balance.
     """
     rest = [c for c in payloads.columns if c != payload]
-    picked = payloads.select(
-        *rest, _corrected_records(payload, rules).alias("_records")
-    ).select(
+    rules = tuple(rules)
+    read = payloads.select(*rest, decode_payload(F.col(payload)).alias("_records"))
+    picked = read.select(
         *rest,
         *[_last_of(F.col("_records"), F.lit(i)).alias(f"_{name}") for name, i in columns.items()],
     )
@@ -104,7 +106,12 @@ def payload_snapshot(
         rest,
         columns,
         found=lambda name: F.col(f"_{name}").isNotNull(),
-        balance=lambda name: F.col(f"_{name}.balance"),
+        balance=lambda name: corrected_balance(
+            rules,
+            F.col(f"_{name}.currentBalance"),
+            F.col(f"_{name}.accountType"),
+            F.col(f"_{name}.accountName"),
+        ),
     )
 
 
@@ -188,11 +195,16 @@ def _with_checks(
         ids = [F.when(condition(name), F.lit(i)) for name, i in columns.items()]
         return F.array_compact(F.array(*ids))
 
-    return df.select(
+    corrected = df.select(
         *rest,
         *[money(balance(name)).alias(name) for name in columns],
-        ids_where(lambda name: ~found(name)).alias("missing"),
-        ids_where(lambda name: found(name) & balance(name).isNull()).alias("unreadable"),
+        *[found(name).alias(f"_found_{name}") for name in columns],
+    )
+    return corrected.select(
+        *rest,
+        *columns,
+        ids_where(lambda name: ~F.col(f"_found_{name}")).alias("missing"),
+        ids_where(lambda name: F.col(f"_found_{name}") & F.col(name).isNull()).alias("unreadable"),
     )
 
 
