@@ -46,6 +46,7 @@ def run_models(
     folder: str,
     views: Collection[str] = ("networth",),
     view_prefix: str | None = None,
+    check: bool = True,
 ) -> dict[str, DataFrame]:
     """Build every model, store it below ``folder`` and return it read from there.
 
@@ -55,9 +56,11 @@ def run_models(
     earlier model. Models named in ``views`` are not stored: net worth is a
     projection of its sources, and a second copy of the whole history would
     lose their date partitions. With ``view_prefix`` every model also becomes
-    a temporary view.
+    a temporary view. ``check`` reads the stamp columns once before anything
+    is written; switch it off for tables that were checked when loaded.
     """
-    check_staging(staging, config)
+    if check:
+        check_staging(staging, config)
     built: dict[str, DataFrame] = {}
 
     def build(name: str, make: Callable[[], DataFrame]) -> None:

@@ -28,7 +28,7 @@ def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
 
     Folders such as ``portfolio_id=7/`` supply the portfolio.
     """
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "payload")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
 
 
 def capture_columns(run_ts: datetime) -> list[Column]:
