@@ -1,10 +1,10 @@
-"""Checks that stop a load, run as aggregates before anything is written."""
+"""Checks that stop a load or a run."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXAMPLES_IN_MESSAGE = 20
@@ -30,6 +30,16 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> None:
         raise LoadError(f"nulls in required columns: {missing}")
 
 
+def required(column: str) -> Column:
+    """The column itself; a null stops the job that computes it.
+
+    For columns that are about to be written: the check rides along with the
+    write, and a failed job commits no files.
+    """
+    message = F.lit(f"null in required column {column}")
+    return F.coalesce(F.col(column), F.raise_error(message)).alias(column)
+
+
 def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise if a key occurs twice."""
     twice = df.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)

@@ -187,7 +187,7 @@ SPLIT = (
         f"CAST((p_size * {j} % 11) * 0.1 AS DECIMAL(5,4)) AS {c}"
         for j, c in enumerate(CLASSES, 1)
     )
-    + " FROM part WHERE p_partkey % 5 <> 0)"
+    + " FROM part WHERE p_type <> 'ECONOMY')"
 )
 
 

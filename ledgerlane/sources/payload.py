@@ -173,13 +173,13 @@ def account_snapshot(
         mine = F.when(F.col("_id") == account_id, F.col("_order"))
         picks += [
             F.max_by("_balance", mine).alias(name),
-            F.max(mine).isNotNull().alias(f"_found_{name}"),
+            F.bool_or(F.col("_id") == account_id).alias(f"_found_{name}"),
         ]
     return _with_checks(
         shaped.groupBy(*keys).agg(*picks),
         list(keys),
         columns,
-        found=lambda name: F.col(f"_found_{name}"),
+        found=lambda name: F.coalesce(F.col(f"_found_{name}"), F.lit(False)),
         balance=F.col,
     )
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlane.operators.checks import require_not_null
+from ledgerlane.operators.checks import required
+from ledgerlane.schemas import PORTFOLIO
 
 SURROGATE = "primary_key"
+NEVER_NULL = (PORTFOLIO, "datetime_now", "date_now")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -36,17 +36,21 @@ def with_surrogate(snapshots: DataFrame) -> DataFrame:
     return snapshots.withColumn(SURROGATE, (seconds * F.lit(1_000_000)).cast("bigint"))
 
 
-def append_snapshots(
-    snapshots: DataFrame, path: str, required: Sequence[str] = ("datetime_now", "date_now")
-) -> None:
+def with_required(snapshots: DataFrame) -> DataFrame:
+    """Stop the load at a snapshot without portfolio or capture time."""
+    return snapshots.select(
+        *[required(c) if c in NEVER_NULL else F.col(c) for c in snapshots.columns]
+    )
+
+
+def append_snapshots(snapshots: DataFrame, path: str) -> None:
     """Append to a history partitioned by date.
 
     The rebalance hint lets adaptive execution give a busy date several files
     and put quiet dates together, without a fixed partition count.
     """
-    require_not_null(snapshots, required)
     (
-        with_surrogate(snapshots)
+        with_surrogate(with_required(snapshots))
         .hint("rebalance", "date_now")
         .write.mode("append")
         .partitionBy("date_now")

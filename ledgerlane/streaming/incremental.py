@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlane.sources.landing import csv_options, landed_glob
-from ledgerlane.sources.warehouse import with_surrogate
+from ledgerlane.sources.warehouse import with_required, with_surrogate
 
 
 def landed_stream(
@@ -38,7 +38,7 @@ def load_new_files(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
     executor adds nothing twice. Stateless: nothing is shuffled or kept.
     """
     query = (
-        with_surrogate(stream)
+        with_surrogate(with_required(stream))
         .writeStream.format("parquet")
         .option("path", table)
         .option("checkpointLocation", checkpoint)

@@ -115,7 +115,7 @@ def test_append_is_partitioned_and_checked(spark, root):
     one_day = read_table(spark, path).filter(F.col("date_now") == day("2024-01-02"))
     assert one_day.count() == 2
     assert "PartitionFilters: [isnotnull(date_now" in one_day._jdf.queryExecution().toString()
-    with pytest.raises(LoadError, match="datetime_now"):
+    with pytest.raises(Exception, match="null in required column datetime_now"):
         nulls = batch(spark, "2024-01-01 10:00:00").withColumn(
             "datetime_now", F.lit(None).cast("timestamp_ntz")
         )
@@ -187,3 +187,12 @@ def test_ordered_run(spark, root):
     with pytest.raises(LoadError, match="duplicate date_value"):
         twice = staging.dates.unionByName(staging.dates)
         run_models(spark, Staging(**{**staging.__dict__, "dates": twice}), config, root)
+
+
+def test_stream_stops_at_a_missing_capture_time(spark, root):
+    df = batch(spark, "2024-01-01 10:00:00").withColumn(
+        "datetime_now", F.lit(None).cast("timestamp_ntz")
+    )
+    write_landed(df, root, at("2024-01-01 10:00:00"))
+    with pytest.raises(StreamingQueryException):
+        load_new_files(landed_stream(spark, root, SCHEMA), f"{root}/t", f"{root}/c")
