@@ -315,6 +315,17 @@ JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
 JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
 JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""
 
+EXTRACT_LOAD = f"""
+WITH {FIXED}
+SELECT e.user_id AS portfolio_id, e.ts AS datetime_now, CAST(e.ts AS DATE) AS date_now,
+    epoch_us(e.ts) AS primary_key,
+    CAST(f1.balance AS DOUBLE) AS checking, CAST(f2.balance AS DOUBLE) AS bitcoin,
+    CAST(f3.balance AS DOUBLE) AS dollars
+FROM events e
+JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
+JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
+JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""
+
 ACCOUNT_READINGS = f"""
 WITH {FIXED},
 map AS (
@@ -375,6 +386,12 @@ SELECT event_id, ts AS datetime_now, CAST({AMOUNT} AS DOUBLE) AS checking,
     CAST(CAST(value * 2 AS DECIMAL(18,2)) AS DOUBLE) AS savings
 FROM events"""
 
+LANDED_DISCOVERY = """
+SELECT CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'mint_01_31_2024_12-45-00.csv'
+        ELSE 'mint_01_31_2024_13-15-00.csv' END AS landed,
+    count(*) AS readings, max(ts) AS last_reading
+FROM events GROUP BY landed"""
+
 SNAPSHOT_APPEND = f"""
 SELECT CAST(ts AS DATE) AS date_now, count(*) AS readings,
     CAST(sum({AMOUNT}) AS DOUBLE) AS investment, max(ts) AS last_reading
@@ -511,6 +528,8 @@ ORACLE_SQL: dict[str, str] = {
     "landing_roundtrip": EVENT_ROWS,
     "landing_by_position": BY_POSITION,
     "incremental_load": EVENT_ROWS,
+    "landed_discovery": LANDED_DISCOVERY,
+    "extract_load": EXTRACT_LOAD,
     "snapshot_append": SNAPSHOT_APPEND,
     "model_run": _model_run(),
 }

@@ -18,6 +18,7 @@ from ledgerlane.operators.rules import corrected_balance
 from ledgerlane.operators.spine import trading_days
 from ledgerlane.plans.distribution import asset_distribution, asset_totals, stock_distribution
 from ledgerlane.plans.gains import gains_losses
+from ledgerlane.plans.load import run_load
 from ledgerlane.plans.networth import networth, networth_comparison
 from ledgerlane.plans.run import Staging, run_models, run_summary
 from ledgerlane.schemas import PORTFOLIO
@@ -309,6 +310,28 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(read_table(spark, history, LANDED))
 
 
+def q_landed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the landing folder holds, per landed file name."""
+    root = new_run_folder(spark, "landing")
+    snapshots = given.event_account_data(spark, sf_dir)
+    later = F.col("datetime_now") >= F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'")
+    write_landed(snapshots.filter(~later), root, RUN_TIME)
+    write_landed(snapshots.filter(later), root, RUN_TIME + timedelta(minutes=30))
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    found = read_landed(spark, landed_glob(root), LANDED).groupBy(name.alias("landed"))
+    return found.agg(
+        F.count("*").alias("readings"), F.max("datetime_now").alias("last_reading")
+    )
+
+
+def q_extract_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads all the way into the history table."""
+    root = new_run_folder(spark, "load")
+    payloads = _payloads(spark, sf_dir).drop("primary_key")
+    history = run_load(spark, payloads, given.PAYLOAD_ACCOUNTS, root, RUN_TIME)
+    return decimals_to_double(history)
+
+
 def q_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch append to the dated history, read back per date partition."""
     path = new_run_folder(spark, "history")
@@ -388,6 +411,8 @@ QUERIES: dict[str, Query] = {
     "landing_roundtrip": q_landing_roundtrip,
     "landing_by_position": q_landing_by_position,
     "incremental_load": q_incremental_load,
+    "landed_discovery": q_landed_discovery,
+    "extract_load": q_extract_load,
     "snapshot_append": q_snapshot_append,
     "model_run": q_model_run,
 }

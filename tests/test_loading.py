@@ -196,3 +196,28 @@ def test_stream_stops_at_a_missing_capture_time(spark, root):
     write_landed(df, root, at("2024-01-01 10:00:00"))
     with pytest.raises(StreamingQueryException):
         load_new_files(landed_stream(spark, root, SCHEMA), f"{root}/t", f"{root}/c")
+
+
+def test_load_runs_follow_each_other(spark, root):
+    import json
+
+    from ledgerlane.plans.load import run_load
+
+    def payload(balance):
+        accounts = [
+            {"id": "b", "accountType": "bank", "accountName": "x", "currentBalance": balance},
+            {"id": "c", "accountType": "credit", "accountName": "y", "currentBalance": 5},
+        ]
+        return spark.createDataFrame(
+            [(1, json.dumps(accounts)), (2, json.dumps(accounts))],
+            "portfolio_id bigint, payload string",
+        )
+
+    columns = {"broker": "b", "coins": "c"}
+    first, second = at("2024-01-01 10:15:00"), at("2024-01-01 10:45:00")
+    assert run_load(spark, payload(10), columns, root, first).count() == 2
+    with pytest.raises(LoadError):
+        run_load(spark, payload(None), columns, root, at("2024-01-01 10:30:00"))
+    history = run_load(spark, payload(20), columns, root, second)
+    rows = sorted((r["portfolio_id"], r["datetime_now"], r["broker"], r["coins"]) for r in history.collect())
+    assert rows == [(p, ts, b, -5) for p in (1, 2) for ts, b in ((first, 10), (second, 20))]
