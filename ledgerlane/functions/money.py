@@ -26,8 +26,12 @@ def add_all(columns: Iterable[Column]) -> Column:
 
 
 def cents(value: Column) -> Column:
-    """Round half away from zero to two places."""
-    return F.round(value, 2)
+    """Round half away from zero to two places, as an amount of money.
+
+    Products and sums of decimals get ever wider types; back at 18 digits an
+    amount is a plain 64-bit number again in rows, files and shuffles.
+    """
+    return money(F.round(value, 2))
 
 
 def decimals_to_double(df: DataFrame) -> DataFrame:

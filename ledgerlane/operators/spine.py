@@ -11,6 +11,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.clock import is_weekday
+from ledgerlane.schemas import DATES
+
+
+def calendar(span: DataFrame) -> DataFrame:
+    """Every day of a one-row (first, last) table of dates; no day if they are null.
+
+    The two dates are fetched once, as a calendar is read several times.
+    """
+    spark = span.sparkSession
+    first, last = span.first()
+    if first is None:
+        return spark.createDataFrame([], DATES)
+    days = spark.range((last - first).days + 1)
+    return days.select(F.date_add(F.lit(first), F.col("id").cast("int")).alias("date_value"))
 
 
 def trading_days(dates: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from ledgerlane.functions.clock import is_weekday, time_of_day, whole_days_betwe
 from ledgerlane.functions.money import MONEY, decimals_to_double, money
 from ledgerlane.operators.latest import latest_row, morning_readings, wide_balances
 from ledgerlane.operators.rules import corrected_balance
-from ledgerlane.operators.spine import trading_days
+from ledgerlane.operators.spine import calendar, trading_days
 from ledgerlane.plans.distribution import asset_distribution, asset_totals, stock_distribution
 from ledgerlane.plans.gains import gains_losses
 from ledgerlane.plans.load import run_load
@@ -352,9 +352,7 @@ def q_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_staging(spark: SparkSession, sf_dir: str) -> Staging:
     """Orders as wide snapshots of three accounts, and what customers hold."""
     history, orders = given.order_networth(spark, sf_dir)
-    span = orders.agg(
-        F.to_date(F.min("datetime_now")).alias("lo"), F.to_date(F.max("datetime_now")).alias("hi")
-    )
+    span = orders.agg(F.min("date_now"), F.max("date_now"))
     return Staging(
         account_data=orders.select(
             PORTFOLIO,
@@ -369,7 +367,7 @@ def _order_staging(spark: SparkSession, sf_dir: str) -> Staging:
         networth_historical=history,
         investment_distribution=given.held_weights(spark, sf_dir),
         assett_class_split=given.part_class_split(spark, sf_dir),
-        dates=span.select(F.explode(F.sequence("lo", "hi")).alias("date_value")),
+        dates=calendar(span),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlane.config import BalanceRule, ModelConfig, weighted_spreads
 from ledgerlane.functions.clock import reading_order
 from ledgerlane.functions.money import FRACTION, WEIGHT, money
+from ledgerlane.operators.spine import calendar
 from ledgerlane.schemas import CLASSES, PORTFOLIO
 
 EVENT_ACCOUNTS = ("click", "error", "purchase", "signup", "view")
@@ -45,8 +46,8 @@ def event_account_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day from the first to the last event."""
-    span = table(spark, sf_dir, "events").agg(F.min("ts").alias("lo"), F.max("ts").alias("hi"))
-    return span.select(F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("date_value"))
+    events = table(spark, sf_dir, "events")
+    return calendar(events.agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))))
 
 
 def order_networth(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,8 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerlane.operators import spine
+
 SNAPSHOT = (
     "portfolio_id bigint, primary_key bigint, datetime_now timestamp_ntz, date_now date, "
     "investment decimal(18,2)"
@@ -46,9 +48,7 @@ def series(spark: SparkSession, readings: list[tuple]) -> DataFrame:
 
 
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
-    return spark.sql(
-        f"SELECT explode(sequence(DATE'{first}', DATE'{last}')) AS date_value"
-    )
+    return spine.calendar(spark.sql(f"SELECT DATE'{first}', DATE'{last}'"))
 
 
 def day(text: str) -> date:
