@@ -72,7 +72,7 @@ def test_payloads_become_snapshots_without_a_shuffle(spark, sf_dir):
 def test_readings_are_combined_before_every_shuffle(spark, sf_dir):
     events = given.event_account_data(spark, sf_dir)
     plan = plan_of(gains_losses(events, given.event_dates(spark, sf_dir), ModelConfig()))
-    assert plan.count("hashpartitioning") == 2
+    assert plan.count("hashpartitioning(portfolio_id") == 2
     assert "SortAggregate" not in plan
     # The filled rows are the top of the plan: nothing moves or sorts them.
     filled = plan[: plan.index("Generate explode")]
@@ -86,7 +86,7 @@ def test_readings_are_combined_before_every_shuffle(spark, sf_dir):
         ),
     ):
         plan = plan_of(model)
-        assert plan.count("hashpartitioning") == 2 and "SortAggregate" not in plan
+        assert plan.count("hashpartitioning(portfolio_id") == 2 and "SortAggregate" not in plan
         assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*partial_max", plan)
 
 
