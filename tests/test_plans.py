@@ -10,9 +10,11 @@ import pytest
 from __spark_entry__ import queries
 from ledgerlane.config import ModelConfig
 from ledgerlane.plans.gains import gains_losses
-from ledgerlane.plans.networth import daily_networth
+from ledgerlane.plans.networth import daily_networth, networth, networth_comparison
 from ledgerlane.session import shuffle_partitions
 from ledgerlane.sources import driver_tables as given
+from ledgerlane.sources.warehouse import append_snapshots, read_table
+from ledgerlane.sources.workspace import new_run_folder
 
 KEYED = [
     "gains_losses",
@@ -105,3 +107,53 @@ def test_columns_and_filters_reach_the_scan(spark, sf_dir):
 def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(10 * 1024**4, 8) > 50_000
+
+
+def test_comparison_prunes_the_dates_it_does_not_need(spark, sf_dir):
+    history = new_run_folder(spark, "history")
+    append_snapshots(given.event_account_data(spark, sf_dir), history)
+    account_data = read_table(spark, history)
+    empty_past = account_data.filter("false").withColumnRenamed("investment", "networth")
+    config = replace(ModelConfig(), networth_expr="investment", ages={"week_ago": 7})
+    series = networth(empty_past, account_data, config)
+    result = networth_comparison(series, config, new_run_folder(spark, "daily"))
+    assert "dynamicpruning" in result._jdf.queryExecution().toString()
+
+    twin = given.event_networth(spark, sf_dir)
+    expected = networth_comparison(twin, config, new_run_folder(spark, "daily"))
+    columns = ["portfolio_id", "networth_now", "networth_week_ago"]
+    assert sorted(result.select(columns).collect()) == sorted(expected.select(columns).collect())
+
+
+def test_hot_day_is_split_between_join_tasks(spark, sf_dir):
+    """One portfolio with a third of all readings, all of them on one day."""
+    rows = spark.range(300_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 + 1 END AS portfolio_id",
+        "id AS primary_key",
+        "CASE WHEN id % 3 = 0 AND id > 0 THEN TIMESTAMP_NTZ'2024-01-10 00:00:00' "
+        "+ make_dt_interval(0, 0, 0, id * 0.28) "
+        "ELSE TIMESTAMP_NTZ'2024-01-20 12:00:00' - make_dt_interval(CAST(id % 41 AS INT)) END "
+        "AS datetime_stamp",
+        "CAST(id AS DECIMAL(18,2)) AS networth",
+        "CAST(0 AS DECIMAL(18,2)) AS investment_amount",
+    ).selectExpr("*", "CAST(datetime_stamp AS DATE) AS date_stamp")
+    config = replace(ModelConfig(), ages={"earlier": 10})
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        result = networth_comparison(rows, config, new_run_folder(spark, "daily"))
+        picked = {r["portfolio_id"]: r["networth_earlier"] for r in result.collect()}
+        plan = result._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert "isSkew=true" in plan or "skew=true" in plan
+    # The newest reading (id 0) is at noon, so is the limit ten days before it.
+    assert picked[0] == 154_284
