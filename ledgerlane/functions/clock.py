@@ -21,7 +21,13 @@ MICROSECOND_STRIDE = "100000000000000000000"
 
 def time_of_day(ts: Column) -> Column:
     """Interval since midnight (Spark's TIME type is off by default)."""
-    return ts - F.to_date(ts).cast("timestamp_ntz")
+    return ts.cast("timestamp_ntz") - F.to_date(ts).cast("timestamp_ntz")
+
+
+def micros_since_epoch(ts: Column) -> Column:
+    """Microseconds since 1970 on the wall clock, as DECIMAL(18,0)."""
+    seconds = (ts.cast("timestamp_ntz") - F.expr(EPOCH)).cast("interval second")
+    return (seconds.cast("decimal(18,6)") * F.lit(1_000_000)).cast("decimal(18,0)")
 
 
 def not_later_than(ts: Column, cutoff: time) -> Column:
@@ -60,8 +66,6 @@ def reading_order(ts: Column, tie_breaker: Column | None = None) -> Column:
     """
     if tie_breaker is None:
         return ts
-    seconds = (ts - F.expr(EPOCH)).cast("interval second").cast("decimal(18,6)")
-    micros = (seconds * F.lit(1_000_000)).cast("decimal(18,0)")
     stride = F.lit(MICROSECOND_STRIDE).cast("decimal(21,0)")
     tie = F.coalesce(tie_breaker.cast("bigint"), F.lit(0))
-    return (micros * stride + tie).cast("decimal(38,0)")
+    return (micros_since_epoch(ts) * stride + tie).cast("decimal(38,0)")

@@ -43,8 +43,10 @@ def _gains(key: str | None) -> str:
 WITH {DATES},
 ranked AS (
     SELECT {named}CAST(ts AS DATE) AS date_now, {AMOUNT} AS investment_total, ts,
-        row_number() OVER (PARTITION BY {k}CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n_last,
-        row_number() OVER (PARTITION BY {k}CAST(ts AS DATE) ORDER BY ts, event_id) AS n_first
+        row_number() OVER (
+            PARTITION BY {k}CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n_last,
+        row_number() OVER (
+            PARTITION BY {k}CAST(ts AS DATE) ORDER BY ts, event_id) AS n_first
     FROM events WHERE CAST(ts AS TIME) <= TIME '13:30:00'),
 pre AS (
     SELECT {pick}date_now, investment_total FROM ranked
@@ -74,8 +76,10 @@ FROM gains"""
 MORNING = f"""
 WITH ranked AS (
     SELECT user_id, CAST(ts AS DATE) AS date_now, {AMOUNT} AS v,
-        row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n_last,
-        row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS n_first
+        row_number() OVER (
+            PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n_last,
+        row_number() OVER (
+            PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS n_first
     FROM events WHERE CAST(ts AS TIME) <= TIME '13:30:00')
 SELECT l.user_id AS portfolio_id, l.date_now,
     CAST(l.v AS DOUBLE) AS last_value, CAST(f.v AS DOUBLE) AS first_value
@@ -356,9 +360,12 @@ fixed AS (SELECT user_id, event_type, {EVENT_RULES} AS balance FROM last_one)
 SELECT u.user_id AS portfolio_id, TIMESTAMP '2024-01-31 12:45:00' AS datetime_now,
     DATE '2024-01-31' AS date_now,
     {_comma(f"CAST({a}.balance AS DOUBLE) AS {a}" for a in EVENT_ACCOUNTS)},
-    concat_ws(',', {", ".join(f"CASE WHEN {a}.user_id IS NULL THEN '{a}' END" for a in EVENT_ACCOUNTS)}) AS missing
+    concat_ws(',', {", ".join(
+        f"CASE WHEN {a}.user_id IS NULL THEN '{a}' END" for a in EVENT_ACCOUNTS)}) AS missing
 FROM (SELECT DISTINCT user_id FROM events) u
-{" ".join(f"LEFT JOIN fixed {a} ON {a}.user_id = u.user_id AND {a}.event_type = '{a}'" for a in EVENT_ACCOUNTS)}"""
+{" ".join(
+    f"LEFT JOIN fixed {a} ON {a}.user_id = u.user_id AND {a}.event_type = '{a}'"
+    for a in EVENT_ACCOUNTS)}"""
 
 BALANCE_RULES = f"""
 WITH records AS (

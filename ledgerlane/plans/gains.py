@@ -54,9 +54,9 @@ def gains_losses(account_data: DataFrame, dates: DataFrame, config: ModelConfig)
         .when(day_after == F.col("date_now"), F.col("first_value"))
         .alias("post_investment"),
         F.when(is_own, F.col("_gain")).alias("gains_losses"),
-        F.when(F.col("previous_day") == F.col("_last_open.date_now"), F.col("_last_open._gain")).alias(
-            "previous_day_gains"
-        ),
+        F.when(
+            F.col("previous_day") == F.col("_last_open.date_now"), F.col("_last_open._gain")
+        ).alias("previous_day_gains"),
     )
 
 

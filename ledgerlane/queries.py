@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -352,6 +352,10 @@ def q_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_staging(spark: SparkSession, sf_dir: str) -> Staging:
     """Orders as wide snapshots of three accounts, and what customers hold."""
     history, orders = given.order_networth(spark, sf_dir)
+
+    def amount(status: str) -> Column:
+        return money(F.when(F.col("o_orderstatus") == status, F.col("networth")).otherwise(0))
+
     span = orders.agg(F.min("date_now"), F.max("date_now"))
     return Staging(
         account_data=orders.select(
@@ -359,10 +363,7 @@ def _order_staging(spark: SparkSession, sf_dir: str) -> Staging:
             "primary_key",
             "datetime_now",
             "date_now",
-            *[
-                money(F.when(F.col("o_orderstatus") == status, F.col("networth")).otherwise(0)).alias(name)
-                for name, status in given.ORDER_ACCOUNTS.items()
-            ],
+            *[amount(status).alias(name) for name, status in given.ORDER_ACCOUNTS.items()],
         ),
         networth_historical=history,
         investment_distribution=given.held_weights(spark, sf_dir),

@@ -134,9 +134,10 @@ def account_readings(
     )
     read = payloads.select(*rest, _corrected_records(payload, rules).alias("_records"))
     mapped = attach_per_key(read, maps, [PORTFOLIO], ["datetime_now"])
+    last = _last_of(F.col("_records"), F.col("_account.account_id"))
     return (
         mapped.select(*rest, "_records", F.explode("_map").alias("_account"))
-        .select(*rest, "_account.*", _last_of(F.col("_records"), F.col("_account.account_id")).alias("_last"))
+        .select(*rest, "_account.*", last.alias("_last"))
         .select(
             *rest,
             "position",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlane.functions.clock import micros_since_epoch
 from ledgerlane.operators.checks import required
 from ledgerlane.schemas import PORTFOLIO
 
@@ -31,9 +32,8 @@ def with_surrogate(snapshots: DataFrame) -> DataFrame:
     """
     if SURROGATE in snapshots.columns:
         return snapshots
-    since_epoch = F.col("datetime_now") - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
-    seconds = since_epoch.cast("interval second").cast("decimal(18,6)")
-    return snapshots.withColumn(SURROGATE, (seconds * F.lit(1_000_000)).cast("bigint"))
+    key = micros_since_epoch(F.col("datetime_now")).cast("bigint")
+    return snapshots.withColumn(SURROGATE, key)
 
 
 def with_required(snapshots: DataFrame) -> DataFrame:
@@ -46,6 +46,8 @@ def with_required(snapshots: DataFrame) -> DataFrame:
 def append_snapshots(snapshots: DataFrame, path: str) -> None:
     """Append to a history partitioned by date.
 
+    A history is fed either by this or by the incremental loader: readers of
+    the loader's table see only the files in its own commit log.
     The rebalance hint lets adaptive execution give a busy date several files
     and put quiet dates together, without a fixed partition count.
     """

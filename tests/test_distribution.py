@@ -33,7 +33,9 @@ def split(spark, rows):
 
 
 def test_null_in_one_spread_makes_the_amount_null(spark):
-    held = weights(spark, [(1, "A", 0.5, 0.25), (1, "B", 0.5, None), (2, "A", 1, 1), (3, "A", 1, 1)])
+    held = weights(
+        spark, [(1, "A", 0.5, 0.25), (1, "B", 0.5, None), (2, "A", 1, 1), (3, "A", 1, 1)]
+    )
     newest = latest(spark, [(1, 10, 20), (2, 10, None)])
     rows = {
         (r["portfolio_id"], r["stock_symbol"]): r["total_amount"]
@@ -45,7 +47,8 @@ def test_null_in_one_spread_makes_the_amount_null(spark):
 def test_single_portfolio_form(spark):
     held = weights(spark, [(1, "A", 0.5, 0.25), (1, "B", 0.1, 0)]).drop("portfolio_id")
     newest = latest(spark, [(1, 10, 20)]).drop("portfolio_id")
-    rows = {r["stock_symbol"]: r["total_amount"] for r in stock_distribution(held, newest, SINGLE).collect()}
+    result = stock_distribution(held, newest, SINGLE)
+    rows = {r["stock_symbol"]: r["total_amount"] for r in result.collect()}
     assert rows == {"A": 10, "B": 1}
     nothing = stock_distribution(held, newest.filter("false"), SINGLE)
     assert {r["total_amount"] for r in nothing.collect()} == {None}

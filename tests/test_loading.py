@@ -47,7 +47,8 @@ def root(spark):
 
 
 def test_round_trip_keeps_microseconds_and_nulls(spark, root):
-    df = batch(spark, "2024-01-01 10:00:00.000001").withColumn("coins", F.lit(None).cast("decimal(18,2)"))
+    nothing = F.lit(None).cast("decimal(18,2)")
+    df = batch(spark, "2024-01-01 10:00:00.000001").withColumn("coins", nothing)
     write_landed(df, root, at("2024-01-01 10:00:00"))
     back = read_landed(spark, landed_glob(root), SCHEMA)
     assert back.collect() == df.collect()
@@ -219,5 +220,6 @@ def test_load_runs_follow_each_other(spark, root):
     with pytest.raises(LoadError):
         run_load(spark, payload(None), columns, root, at("2024-01-01 10:30:00"))
     history = run_load(spark, payload(20), columns, root, second)
-    rows = sorted((r["portfolio_id"], r["datetime_now"], r["broker"], r["coins"]) for r in history.collect())
+    loaded = history.select("portfolio_id", "datetime_now", "broker", "coins").collect()
+    rows = sorted(tuple(r) for r in loaded)
     assert rows == [(p, ts, b, -5) for p in (1, 2) for ts, b in ((first, 10), (second, 20))]

@@ -33,9 +33,8 @@ def test_series_keeps_duplicates_and_evaluates_expressions(spark):
         networth_expr="investment * 2",
         investment_expr="investment + 1",
     )
-    rows = sorted(
-        (r["networth"], r["investment_amount"]) for r in networth(history, current, config).collect()
-    )
+    result = networth(history, current, config)
+    rows = sorted((r["networth"], r["investment_amount"]) for r in result.collect())
     assert rows == [(dec("5.00"), dec("2.50")), (16, 9), (16, 9)]
 
 
@@ -112,7 +111,8 @@ def test_latest_row_of_each_portfolio(spark):
             (2, "2024-01-01 10:00:00", 7, 3),
         ],
     )
-    rows = {r["portfolio_id"]: r["investment"] for r in latest_row(table, ["portfolio_id"]).collect()}
+    newest = latest_row(table, ["portfolio_id"])
+    rows = {r["portfolio_id"]: r["investment"] for r in newest.collect()}
     assert rows == {1: None, 2: 7}
     assert latest_row(table, []).count() == 1
     assert latest_row(table.filter("false"), []).count() == 0
