@@ -6,7 +6,7 @@ Nothing here depends on the session time zone: a reading taken at 13:30 is at
 
 from __future__ import annotations
 
-from datetime import time, timedelta
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,6 +19,12 @@ EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 MICROSECOND_STRIDE = "100000000000000000000"
 
 
+def instant(moment: datetime) -> Column:
+    """A zone-free literal. F.lit(datetime) would pass through two time zones,
+    the driver's and the session's."""
+    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def time_of_day(ts: Column) -> Column:
     """Interval since midnight (Spark's TIME type is off by default)."""
     return ts.cast("timestamp_ntz") - F.to_date(ts).cast("timestamp_ntz")

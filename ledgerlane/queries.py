@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.config import DEFAULT_RULES, ModelConfig
-from ledgerlane.functions.clock import is_weekday, time_of_day, whole_days_between
+from ledgerlane.functions.clock import instant, is_weekday, time_of_day, whole_days_between
 from ledgerlane.functions.money import MONEY, decimals_to_double, money
 from ledgerlane.operators.latest import latest_row, morning_readings, wide_balances
 from ledgerlane.operators.rules import corrected_balance
@@ -82,9 +82,7 @@ def q_reading_times(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.weekday(ts).alias("days_after_monday"),
         F.date_sub(F.to_date(ts), 1).alias("day_before"),
         F.extract(F.lit("HOUR"), time_of_day(ts)).cast("bigint").alias("hours_since_midnight"),
-        whole_days_between(F.lit(RUN_TIME).cast("timestamp_ntz"), ts)
-        .cast("bigint")
-        .alias("whole_days_old"),
+        whole_days_between(instant(RUN_TIME), ts).cast("bigint").alias("whole_days_old"),
     )
 
 

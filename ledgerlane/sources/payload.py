@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.config import DEFAULT_RULES, BalanceRule
+from ledgerlane.functions.clock import instant
 from ledgerlane.functions.money import money
 from ledgerlane.operators.checks import require_none
 from ledgerlane.operators.rules import corrected_balance
@@ -33,7 +34,7 @@ def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
 
 def capture_columns(run_ts: datetime) -> list[Column]:
     """Date and time of the run, both from one instant, so they always agree."""
-    now = F.lit(run_ts).cast("timestamp_ntz")
+    now = instant(run_ts)
     return [now.alias("datetime_now"), F.to_date(now).alias("date_now")]
 
 

@@ -48,6 +48,28 @@ def test_same_rows_as_sql(spark, tables, name):
     assert sorted_rows(actual) == sorted_rows(expected)
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "account_snapshot",
+        "extract_load",
+        "gains_losses",
+        "incremental_load",
+        "landed_names",
+        "networth_comparison_ages",
+        "reading_times",
+    ],
+)
+def test_session_time_zone_does_not_matter(spark, tables, name):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        actual = queries()[name](spark, SF_DIR).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert sorted_rows(actual) == sorted_rows(tables.execute(oracle_sql()[name]).df())
+
+
 def test_entry(spark):
     result = entry(spark)
     assert result.columns == [
