@@ -1,4 +1,4 @@
-"""Joining a big table to one row per key when a key may be very hot."""
+"""Joining a big table to a smaller one when a key may be very hot."""
 
 from __future__ import annotations
 
@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 SALTS = 16
 
+# Rows of a few fixed-width columns: about 50 MB as a hash table.
+BROADCAST_ROWS = 500_000
+
 
 def attach_per_key(
     big: DataFrame,
@@ -34,6 +37,16 @@ def attach_per_key(
     return dealt.join(copies, [*keys, "_salt"], "left").drop("_salt")
 
 
+def broadcast_if_counted(df: DataFrame) -> DataFrame:
+    """Mark a narrow table for broadcast if counting shows that it is small.
+
+    The planner estimates a filtered table by what it was filtered from. Where
+    the filter is very selective that misses a broadcast, and the big side is
+    shuffled for nothing. Beyond the limit the planner decides as always.
+    """
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def attach_single(big: DataFrame, single: DataFrame) -> DataFrame:
     """Put the columns of a one-row table on every row, as nulls if it is empty.
 

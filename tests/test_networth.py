@@ -10,6 +10,7 @@ from decimal import Decimal
 import pytest
 
 from ledgerlane.config import ModelConfig
+from ledgerlane.operators import skew
 from ledgerlane.operators.latest import latest_row
 from ledgerlane.plans.networth import networth, networth_comparison
 from ledgerlane.sources.workspace import new_run_folder
@@ -137,7 +138,9 @@ def expected_comparison(rows, ages):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_against_brute_force(spark, seed):
+@pytest.mark.parametrize("limit", [-1, skew.BROADCAST_ROWS])
+def test_against_brute_force(spark, monkeypatch, seed, limit):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
     rng = random.Random(seed)
     start = datetime(2024, 1, 1)
     rows = []

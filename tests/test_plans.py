@@ -9,6 +9,7 @@ import pytest
 
 from __spark_entry__ import queries
 from ledgerlane.config import ModelConfig
+from ledgerlane.operators import skew
 from ledgerlane.plans.gains import gains_losses
 from ledgerlane.plans.networth import daily_networth, networth, networth_comparison
 from ledgerlane.session import shuffle_partitions
@@ -125,7 +126,8 @@ def test_comparison_prunes_the_dates_it_does_not_need(spark, sf_dir):
     assert sorted(result.select(columns).collect()) == sorted(expected.select(columns).collect())
 
 
-def test_hot_day_is_split_between_join_tasks(spark, sf_dir):
+@pytest.mark.parametrize("counted_as_small", [False, True])
+def test_hot_day_is_split_between_join_tasks(spark, monkeypatch, counted_as_small):
     """One portfolio with a third of all readings, all of them on one day."""
     rows = spark.range(300_000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 + 1 END AS portfolio_id",
@@ -145,6 +147,8 @@ def test_hot_day_is_split_between_join_tasks(spark, sf_dir):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
     }
     before = {name: spark.conf.get(name, None) for name in small}
+    if not counted_as_small:
+        monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
     try:
         for name, value in small.items():
             spark.conf.set(name, value)
@@ -154,6 +158,10 @@ def test_hot_day_is_split_between_join_tasks(spark, sf_dir):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-    assert "isSkew=true" in plan or "skew=true" in plan
+    # Either the readings are split by size, or they stay where they are.
+    if counted_as_small:
+        assert "SortMergeJoin" not in plan and "skew=true" not in plan
+    else:
+        assert "skew=true" in plan
     # The newest reading (id 0) is at noon, so is the limit ten days before it.
     assert picked[0] == 154_284
