@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.config import DEFAULT_RULES, BalanceRule
 from ledgerlane.schemas import PORTFOLIO, snapshot_schema
-from ledgerlane.sources.landing import write_landed
+from ledgerlane.sources.landing import is_landed, write_landed
 from ledgerlane.sources.payload import capture_columns, checked_snapshot, payload_snapshot
 from ledgerlane.sources.warehouse import read_table
 from ledgerlane.streaming.incremental import landed_stream, load_new_files
@@ -33,17 +33,18 @@ def run_load(
     Below ``root`` lie the checked snapshots of each run, the landed files, the
     history table and the loader's checkpoint. A run that fails before its
     files are landed leaves the history as it was; one that fails later is
-    completed by the next.
+    completed by the next. Repeating a run, named by its time, lands nothing
+    again.
     """
     if "datetime_now" in payloads.columns:
         stamps = ["datetime_now", F.to_date("datetime_now").alias("date_now")]
     else:
         stamps = capture_columns(run_ts)
     stamped = payloads.select(PORTFOLIO, *stamps, "payload")
-    shaped = f"{root}/shaped/{run_ts.strftime('%Y-%m-%dT%H-%M-%S')}"
-    write_landed(
-        checked_snapshot(payload_snapshot(stamped, columns, rules), shaped), root, run_ts
-    )
+    if not is_landed(spark, root, run_ts):
+        shaped = f"{root}/shaped/{run_ts.strftime('%Y-%m-%dT%H-%M-%S')}"
+        wide = payload_snapshot(stamped, columns, rules)
+        write_landed(checked_snapshot(wide, shaped), root, run_ts)
     stream = landed_stream(spark, root, snapshot_schema(columns), clean=clean, archive=archive)
     load_new_files(stream, f"{root}/history", f"{root}/checkpoint")
     return read_table(spark, f"{root}/history")

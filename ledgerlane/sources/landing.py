@@ -22,13 +22,25 @@ def landed_name(ts: Column) -> Column:
     return F.concat(F.lit(f"{FOLDER}/"), F.date_format(ts, NAME_FORMAT))
 
 
+def landed_folder(root: str, run_ts: datetime) -> str:
+    return f"{root}/{FOLDER}/{run_ts.strftime('mint_%m_%d_%Y_%H-%M-%S.csv')}"
+
+
+def is_landed(spark: SparkSession, root: str, run_ts: datetime) -> bool:
+    """Whether that run's files were written to the end (also if removed since)."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{landed_folder(root, run_ts)}/_SUCCESS"
+    )
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+
+
 def write_landed(df: DataFrame, root: str, run_ts: datetime) -> str:
     """Append a batch as CSV with a header below the landing root.
 
     One folder per run; Spark writes one file per partition into it, so a
     large batch is landed by all executors.
     """
-    folder = f"{root}/{FOLDER}/{run_ts.strftime('mint_%m_%d_%Y_%H-%M-%S.csv')}"
+    folder = landed_folder(root, run_ts)
     (
         df.write.mode("append")
         .option("header", True)

@@ -165,3 +165,15 @@ def test_hot_day_is_split_between_join_tasks(spark, monkeypatch, counted_as_smal
         assert "skew=true" in plan
     # The newest reading (id 0) is at noon, so is the limit ten days before it.
     assert picked[0] == 154_284
+
+
+def test_salted_join_shuffles_both_sides_by_salt(spark, sf_dir):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = plan_of(queries()["stock_distribution_by_portfolio"](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Direct shuffles on both sides are what lets a hot portfolio be split.
+    assert len(re.findall(r"hashpartitioning\(portfolio_id#\d+L, _salt#", plan)) == 2
+    assert re.search(r"SortMergeJoin \[portfolio_id#\d+L, _salt#", plan)
