@@ -13,25 +13,25 @@ SALTS = 16
 BROADCAST_ROWS = 500_000
 
 
-def attach_per_key(
+def attach_by_key(
     big: DataFrame,
-    one_per_key: DataFrame,
+    few_per_key: DataFrame,
     keys: Sequence[str],
     spread_by: Sequence[str],
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join of ``big`` to ``one_per_key``, which has at most one row per key.
+    """Left join of ``big`` to ``few_per_key``, which has few rows of any key.
 
     Rows of one key are dealt over ``salts`` join partitions by a hash of
-    ``spread_by``, and the one row is copied that often, so the result is the
+    ``spread_by``, and the few are copied that often, so the result is the
     plain left join's. Both inputs also become direct shuffles of the join
-    (the second one usually comes out of an aggregation on the same keys, which
+    (the second one often comes out of an aggregation on the same keys, which
     would otherwise be reused), and that is what adaptive execution needs to
     split a partition that is still too large, or to switch to a broadcast when
     the copied side turns out to be small.
     """
     dealt = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
-    copies = one_per_key.withColumn(
+    copies = few_per_key.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
     return dealt.join(copies, [*keys, "_salt"], "left").drop("_salt")

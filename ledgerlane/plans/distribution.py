@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlane.config import ModelConfig
 from ledgerlane.functions.money import add_all, cents
 from ledgerlane.operators.reshape import columns_to_rows
-from ledgerlane.operators.skew import attach_per_key, attach_single
+from ledgerlane.operators.skew import attach_by_key, attach_single
 from ledgerlane.schemas import CLASSES
 
 
@@ -22,7 +22,7 @@ def stock_distribution(
     """
     keys = list(config.keys)
     if keys:
-        attached = attach_per_key(investment_distribution, latest, keys, ["stock_symbol"])
+        attached = attach_by_key(investment_distribution, latest, keys, ["stock_symbol"])
     else:
         attached = attach_single(investment_distribution, latest)
     spreads = attached.selectExpr(

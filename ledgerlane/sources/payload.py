@@ -18,7 +18,7 @@ from ledgerlane.functions.clock import instant
 from ledgerlane.functions.money import money
 from ledgerlane.operators.checks import require_none
 from ledgerlane.operators.rules import corrected_balance
-from ledgerlane.operators.skew import attach_per_key
+from ledgerlane.operators.skew import attach_by_key
 from ledgerlane.schemas import PAYLOAD, PORTFOLIO
 
 RECORD_FIELDS = ("id", "accountType", "accountName", "currentBalance")
@@ -125,28 +125,23 @@ def account_readings(
     """Corrected balance per mapped account, for maps that differ by portfolio.
 
     Long form, one row per payload and mapped account; ``found`` is false where
-    the payload lacks the account. Accounts outside the map are ignored. A
-    portfolio's map is as long as its snapshot has columns, so it travels as
-    one array; a portfolio with very many payloads is spread by capture time.
+    the payload lacks the account. Accounts outside the map are ignored, and so
+    are portfolios without a map. Payloads meet their portfolio's map in a
+    salted join, spread by capture time, and are read once for each account
+    right there.
     """
     rest = [c for c in payloads.columns if c != payload]
-    maps = account_map.groupBy(PORTFOLIO).agg(
-        F.collect_list(F.struct("position", "column_name", "account_id")).alias("_map")
-    )
+    entry = ["position", "column_name", "account_id"]
     read = payloads.select(*rest, _corrected_records(payload, rules).alias("_records"))
-    mapped = attach_per_key(read, maps, [PORTFOLIO], ["datetime_now"])
-    last = _last_of(F.col("_records"), F.col("_account.account_id"))
-    return (
-        mapped.select(*rest, "_records", F.explode("_map").alias("_account"))
-        .select(*rest, "_account.*", last.alias("_last"))
-        .select(
-            *rest,
-            "position",
-            "column_name",
-            "account_id",
-            money(F.col("_last.balance")).alias("balance"),
-            F.col("_last").isNotNull().alias("found"),
-        )
+    mapped = attach_by_key(
+        read, account_map.select(PORTFOLIO, *entry), [PORTFOLIO], ["datetime_now"]
+    ).filter(F.col("account_id").isNotNull())
+    last = _last_of(F.col("_records"), F.col("account_id"))
+    return mapped.select(*rest, *entry, last.alias("_last")).select(
+        *rest,
+        *entry,
+        money(F.col("_last.balance")).alias("balance"),
+        F.col("_last").isNotNull().alias("found"),
     )
 
 

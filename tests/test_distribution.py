@@ -8,7 +8,7 @@ import pytest
 
 from ledgerlane.config import ModelConfig, weighted_spreads
 from ledgerlane.functions.money import cents
-from ledgerlane.operators.skew import attach_per_key
+from ledgerlane.operators.skew import attach_by_key
 from ledgerlane.plans.distribution import asset_distribution, asset_totals, stock_distribution
 from ledgerlane.schemas import ASSETT_CLASS_SPLIT, investment_distribution_schema
 from tests.rows import dec
@@ -107,7 +107,7 @@ def test_salted_join_equals_plain_left_join(spark):
     )
     small = spark.range(40).selectExpr("id AS portfolio_id", "id * 2 AS twice")
     expected = big.join(small, "portfolio_id", "left")
-    actual = attach_per_key(big, small, ["portfolio_id"], ["item"])
+    actual = attach_by_key(big, small, ["portfolio_id"], ["item"])
     assert actual.columns == expected.columns
     assert actual.exceptAll(expected).count() == 0
     assert expected.exceptAll(actual).count() == 0
