@@ -1,7 +1,8 @@
-"""SQL twins of the registered queries, written the long way round.
+"""SQL twins of the registered queries.
 
-They rank with ROW_NUMBER, use scalar subqueries and one union branch per
-class, where the Spark models use aggregates, so the two sides share no shape.
+They read the definitions directly: ordered lists of all readings, from which
+the first or last element is taken, and the whole calendar times all portfolios.
+That is too slow for large tables but shares no shape with the Spark models.
 """
 
 from __future__ import annotations
@@ -12,13 +13,6 @@ CLASSES = ("us_stock", "foreign_stock", "bonds", "cryptocurrency", "stablecoin")
 EVENT_ACCOUNTS = ("click", "error", "purchase", "signup", "view")
 ORDER_ACCOUNTS = (("filled", "F"), ("opened", "O"), ("pending", "P"))
 
-DATES = """dates AS (
-    SELECT CAST(unnest(generate_series(
-        (SELECT CAST(min(ts) AS DATE) FROM events),
-        (SELECT CAST(max(ts) AS DATE) FROM events),
-        INTERVAL 1 DAY)) AS DATE) AS date_value)"""
-
-
 def _comma(parts) -> str:
     return ",\n    ".join(parts)
 
@@ -26,69 +20,65 @@ def _comma(parts) -> str:
 # Gains and losses
 
 
-def _gains(key: str | None) -> str:
-    k = f"{key}, " if key else ""
-    pick = "portfolio_id, " if key else ""
-    on = "pre.portfolio_id = s.portfolio_id AND " if key else ""
-    on_post = "post.portfolio_id = s.portfolio_id AND " if key else ""
-    named = f"{key} AS portfolio_id, " if key else ""
-    part = f"PARTITION BY {pick}" if key else ""
-    spine = (
-        f"SELECT p.portfolio_id, d.date_value FROM dates d CROSS JOIN "
-        f"(SELECT DISTINCT {key} AS portfolio_id FROM events) p"
-        if key
-        else "SELECT date_value FROM dates"
-    )
-    return f"""
-WITH {DATES},
-ranked AS (
-    SELECT {named}CAST(ts AS DATE) AS date_now, {AMOUNT} AS investment_total, ts,
-        row_number() OVER (
-            PARTITION BY {k}CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n_last,
-        row_number() OVER (
-            PARTITION BY {k}CAST(ts AS DATE) ORDER BY ts, event_id) AS n_first
-    FROM events WHERE CAST(ts AS TIME) <= TIME '13:30:00'),
-pre AS (
-    SELECT {pick}date_now, investment_total FROM ranked
-    WHERE n_last = 1 AND extract(dow FROM ts) IN (1, 2, 3, 4, 5)),
-post AS (
-    SELECT {pick}CAST(date_now - INTERVAL 1 DAY AS DATE) AS date_before, investment_total
-    FROM ranked WHERE n_first = 1 AND extract(dow FROM ts) IN (2, 3, 4, 5, 6)),
-spine AS ({spine}),
+def _event_readings(portfolio: str) -> str:
+    return f"""readings AS (
+    SELECT {portfolio} AS portfolio_id, event_id AS primary_key, ts, {AMOUNT} AS amount
+    FROM events)"""
+
+
+MORNINGS = """mornings AS (
+    SELECT portfolio_id, CAST(ts AS DATE) AS date_now,
+        list(amount ORDER BY ts, primary_key) AS amounts
+    FROM readings WHERE CAST(ts AS TIME) <= TIME '13:30:00' GROUP BY ALL)"""
+
+WEEKDAYS = """weekdays AS (
+    SELECT date_value FROM (
+        SELECT CAST(unnest(generate_series(
+            CAST(min(ts) AS DATE), CAST(max(ts) AS DATE), INTERVAL 1 DAY)) AS DATE) AS date_value
+        FROM readings)
+    WHERE extract(isodow FROM date_value) <= 5)"""
+
+GAINS = f"""{MORNINGS},
+{WEEKDAYS},
+cells AS (
+    SELECT c.portfolio_id, c.date_value,
+        own.amounts[-1] AS pre_investment, following.amounts[1] AS post_investment
+    FROM (SELECT p.portfolio_id, w.date_value
+          FROM (SELECT DISTINCT portfolio_id FROM readings) p CROSS JOIN weekdays w) c
+    LEFT JOIN mornings own
+        ON own.portfolio_id = c.portfolio_id AND own.date_now = c.date_value
+    LEFT JOIN mornings following
+        ON following.portfolio_id = c.portfolio_id AND following.date_now = c.date_value + 1),
 gains AS (
-    SELECT {"s.portfolio_id, " if key else ""}s.date_value,
-        pre.investment_total AS pre_investment,
-        post.investment_total AS post_investment,
-        post.investment_total - pre.investment_total AS gains_losses
-    FROM spine s
-    LEFT JOIN pre ON {on}s.date_value = pre.date_now
-    LEFT JOIN post ON {on_post}s.date_value = post.date_before
-    WHERE extract(dow FROM s.date_value) IN (1, 2, 3, 4, 5))
-SELECT {pick}date_value,
+    SELECT *, post_investment - pre_investment AS gains_losses,
+        lag(post_investment - pre_investment) OVER (
+            PARTITION BY portfolio_id ORDER BY date_value) AS previous_day_gains
+    FROM cells)"""
+
+
+def _gains(portfolio: str, columns: str) -> str:
+    return f"""
+WITH {_event_readings(portfolio)},
+{GAINS}
+SELECT {columns}date_value,
     CAST(pre_investment AS DOUBLE) AS pre_investment,
     CAST(post_investment AS DOUBLE) AS post_investment,
     CAST(gains_losses AS DOUBLE) AS gains_losses,
-    CAST(lead(gains_losses) OVER ({part.rstrip(', ')} ORDER BY date_value DESC) AS DOUBLE)
-        AS previous_day_gains
+    CAST(previous_day_gains AS DOUBLE) AS previous_day_gains
 FROM gains"""
 
 
 MORNING = f"""
-WITH ranked AS (
-    SELECT user_id, CAST(ts AS DATE) AS date_now, {AMOUNT} AS v,
-        row_number() OVER (
-            PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts DESC, event_id DESC) AS n_last,
-        row_number() OVER (
-            PARTITION BY user_id, CAST(ts AS DATE) ORDER BY ts, event_id) AS n_first
-    FROM events WHERE CAST(ts AS TIME) <= TIME '13:30:00')
-SELECT l.user_id AS portfolio_id, l.date_now,
-    CAST(l.v AS DOUBLE) AS last_value, CAST(f.v AS DOUBLE) AS first_value
-FROM ranked l JOIN ranked f ON l.user_id = f.user_id AND l.date_now = f.date_now
-WHERE l.n_last = 1 AND f.n_first = 1"""
+WITH {_event_readings("user_id")},
+{MORNINGS}
+SELECT portfolio_id, date_now, CAST(amounts[-1] AS DOUBLE) AS last_value,
+    CAST(amounts[1] AS DOUBLE) AS first_value
+FROM mornings"""
 
 SPINE = f"""
-WITH {DATES}
-SELECT date_value FROM dates WHERE extract(dow FROM date_value) NOT IN (0, 6)"""
+WITH {_event_readings("user_id")},
+{WEEKDAYS}
+SELECT date_value FROM weekdays"""
 
 READING_TIMES = """
 SELECT event_id,
@@ -126,50 +116,30 @@ SELECT portfolio_id, primary_key, datetime_stamp, date_stamp,
 FROM series"""
 
 
-def _comparison(series: str, ages: dict[str, int]) -> str:
-    ranks, picks, joins = [], [], []
-    for name, days in {"now": 0, **ages}.items():
-        ranks.append(
-            f"""r_{name} AS (
-    SELECT * FROM (
-        SELECT *, row_number() OVER (
-            PARTITION BY portfolio_id ORDER BY datetime_stamp DESC, primary_key DESC) AS n
-        FROM aged WHERE age >= {days}) WHERE n = 1)"""
-        )
-        for amount in ("networth", "investment_amount"):
-            picks.append(f"CAST(r_{name}.{amount} AS DOUBLE) AS {amount}_{name}")
-        if name != "now":
-            joins.append(f"LEFT JOIN r_{name} ON r_{name}.portfolio_id = r_now.portfolio_id")
-    return f"""
-WITH {series},
-aged AS (
-    SELECT *, date_part('day',
-        max(datetime_stamp) OVER (PARTITION BY portfolio_id) - datetime_stamp) AS age
-    FROM series),
-{_comma(ranks)}
-SELECT r_now.portfolio_id,
-    {_comma(picks)}
-FROM r_now {" ".join(joins)}"""
-
-
-def _comparison_global(series: str, ages: dict[str, int]) -> str:
-    tables, picks = [], []
-    for name, days in {"now": 0, **ages}.items():
-        tables.append(
-            f"""r_{name} AS (
-    SELECT * FROM aged WHERE age >= {days}
-    ORDER BY datetime_stamp DESC, primary_key DESC LIMIT 1)"""
-        )
-        for amount in ("networth", "investment_amount"):
-            picks.append(f"(SELECT CAST({amount} AS DOUBLE) FROM r_{name}) AS {amount}_{name}")
+def _compared(ages: dict[str, int]) -> str:
+    """The picks of a comparison, from readings that know the newest instant."""
+    picks = []
+    for amount in ("networth", "investment_amount"):
+        for name, days in {"now": 0, **ages}.items():
+            ordered = f"list({amount} ORDER BY datetime_stamp DESC, primary_key DESC)"
+            old = f"FILTER (WHERE datetime_stamp <= newest - INTERVAL {days} DAY)"
+            picks.append(f"({ordered} {old})[1] AS {amount}_{name}")
+    return _comma(picks)
+
+
+def _comparison(series: str, ages: dict[str, int], by_portfolio: bool = True) -> str:
+    key = "portfolio_id" if by_portfolio else ""
     return f"""
 WITH {series},
-aged AS (
-    SELECT *, date_part('day',
-        (SELECT max(datetime_stamp) FROM series) - datetime_stamp) AS age
+dated AS (
+    SELECT *, max(datetime_stamp) OVER ({f"PARTITION BY {key}" if key else ""}) AS newest
     FROM series),
-{_comma(tables)}
-SELECT {_comma(picks)}"""
+comparison AS (
+    SELECT {f"{key}," if key else ""}
+    {_compared(ages)}
+    FROM dated GROUP BY ALL)
+SELECT {f"{key}," if key else ""} CAST(COLUMNS('networth_|investment_') AS DOUBLE)
+FROM comparison"""
 
 
 AGES = {"thirty_days_ago": 30, "sixty_days_ago": 60}
@@ -250,23 +220,22 @@ SELECT {own_keys}stock_symbol, CAST(total_amount AS DOUBLE) AS total_amount,
 FROM assets"""
 
 
-ASSET_TOTALS = (
-    f"WITH {SINGLE_STOCKS},\n{_assets('')}\n"
-    + "\nUNION ALL\n".join(
-        f"SELECT DISTINCT '{c}' AS assett_class, CAST((SELECT DISTINCT sum(amount_{c}) OVER () "
-        f"FROM assets) AS DOUBLE) AS amount FROM assets"
-        for c in CLASSES
-    )
-)
+def _totals(keys: str) -> str:
+    """Every amount as a row of its own, summed per class."""
+    names = ", ".join(f"'{c}'" for c in CLASSES)
+    amounts = ", ".join(f"amount_{c}" for c in CLASSES)
+    return f"""totals AS (
+    SELECT {keys}assett_class, sum(amount) AS amount
+    FROM (SELECT {keys}unnest([{names}]) AS assett_class, unnest([{amounts}]) AS amount FROM assets)
+    GROUP BY ALL)"""
 
-ASSET_TOTALS_HELD = (
-    f"WITH {HELD_STOCKS},\n{_assets('s.portfolio_id, ')}\n"
-    + "\nUNION ALL\n".join(
-        f"SELECT DISTINCT portfolio_id, '{c}' AS assett_class, "
-        f"CAST(sum(amount_{c}) OVER (PARTITION BY portfolio_id) AS DOUBLE) AS amount FROM assets"
-        for c in CLASSES
-    )
-)
+
+def _totals_query(stocks: str, keys: str, own_keys: str) -> str:
+    return f"""
+WITH {stocks},
+{_assets(keys)},
+{_totals(own_keys)}
+SELECT {own_keys}assett_class, CAST(amount AS DOUBLE) AS amount FROM totals"""
 
 
 # Payloads and snapshots
@@ -410,8 +379,7 @@ FROM events GROUP BY CAST(ts AS DATE)"""
 
 def _model_run() -> str:
     """Rows and column totals of all six models over orders, lineitem and part."""
-    amount = f"CASE WHEN {{0}} THEN {PRICE} ELSE 0 END"
-    invested = amount.format("o_orderstatus IN ('F', 'O')")
+    invested = f"CASE WHEN o_orderstatus IN ('F', 'O') THEN {PRICE} ELSE 0 END"
     series = f"""series AS (
     SELECT o_custkey AS portfolio_id, o_orderkey AS primary_key, o_orderdate AS datetime_stamp,
         CAST(o_orderdate AS DATE) AS date_stamp, {PRICE} AS networth,
@@ -420,41 +388,16 @@ def _model_run() -> str:
     FROM orders),
 snapshots AS (
     SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01 00:00:00'),
-aged AS (
-    SELECT *, date_part('day',
-        max(datetime_stamp) OVER (PARTITION BY portfolio_id) - datetime_stamp) AS age
-    FROM series)"""
-    ranked = []
-    for name, days in {"now": 0, **AGES}.items():
-        ranked.append(
-            f"""r_{name} AS (SELECT * FROM (
-    SELECT *, row_number() OVER (
-        PARTITION BY portfolio_id ORDER BY datetime_stamp DESC, primary_key DESC) AS n
-    FROM aged WHERE age >= {days}) WHERE n = 1)"""
-        )
-    gains = f"""days AS (
-    SELECT CAST(unnest(generate_series(
-        (SELECT min(o_orderdate) FROM snapshots), (SELECT max(o_orderdate) FROM snapshots),
-        INTERVAL 1 DAY)) AS DATE) AS date_value),
-ranked AS (
-    SELECT o_custkey AS portfolio_id, CAST(o_orderdate AS DATE) AS date_now, {invested} AS v,
-        row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS n_last,
-        row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) AS n_first
-    FROM snapshots),
-gains AS (
-    SELECT s.portfolio_id, s.date_value, pre.v AS pre_investment, post.v AS post_investment,
-        post.v - pre.v AS gains_losses
-    FROM (SELECT portfolio_id, date_value
-          FROM (SELECT DISTINCT o_custkey AS portfolio_id FROM snapshots) CROSS JOIN days) s
-    LEFT JOIN ranked pre ON pre.portfolio_id = s.portfolio_id
-        AND pre.date_now = s.date_value AND pre.n_last = 1
-    LEFT JOIN ranked post ON post.portfolio_id = s.portfolio_id
-        AND post.date_now = s.date_value + 1 AND post.n_first = 1
-    WHERE extract(dow FROM s.date_value) BETWEEN 1 AND 5),
-gains_losses AS (
-    SELECT *, lead(gains_losses) OVER (
-        PARTITION BY portfolio_id ORDER BY date_value DESC) AS previous_day_gains
-    FROM gains)"""
+readings AS (
+    SELECT o_custkey AS portfolio_id, o_orderkey AS primary_key, o_orderdate AS ts,
+        {invested} AS amount
+    FROM snapshots)"""
+    comparison = f"""dated AS (
+    SELECT *, max(datetime_stamp) OVER (PARTITION BY portfolio_id) AS newest FROM series),
+comparison AS (
+    SELECT portfolio_id,
+    {_compared(AGES)}
+    FROM dated GROUP BY ALL)"""
     # The newest snapshot of an order portfolio holds one order's amount.
     stocks = f"""latest AS (SELECT * FROM (
     SELECT *, row_number() OVER (
@@ -468,27 +411,12 @@ stocks AS (
         f"WHEN o_orderstatus IS NOT NULL THEN 0 END"
         for i, (_, s) in enumerate(ORDER_ACCOUNTS, 1))}, 2) AS total_amount
     FROM held h LEFT JOIN latest l ON l.o_custkey = h.o_custkey)"""
-    totals = "totals AS (" + " UNION ALL ".join(
-        f"SELECT portfolio_id, sum(amount_{c}) AS amount FROM assets GROUP BY portfolio_id"
-        for c in CLASSES
-    ) + ")"
-    comparison = (
-        "comparison AS (SELECT "
-        + ", ".join(
-            f"r_{n}.{a} AS {a}_{n}"
-            for a in ("networth", "investment_amount")
-            for n in ("now", *AGES)
-        )
-        + " FROM r_now "
-        + " ".join(f"LEFT JOIN r_{n} ON r_{n}.portfolio_id = r_now.portfolio_id" for n in AGES)
-        + ")"
-    )
     columns = {
         ("networth", "series"): ["networth", "investment_amount"],
         ("networth_comparison", "comparison"): [
             f"{a}_{n}" for a in ("networth", "investment_amount") for n in ("now", *AGES)
         ],
-        ("gains_losses", "gains_losses"): [
+        ("gains_losses", "gains"): [
             "pre_investment", "post_investment", "gains_losses", "previous_day_gains",
         ],
         ("stock_distribution", "stocks"): ["total_amount"],
@@ -502,25 +430,28 @@ stocks AS (
         for (model, table), names in columns.items()
         for c in names
     ]
-    ctes = [series, *ranked, comparison, gains, stocks, _assets("s.portfolio_id, "), totals]
+    assets = _assets("s.portfolio_id, ")
+    ctes = [series, comparison, GAINS, stocks, assets, _totals("portfolio_id, ")]
     return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL\n".join(rows)
 
 
 ORACLE_SQL: dict[str, str] = {
-    "gains_losses": _gains("user_id"),
-    "gains_losses_global": _gains(None),
+    "gains_losses": _gains("user_id", "portfolio_id, "),
+    "gains_losses_global": _gains("0", ""),
     "networth": NETWORTH,
     "networth_comparison": _comparison(ORDER_SERIES, AGES),
-    "networth_comparison_global": _comparison_global(ORDER_SERIES, AGES),
+    "networth_comparison_global": _comparison(ORDER_SERIES, AGES, by_portfolio=False),
     "networth_comparison_ages": _comparison(EVENT_SERIES, SHORT_AGES),
     "stock_distribution": _stocks_query(SINGLE_STOCKS, ""),
     "asset_distribution": _assets_query(SINGLE_STOCKS, "", ""),
-    "asset_totals": ASSET_TOTALS,
+    "asset_totals": _totals_query(SINGLE_STOCKS, "", ""),
     "stock_distribution_by_portfolio": _stocks_query(HELD_STOCKS, "portfolio_id, "),
     "asset_distribution_by_portfolio": _assets_query(
         HELD_STOCKS, "s.portfolio_id, ", "portfolio_id, "
     ),
-    "asset_totals_by_portfolio": ASSET_TOTALS_HELD,
+    "asset_totals_by_portfolio": _totals_query(
+        HELD_STOCKS, "s.portfolio_id, ", "portfolio_id, "
+    ),
     "account_snapshot": ACCOUNT_SNAPSHOT,
     "account_readings": ACCOUNT_READINGS,
     "balance_rules": BALANCE_RULES,
