@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ledgerlane.sources.workspace import new_run_folder
 
 # Whole texts are handled in slices of about this many bytes inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 

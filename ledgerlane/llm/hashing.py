@@ -30,7 +30,7 @@ def _powers(n: int, base: int) -> np.ndarray:
 
 
 def powers(n: int, base: int = _FACTOR) -> np.ndarray:
-    size = 1 << 22
+    size = 1 << 21
     while size < n:
         size *= 2
     return _powers(size, base)[:n]
