@@ -68,15 +68,19 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             only = np.zeros(end - first, bool)
             only[once] = True
             keep = only[text]
-            hashes, text = hashes[keep], text[keep].astype(np.uint16)
+            hashes, text = hashes[keep], text[keep]
 
+            # In a bucket shingles stand by set, so how many there are of each set says whose they are.
             buckets = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+            order = np.argsort(buckets * (end - first) + text)
+            hashes, text, buckets = hashes[order], text[order], buckets[order]
             cuts = list(stretches(buckets))
             n = len(cuts)
             rows = {
                 "bucket": [*(c[0] for c in cuts), chunk % (1 << bits)], "chunk": [chunk] * (n + 1),
                 "hashes": [packed(hashes[a:b]) for _, a, b in cuts] + [None],
-                "sets": [text[a:b].tobytes() for _, a, b in cuts] + [None],
+                "sets": [np.bincount(text[a:b], minlength=end - first).astype(np.uint32).tobytes() for _, a, b in cuts]
+                + [None],
                 "sizes": [None] * n + [np.where(only, sizes, -1 - sizes).astype(np.int64).tobytes()],
                 "ids": [None] * n + [ids.tobytes()],
                 "doc_ids": [None] * n + [doc_ids.slice(first, end - first).to_pylist()],
@@ -98,7 +102,8 @@ def _counted(bits: int, key: tuple, table: pa.Table) -> pa.Table:
         parts = [unpacked(h.as_py(), bucket, bits) for h in dealt.column("hashes")]
         hashes = np.concatenate(parts)
         chunk = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
-        sets = np.concatenate([np.frombuffer(s.as_py(), np.uint16) for s in dealt.column("sets")])
+        held = [np.frombuffer(s.as_py(), np.uint32) for s in dealt.column("sets")]
+        sets = np.concatenate([np.repeat(np.arange(len(h), dtype=np.uint16), h) for h in held])
         order = np.argsort(hashes)
         ordered = hashes[order]
         starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
@@ -247,19 +252,17 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(sets: DataFrame, block_sets: int = BLOCK_SETS) -> tuple[DataFrame, DataFrame]:
-    """Step 4: sets with their block, and the pairs of blocks that may hold links."""
-    homes = sets.withColumn("home", F.element_at("prefix", -1))
+    """Step 4: the block of each set (id, block), and the pairs of blocks that may hold links."""
+    homes = sets.select("id", "n", "prefix", (F.octet_length("shared") / 8).cast("long").alias("m"),
+                        F.element_at("prefix", -1).alias("home"))
     crowd = homes.groupBy("home").agg(F.count(F.lit(1)).alias("crowd"))
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / block_sets)).cast("int")
     blocked = stored(
-        homes.join(crowd, "home").withColumn(
-            "block",
-            F.struct("home", F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / block_sets)).cast("int").alias("part")),
-        ).drop("crowd", "home"),
+        homes.join(crowd, "home").withColumn("block", F.struct("home", part.alias("part"))).drop("crowd", "home"),
         "blocks",
     )
     lists = (
-        blocked.select("block", "n", (F.octet_length("shared") / 8).cast("long").alias("m"),
-                     F.posexplode("prefix").alias("place", "shingle"))
+        blocked.select("block", "n", "m", F.posexplode("prefix").alias("place", "shingle"))
         # What can still be common from this place on.
         .withColumn("left", F.col("m") - F.col("place"))
         .groupBy("shingle", "block")
@@ -277,7 +280,7 @@ def candidate_pairs(sets: DataFrame, block_sets: int = BLOCK_SETS) -> tuple[Data
         (F.col("one.shingle") == F.col("two.shingle")) & (F.col("one.block") < F.col("two.block"))
         & reach("one", "two") & reach("two", "one"),
     ).select(F.col("one.block").alias("a"), F.col("two.block").alias("b")).distinct()
-    return blocked, across
+    return blocked.select("id", "block"), across
 
 
 def links(classes: DataFrame) -> DataFrame:
@@ -287,9 +290,10 @@ def links(classes: DataFrame) -> DataFrame:
     sides = pairs.select("pair", F.col("a").alias("block"), F.lit(False).alias("second")).unionByName(
         pairs.select("pair", F.col("b").alias("block"), F.lit(True).alias("second"))
     )
-    columns = ("id", "n", "size", "shared")
-    own = blocked.select(F.xxhash64("block").alias("pair"), F.lit(False).alias("second"), *columns)
-    work = sides.join(blocked, "block").select("pair", "second", *columns).unionByName(own)
+    members = sides.join(blocked, "block").select("pair", "second", "id").unionByName(
+        blocked.select(F.xxhash64("block").alias("pair"), F.lit(False).alias("second"), "id")
+    )
+    work = members.join(classes.select("id", "n", "size", "shared"), "id")
     groups = 4 * shuffle_width(classes.sparkSession)
     return (
         work.withColumn("task", F.pmod("pair", F.lit(groups)))
