@@ -62,8 +62,8 @@ def utf8(texts: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
-def byte_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a string array into slices of about SLICE_BYTES, never inside a text.
+def byte_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Cut a string array into slices of about `size` bytes, never inside a text.
 
     Yields first row, row after the last, the bytes of these rows, and the byte
     offset of each row and of the end. A null text has no bytes.
@@ -81,7 +81,7 @@ def byte_slices(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(texts):
-        end = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, side="right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         end = min(max(end, first + 1), len(texts))
         at = offsets[first : end + 1]
         yield first, end, raw[at[0] : at[-1]], at - at[0]

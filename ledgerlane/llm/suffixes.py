@@ -20,10 +20,10 @@ from ledgerlane.llm.hashing import (
 
 SPAN = 400
 # Bytes of an anchor in the first search, and of one that names a group of strings.
-FIRST_ANCHOR, GROUP_ANCHOR = 352, 32
+FIRST_ANCHOR, GROUP_ANCHOR = 336, 32
 # Bytes that one transform is built over, about; a group with more is split further.
 BLOCK_BYTES = 1 << 20
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 3 << 20
 
 _PLACE = np.uint64((1 << 31) - 1)
 
@@ -69,10 +69,12 @@ def anchored_runs(
 
 # --- Strings that may occur again ---------------------------------------------------------------
 
-_DEALT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("runs", pa.binary()),
+_DEALT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("tags", pa.binary()),
+                    ("runs", pa.binary()),
                     ("ids", pa.binary()), ("texts", pa.binary()), ("starts", pa.binary()), ("lengths", pa.binary())])
-_DEALT_SQL = ("bucket int, chunk long, hashes binary, runs binary, ids binary, texts binary, starts binary, lengths binary")
-_BACK = pa.schema([f for f in _DEALT if f.name not in ("bucket", "hashes")])
+_DEALT_SQL = ("bucket int, chunk long, hashes binary, tags binary, runs binary, ids binary, texts binary, starts binary, "
+              "lengths binary")
+_BACK = pa.schema([f for f in _DEALT if f.name not in ("bucket", "hashes", "tags")])
 _BACK_SQL = "chunk long, runs binary, ids binary, texts binary, starts binary, lengths binary"
 _RUNS = pa.schema([("id", pa.binary()), ("starts", pa.binary()), ("lengths", pa.binary())])
 _RUNS_SQL = "id binary, starts binary, lengths binary"
@@ -84,19 +86,23 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
         ids = np.array([x.as_py() for x in batch.column("id")], "S16")
-        for first, end, raw, offsets in byte_slices(batch.column("text")):
+        for first, end, raw, offsets in byte_slices(batch.column("text"), BLOCK_BYTES):
             begins, lengths, hashes, text = anchored_runs(raw, offsets, FIRST_ANCHOR)
             _, once = np.unique(ids[first:end], return_index=True)
             only = np.isin(text, once)
             begins, lengths, hashes, text = begins[only], lengths[only], hashes[only], text[only]
             if not len(begins):
                 continue
-            order = np.argsort(hashes, kind="stable")
+            order = np.argsort(hashes)
+            joined_ids = b"".join(x.ljust(16, b"\0") for x in ids[first:end].tolist())
+            # A place in a text, so that copies of the text are not taken for other places.
+            place = np.frombuffer(joined_ids, np.uint64)[::2][text] + (begins - offsets[text]).astype(np.uint64)
+            tags = (mixed(place) >> np.uint64(32)).astype(np.uint32)
             buckets = (hashes[order] >> np.uint64(64 - bits)).astype(np.int64)
             cuts = list(stretches(buckets))
             n = len(cuts)
             table = {
-                "ids": b"".join(x.ljust(16, b"\0") for x in ids[first:end].tolist()),
+                "ids": joined_ids,
                 "texts": text.astype(np.int32).tobytes(),
                 "starts": (begins - offsets[text]).astype(np.int32).tobytes(),
                 "lengths": lengths.astype(np.int32).tobytes(),
@@ -104,13 +110,14 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             yield pa.RecordBatch.from_pydict({
                 "bucket": [*(c[0] for c in cuts), chunk % (1 << bits)], "chunk": [chunk] * (n + 1),
                 "hashes": [packed(hashes[order[a:b]]) for _, a, b in cuts] + [None],
+                "tags": [tags[order[a:b]].tobytes() for _, a, b in cuts] + [None],
                 "runs": [order[a:b].astype(np.int32).tobytes() for _, a, b in cuts] + [None],
             } | {c: [None] * n + [v] for c, v in table.items()}, schema=_DEALT)
             chunk += 1
 
 
 def _repeated(bits: int, key: tuple, table: pa.Table) -> pa.Table:
-    """Anchors that occur at two places or more go back to their chunk."""
+    """Anchors that occur at two places or more, of one text or of different ones, go back to their chunk."""
     dealt = table.filter(pc.is_valid(table.column("hashes")))
     tables = table.filter(pc.is_null(table.column("hashes")))
     rows = {"chunk": tables.column("chunk").to_pylist(), "runs": [None] * len(tables)}
@@ -120,10 +127,15 @@ def _repeated(bits: int, key: tuple, table: pa.Table) -> pa.Table:
         chunk = np.repeat(dealt.column("chunk").to_numpy(), [len(p) for p in parts])
         hashes = np.concatenate(parts)
         runs = np.frombuffer(b"".join(dealt.column("runs").to_pylist()), np.int32)
-        _, which, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-        again = counts[which] > 1
-        order = np.argsort(chunk[again], kind="stable")
-        chunk, runs = chunk[again][order], runs[again][order]
+        tags = np.frombuffer(b"".join(dealt.column("tags").to_pylist()), np.uint32)
+        order = np.lexsort((tags, hashes))
+        hashes, tags = hashes[order], tags[order]
+        fresh = np.append(True, hashes[1:] != hashes[:-1])
+        place = fresh | np.append(True, tags[1:] != tags[:-1])
+        which = np.cumsum(fresh) - 1
+        again = order[np.bincount(which, place)[which] > 1]
+        again = again[np.argsort(chunk[again], kind="stable")]
+        chunk, runs = chunk[again], runs[again]
         for name, a, b in stretches(chunk):
             rows["chunk"].append(name)
             rows["runs"].append(runs[a:b].tobytes())
@@ -155,41 +167,81 @@ def _by_text(table: pa.Table) -> pa.Table:
 
 # --- Groups of strings with one anchor ----------------------------------------------------------
 
-_PARTS_SQL = "id binary, start int, n int, name binary, anchor long, bytes binary"
+_PARTS = pa.schema([("id", pa.binary()), ("starts", pa.binary()), ("n", pa.int32()), ("name", pa.binary()),
+                    ("anchor", pa.int64()), ("bytes", pa.binary()), ("weight", pa.int64())])
+_PARTS_SQL = "id binary, starts binary, n int, name binary, anchor long, bytes binary, weight long"
+
+
+def _part_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of about BLOCK_BYTES."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += len(row[5]) + 200
+        if size > BLOCK_BYTES:
+            yield _part_batch(held)
+            held, size = [], 0
+    if held:
+        yield _part_batch(held)
+
+
+def _part_batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PARTS, strict=True)], schema=_PARTS
+    )
+
+
+def _text_parts(text_id: bytes, text: bytes, starts: bytes, lengths: bytes) -> Iterator[tuple]:
+    raw = np.frombuffer(text, np.uint8)
+    begins, sizes, hashes, _ = anchored_runs(raw, np.array([0, len(raw)]), GROUP_ANCHOR)
+    may = np.zeros(len(raw) + 1, np.int8)
+    s = np.frombuffer(starts, np.int32)
+    may[s] += 1
+    may[s + np.frombuffer(lengths, np.int32)] -= 1
+    owner = np.repeat(np.arange(len(begins)), sizes)
+    at = np.flatnonzero(np.cumsum(may)[: len(owner)] > 0)
+    if not len(at):
+        return
+    fresh = np.append(True, (np.diff(at) > 1) | (np.diff(owner[at]) > 0))
+    first = at[fresh]
+    n = np.diff(np.append(np.flatnonzero(fresh), len(at)))
+    found: dict[bytes, tuple[int, int, list[int]]] = {}
+    for a, k, h in zip(first.tolist(), n.tolist(), hashes[owner[first]].view(np.int64).tolist(), strict=True):
+        found.setdefault(text[a : a + k + SPAN - 1], (k, h, []))[2].append(a)
+    for part, (k, h, places) in found.items():
+        name = hashlib.blake2b(part, digest_size=16).digest()
+        yield text_id, np.array(places, np.int32).tobytes(), k, name, h, part, len(places)
 
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut a text's runs where the anchor that names the group changes; a part holds its strings' bytes."""
-    for batch in batches:
-        ids, starts, lengths = (batch.column(c).to_pylist() for c in ("id", "starts", "lengths"))
-        rows: dict[str, list] = {c: [] for c in ("id", "start", "n", "name", "anchor", "bytes")}
-        for number, text in enumerate(utf8(batch.column("text"))):
-            raw = np.frombuffer(text, np.uint8)
-            begins, sizes, hashes, _ = anchored_runs(raw, np.array([0, len(raw)]), GROUP_ANCHOR)
-            may = np.zeros(len(raw) + 1, np.int8)
-            s = np.frombuffer(starts[number], np.int32)
-            may[s] += 1
-            may[s + np.frombuffer(lengths[number], np.int32)] -= 1
-            may = np.cumsum(may)[: len(raw)] > 0
-            owner = np.repeat(np.arange(len(begins)), sizes)
-            at = np.flatnonzero(may[: len(owner)])
-            if not len(at):
-                continue
-            fresh = np.append(True, (np.diff(at) > 1) | (np.diff(owner[at]) > 0))
-            first = at[fresh]
-            n = np.diff(np.append(np.flatnonzero(fresh), len(at)))
-            for a, k, h in zip(first.tolist(), n.tolist(), hashes[owner[first]].view(np.int64).tolist(), strict=True):
-                part = text[a : a + k + SPAN - 1]
-                rows["id"].append(ids[number])
-                rows["start"].append(a)
-                rows["n"].append(k)
-                rows["name"].append(hashlib.blake2b(part, digest_size=16).digest())
-                rows["anchor"].append(h)
-                rows["bytes"].append(part)
-        types = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], names=list(rows)
-        )
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            columns = (batch.column(c) for c in ("id", "starts", "lengths"))
+            for text_id, s, k, text in zip(*columns, utf8(batch.column("text")), strict=True):
+                yield from _text_parts(text_id.as_py(), text, s.as_py(), k.as_py())
+
+    yield from _part_batches(rows())
+
+
+def _single_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each string of a large group as a part of its own, in a group named by its first bytes."""
+
+    def rows() -> Iterator[tuple]:
+        for batch in batches:
+            columns = (batch.column(c) for c in ("id", "starts", "n", "bytes", "weight"))
+            for text_id, starts, n, part, weight in zip(*columns, strict=True):
+                part, places = part.as_py(), np.frombuffer(starts.as_py(), np.int32)
+                for k in range(n.as_py()):
+                    one = part[k : k + SPAN]
+                    head = hashlib.blake2b(one[:GROUP_ANCHOR], digest_size=8).digest()
+                    name = hashlib.blake2b(one, digest_size=16).digest()
+                    anchor = int.from_bytes(head, "little", signed=True)
+                    yield text_id.as_py(), (places + k).astype(np.int32).tobytes(), 1, name, anchor, one, weight.as_py()
+
+    yield from _part_batches(rows())
 
 
 # --- The transform ------------------------------------------------------------------------------
@@ -209,7 +261,7 @@ def bounded_suffix_order(symbols: np.ndarray, ends: np.ndarray, owner: np.ndarra
         shifted[place + k > ends[owner]] = 0
         key = (key << np.uint64(9)) | shifted
     length = 7
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     while True:
         ordered = key[order]
         rank = np.empty(n, np.int64)
@@ -220,7 +272,7 @@ def bounded_suffix_order(symbols: np.ndarray, ends: np.ndarray, owner: np.ndarra
         past = beyond > ends[owner]
         second = np.where(past, owner, parts + rank[np.minimum(beyond, n - 1)])
         key = rank.astype(np.uint64) * np.uint64(n + parts + 1) + second.astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         length *= 2
 
 
@@ -237,9 +289,9 @@ def common_prefix_groups(bwt: np.ndarray, first: np.ndarray, span: int) -> np.nd
     n = len(bwt)
     by_symbol = np.argsort(bwt, kind="stable")
     ends_part = int((bwt == 0).sum())
-    step = np.empty(n, np.int64)  # where a suffix stands when its preceding symbol is put before it
+    step = np.empty(n, np.int32)  # where a suffix stands when its preceding symbol is put before it
     step[by_symbol] = np.arange(n)
-    after, before = np.full(n, -1), np.full(n, -1)
+    after, before = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
     same = bwt[by_symbol[1:]] == bwt[by_symbol[:-1]]
     same[: max(ends_part - 1, 0)] = False
     after[by_symbol[:-1][same]] = by_symbol[1:][same]
@@ -249,16 +301,16 @@ def common_prefix_groups(bwt: np.ndarray, first: np.ndarray, span: int) -> np.nd
     # Ends of parts differ from one another; other suffixes part at their first symbol.
     new = np.flatnonzero(np.append(True, (first[1:] != first[:-1]) | (first[1:] == 0)))
     border[new] = True
-    group = np.cumsum(border) - 1
+    group = (np.cumsum(border) - 1).astype(np.int32)
     groups = int(group[-1]) + 1
-    low = np.zeros(2 * n + 1, np.int64)
-    high = np.zeros(2 * n + 1, np.int64)
+    low = np.zeros(2 * n + 1, np.int32)
+    high = np.zeros(2 * n + 1, np.int32)
     low[:groups] = new
     high[:groups] = np.append(new[1:], n)
     # At first every piece but the largest counts as parted from the whole.
     whole = np.zeros(groups, np.int64)
     pieces_low, pieces_high, pieces_group, parents = low[:groups].copy(), high[:groups].copy(), np.arange(groups), whole
-    origin = np.arange(2 * n + 1)
+    origin = np.arange(2 * n + 1, dtype=np.int32)
     for _ in range(1, span):
         # Walk every piece but the largest of each parted interval.
         sizes = pieces_high - pieces_low
@@ -344,27 +396,6 @@ def _searched(table: pa.Table) -> pa.Table:
     )
 
 
-def _single_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each string of a large group as a part of its own, in a group named by its first bytes."""
-    for batch in batches:
-        rows: dict[str, list] = {c: [] for c in ("id", "start", "n", "name", "anchor", "bytes")}
-        columns = (batch.column(c).to_pylist() for c in ("id", "start", "n", "bytes"))
-        for text_id, start, n, part in zip(*columns, strict=True):
-            for k in range(n):
-                one = part[k : k + SPAN]
-                head = hashlib.blake2b(one[:GROUP_ANCHOR], digest_size=8).digest()
-                rows["id"].append(text_id)
-                rows["start"].append(start + k)
-                rows["n"].append(1)
-                rows["name"].append(hashlib.blake2b(one, digest_size=16).digest())
-                rows["anchor"].append(int.from_bytes(head, "little", signed=True))
-                rows["bytes"].append(one)
-        types = (pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], names=list(rows)
-        )
-
-
 _REMOVED_SQL = "id binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -374,9 +405,11 @@ def _removed(keep_text: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.
         columns = (batch.column(c).to_pylist() for c in ("id", "found"))
         for text_id, found, text in zip(*columns, utf8(batch.column("text")), strict=True):
             edges = np.zeros(len(text) + 1, np.int64)
-            for start, starts in ((f["start"], np.frombuffer(f["found"], np.int32)) for f in found):
-                np.add.at(edges, start + starts, 1)
-                np.add.at(edges, start + starts + SPAN, -1)
+            for f in found:
+                within = np.frombuffer(f["found"], np.int32)
+                at = (np.frombuffer(f["starts"], np.int32)[:, None] + within).ravel()
+                np.add.at(edges, at, 1)
+                np.add.at(edges, at + SPAN, -1)
             gone = np.cumsum(edges)[: len(text)] > 0
             kept = np.frombuffer(text, np.uint8)[~gone].tobytes()
             rows["id"].append(text_id)
@@ -402,7 +435,7 @@ def remove_repeated(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     empty. Rows with equal texts are repeats of one another: the text is searched once, and where it
     stands in two rows all of it goes (if it has 400 bytes). Other columns are ignored.
 
-    Equal strings have equal anchors, so only strings whose anchor of 352 bytes occurs twice go
+    Equal strings have equal anchors, so only strings whose anchor of 336 bytes occurs twice go
     on. They are grouped by a shorter anchor, and each group's distinct parts are searched by
     a Burrows-Wheeler transform that is bounded at 400 bytes. A group of over GROUP_BYTES is
     split by the first bytes of its strings.
@@ -436,21 +469,21 @@ def remove_repeated(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     if not large.isEmpty():
         cut = cut.join(large, "anchor", "left_anti").unionByName(
             cut.join(large, "anchor", "left_semi")
-            .select("id", "start", "n", "name", "anchor", "bytes").mapInArrow(_single_starts, _PARTS_SQL)
+            .select(_PARTS.names).mapInArrow(_single_starts, _PARTS_SQL)
         )
-    distinct = cut.groupBy("name").agg(
+    distinct = stored(cut.groupBy("name").agg(
         F.first("anchor").alias("anchor"), F.first("n").alias("n"), F.first("bytes").alias("bytes"),
-        F.count(F.lit(1)).alias("weight"),
-    )
-    total = cut.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+        F.sum("weight").alias("weight"),
+    ), "distinct")
+    total = distinct.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     blocks = max(width, -(-total // BLOCK_BYTES))
     found = (
         distinct.withColumn("block", F.pmod("anchor", F.lit(blocks)))
         .groupBy("block").applyInArrow(lambda t: _searched(t), "name binary, found binary")
     )
     by_text = (
-        cut.select("name", "id", "start").join(found, "name")
-        .groupBy("id").agg(F.collect_list(F.struct("start", "found")).alias("found"))
+        cut.select("name", "id", "starts").join(found, "name")
+        .groupBy("id").agg(F.collect_list(F.struct("starts", "found")).alias("found"))
     )
     removed = texts.select("id", "text").join(by_text, "id").select("id", "text", "found").mapInArrow(
         partial(_removed, keep_text), _REMOVED_SQL
