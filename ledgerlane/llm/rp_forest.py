@@ -18,11 +18,12 @@ from ledgerlane.llm.common import stored
 FIT_ROWS = 65_536
 TREES = 16
 LEAF_ROWS = 64
-# Leaves a query opens, as a share of all leaves of the forest, and at least.
-OPEN_SHARE = 0.08
-OPEN_LEAST = 48
-# Index rows that are compared in one task's group.
-BLOCK_ROWS = 40_000
+# Leaves a query opens: its work does not grow with the index until that outgrows the fitted trees.
+OPEN_LEAVES = 512
+# Index rows (one for each tree) that are compared in one task's group.
+BLOCK_ROWS = 120_000
+# Candidate scores a group holds before it drops all but the best of each query.
+HELD_SCORES = 1_000_000
 # Candidates kept above k, since block products may round otherwise than the exact sum.
 SPARE = 12
 
@@ -194,37 +195,69 @@ def _placed_queries(
 _PAIRS = "q1 long, q2 int, k1 long, k2 int, near double"
 
 
+class Best:
+    """The `keep` best distinct items of each query so far."""
+
+    def __init__(self, queries: int, keep: int):
+        self.keep = keep
+        self.least = np.full(queries, -np.inf)  # what a further item must exceed
+        self.held = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        self.size = 0
+
+    def add(self, query: np.ndarray, item: np.ndarray, score: np.ndarray) -> None:
+        self.held.append((query, item, score))
+        self.size += len(query)
+        if self.size > HELD_SCORES:
+            self.drop()
+
+    def drop(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        query, item, score = (np.concatenate(c) for c in zip(*self.held, strict=True))
+        # An item that several trees put before a query counts once.
+        order = np.lexsort((item, query))
+        once = np.append(True, (np.diff(query[order]) != 0) | (np.diff(item[order]) != 0))[: len(order)]
+        order = order[once]
+        order = order[np.lexsort((-score[order], query[order]))]
+        starts = np.flatnonzero(np.append(True, np.diff(query[order]) != 0))[: len(order)]
+        place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
+        order, place = order[place < self.keep], place[place < self.keep]
+        full = order[place == self.keep - 1]
+        self.least[query[full]] = score[full]
+        best = query[order], item[order], score[order]
+        self.held, self.size = [best], len(order)
+        return best
+
+
 def _compared(keep: int, queries: pa.Table, items: pa.Table) -> pa.Table:
     """Best items of each query in a block: exact products of all that share a leaf."""
-    q_leaf, i_leaf = queries.column("leaf").to_numpy(), items.column("leaf").to_numpy()
-    q_order, i_order = np.argsort(q_leaf, kind="stable"), np.argsort(i_leaf, kind="stable")
-    q_x = _matrix(queries.column("vector").combine_chunks())[q_order] if len(q_leaf) else None
-    i_x = _matrix(items.column("vector").combine_chunks())[i_order] if len(i_leaf) else None
-    qs, its, scores = [], [], []
-    for leaf in np.intersect1d(q_leaf, i_leaf):
-        a, b = np.searchsorted(q_leaf[q_order], [leaf, leaf + 1])
-        c, d = np.searchsorted(i_leaf[i_order], [leaf, leaf + 1])
-        for start in range(a, b, 256):
-            near = q_x[start : min(start + 256, b)] @ i_x[c:d].T
-            n = min(keep, d - c)
-            best = np.argpartition(-near, n - 1, axis=1)[:, :n]
-            qs.append(np.repeat(q_order[start : start + len(near)], n))
-            its.append(i_order[c + best].ravel())
-            scores.append(np.take_along_axis(near, best, axis=1).ravel())
-    if not qs:
+
+    def numbered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        keys = np.stack([table.column(k).to_numpy().astype(np.int64) for k in KEY], axis=1)
+        _, first, number = np.unique(keys, axis=0, return_index=True, return_inverse=True)
+        order = np.argsort(table.column("leaf").to_numpy(), kind="stable")
+        return first, number.ravel(), order
+
+    if not len(queries) or not len(items):
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64())
         return pa.table([pa.array([], k) for k in kinds], names=["q1", "q2", *KEY, "near"])
-    q, i, s = np.concatenate(qs), np.concatenate(its), np.concatenate(scores)
-    q1, q2 = (queries.column(k).to_numpy()[q] for k in KEY)
-    order = np.lexsort((-s, q2, q1))
-    q, i, s, q1, q2 = (v[order] for v in (q, i, s, q1, q2))
-    starts = np.flatnonzero(np.r_[True, (q1[1:] != q1[:-1]) | (q2[1:] != q2[:-1])])
-    rank = np.arange(len(q)) - np.repeat(starts, np.diff(np.r_[starts, len(q)]))
-    near = rank < keep
-    k1, k2 = (items.column(k).to_numpy()[i[near]] for k in KEY)
-    return pa.table(
-        [pa.array(v) for v in (q1[near], q2[near], k1, k2, s[near])], names=["q1", "q2", *KEY, "near"]
-    )
+    q_first, q_number, q_order = numbered(queries)
+    i_first, i_number, i_order = numbered(items)
+    q_leaf, i_leaf = queries.column("leaf").to_numpy()[q_order], items.column("leaf").to_numpy()[i_order]
+    q_x = _matrix(queries.column("vector").combine_chunks().take(pa.array(q_first)))
+    i_x = _matrix(items.column("vector").combine_chunks().take(pa.array(i_first)))
+    best = Best(len(q_first), keep)
+    for leaf in np.intersect1d(q_leaf, i_leaf):
+        a, b = np.searchsorted(q_leaf, [leaf, leaf + 1])
+        c, d = np.searchsorted(i_leaf, [leaf, leaf + 1])
+        members = i_number[i_order[c:d]]
+        for start in range(a, b, 256):
+            asked = q_number[q_order[start : min(start + 256, b)]]
+            near = q_x[asked] @ i_x[members].T
+            row, column = np.nonzero(near > best.least[asked][:, None])
+            best.add(asked[row], members[column], near[row, column])
+    q, i, score = best.drop()
+    q1, q2 = (queries.column(k).to_numpy()[q_first[q]] for k in KEY)
+    k1, k2 = (items.column(k).to_numpy()[i_first[i]] for k in KEY)
+    return pa.table([pa.array(v) for v in (q1, q2, k1, k2, score)], names=["q1", "q2", *KEY, "near"])
 
 
 def _product(a: Column, b: Column) -> Column:
@@ -257,7 +290,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) ->
     queue over all trees; whatever lies in them is compared exactly, leaf blocks of at most
     BLOCK_ROWS rows at a time. Scores are double sums in component order; ties go to the
     smaller vec_id; a query's own id is no candidate. With fewer candidates than k, all that were found
-    are returned; small tables are opened whole. Rows that cannot take part (see `usable`) are neither
+    are returned; small tables are opened whole (recall: see README). Rows that cannot take part (see `usable`) are neither
     queries nor candidates. An empty table gives no rows; other columns are ignored.
     """
     rows = stored(
@@ -282,10 +315,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) ->
     blocks = _blocks(sizes, BLOCK_ROWS)
 
     asked = rows.filter(is_query)
-    opened = max(OPEN_LEAST, int(OPEN_SHARE * forest.leaves))
     queries = asked.select(*KEY).distinct().join(items.select(*KEY, "vector"), [*KEY])
     placed_queries = queries.select(*KEY, "vector").mapInArrow(
-        partial(_placed_queries, forest, blocks, (k + 1) * len(forest.roots), opened), _PLACED
+        partial(_placed_queries, forest, blocks, (k + 1) * len(forest.roots), OPEN_LEAVES), _PLACED
     )
     placed_items = items.select(*KEY, "vector").mapInArrow(partial(_placed_items, forest, blocks), _PLACED)
     pairs = placed_queries.groupBy("block").cogroup(placed_items.groupBy("block")).applyInArrow(
