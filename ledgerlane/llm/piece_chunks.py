@@ -53,19 +53,20 @@ class ChunkTable:
         return b"" if self.model.is_control(number) else piece.replace(MARK, " ").encode()
 
     def _learn(self, chunks: list[str]) -> None:
-        """Segment new chunks, laid end to end, and cut the ids where the chunks end.
+        """Segment new chunks in one text, a line feed before each, and cut the ids there.
 
-        The model sets a mark before what it is given; a leading "a" takes it and
-        keeps it off the first chunk.
+        A line feed is one piece of its own, so nothing joins across; the mark that the model
+        sets before the text stands alone and is dropped.
         """
-        ids = self.model.encode("a" + "".join(chunks), num_threads=1)[1:]
-        sizes = np.array([len(c.replace(MARK, " ").encode()) for c in chunks], np.int64)
+        ids = self.model.encode("\n" + "\n".join(chunks), num_threads=1)[1:]
+        sizes = np.array([len(c.replace(MARK, " ").encode()) + 1 for c in chunks], np.int64)
         at = np.cumsum(self.lengths[np.array(ids, np.int64)])
         ends = np.searchsorted(at, np.cumsum(sizes)) + 1
         numbers = list(map(str, ids))
         shown = list(map(self.surface.__getitem__, ids))
         first = 0
         for chunk, end in zip(chunks, ends.tolist(), strict=True):
+            first += 1
             self.counts[chunk] = end - first
             self.ids[chunk] = ",".join(numbers[first:end])
             self.surfaces[chunk] = b"".join(shown[first:end]).decode()

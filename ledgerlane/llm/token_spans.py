@@ -45,7 +45,7 @@ def allocate(
     its first byte ("first"), of its last byte ("last"), or to the one that holds
     most of its bytes ("most", the earliest of equals).
     """
-    token_starts = np.concatenate(([0], token_ends[:-1]))
+    token_starts = np.append(0, token_ends)[:-1]
     low = np.searchsorted(section_starts, token_starts, side="right") - 1
     high = np.searchsorted(section_starts, token_ends - 1, side="right") - 1
     crossing = low != high
