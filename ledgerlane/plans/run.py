@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.config import ModelConfig
-from ledgerlane.operators.checks import require_not_null, require_unique
+from ledgerlane.operators.checks import require_none, require_not_null, require_unique
 from ledgerlane.operators.latest import latest_row
 from ledgerlane.operators.reshape import columns_to_rows
 from ledgerlane.plans.distribution import asset_distribution, asset_totals, stock_distribution
@@ -36,6 +36,11 @@ def check_staging(staging: Staging, config: ModelConfig) -> None:
     stamps = [*config.keys, "datetime_now", "date_now"]
     require_not_null(staging.account_data, stamps)
     require_not_null(staging.networth_historical, stamps)
+    # Weekdays and mornings are read off datetime_now, days off date_now: they must be of one day.
+    of_two_days = F.col("date_now") != F.to_date("datetime_now")
+    require_none(
+        staging.account_data.filter(of_two_days).select(stamps), "date_now is not the day of datetime_now"
+    )
     require_unique(staging.dates, ["date_value"])
 
 

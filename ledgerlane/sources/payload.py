@@ -42,18 +42,20 @@ def encode_payload(records: Column) -> Column:
     """Array of account records to JSON text.
 
     Keys come out in field order, which is sorted for the declared record
-    schema. Numbers are written as they are, other types as text.
+    schema. Numbers are written as they are, other types as text, nulls as null.
     """
-    return F.to_json(records)
+    return F.to_json(records, {"ignoreNullFields": "false"})
 
 
 def decode_payload(payload: Column) -> Column:
     """JSON text to an array of records.
 
     Text that is not a valid list of records stops the job (FAILFAST): it would
-    otherwise turn into missing accounts.
+    otherwise turn into missing accounts. A lone record is no list.
     """
-    return F.from_json(payload, PAYLOAD, {"mode": "FAILFAST"})
+    records = F.from_json(payload, PAYLOAD, {"mode": "FAILFAST"})
+    no_list = F.raise_error(F.lit("payload is not a list of account records"))
+    return F.when(payload.rlike(r"^\s*\{"), no_list).otherwise(records)
 
 
 def payload_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
@@ -65,6 +67,14 @@ def payload_records(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
+def _read_balance(
+    rules: Iterable[BalanceRule], balance: Column, account_type: Column, account_name: Column
+) -> Column:
+    """Corrected balance; null where type or name is absent, since no rule can be ruled out then."""
+    known = account_type.isNotNull() & account_name.isNotNull()
+    return F.when(known, corrected_balance(rules, balance, account_type, account_name))
+
+
 def _corrected_records(payload: str, rules: Iterable[BalanceRule]) -> Column:
     """Array of (id, corrected balance), each record corrected once."""
     rules = tuple(rules)
@@ -72,7 +82,7 @@ def _corrected_records(payload: str, rules: Iterable[BalanceRule]) -> Column:
         decode_payload(F.col(payload)),
         lambda r: F.struct(
             r["id"].alias("id"),
-            corrected_balance(rules, r["currentBalance"], r["accountType"], r["accountName"]).alias(
+            _read_balance(rules, r["currentBalance"], r["accountType"], r["accountName"]).alias(
                 "balance"
             ),
         ),
@@ -107,7 +117,7 @@ def payload_snapshot(
         rest,
         columns,
         found=lambda name: F.col(f"_{name}").isNotNull(),
-        balance=lambda name: corrected_balance(
+        balance=lambda name: _read_balance(
             rules,
             F.col(f"_{name}.currentBalance"),
             F.col(f"_{name}.accountType"),
@@ -161,7 +171,7 @@ def account_snapshot(
         *keys,
         F.col("id").alias("_id"),
         F.col(order).alias("_order"),
-        corrected_balance(
+        _read_balance(
             rules, F.col("currentBalance"), F.col("accountType"), F.col("accountName")
         ).alias("_balance"),
     )

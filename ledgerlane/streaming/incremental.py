@@ -9,6 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlane.sources.landing import csv_options, landed_glob
 from ledgerlane.sources.warehouse import with_required, with_surrogate
 
+# A restored or copied backlog may be any age; the checkpoint alone says what was loaded.
+ANY_AGE = "36500d"
+
 
 def landed_stream(
     spark: SparkSession,
@@ -22,7 +25,7 @@ def landed_stream(
     """Stream of landed files. ``clean`` is off, archive or delete: what happens
     to a file once it has been loaded."""
     reader = spark.readStream.schema(schema).options(**csv_options(by_position))
-    reader = reader.option("cleanSource", clean)
+    reader = reader.option("cleanSource", clean).option("maxFileAge", ANY_AGE)
     if archive is not None:
         reader = reader.option("sourceArchiveDir", archive)
     if max_files is not None:

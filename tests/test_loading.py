@@ -224,3 +224,19 @@ def test_load_runs_follow_each_other(spark, root):
     loaded = history.select("portfolio_id", "datetime_now", "broker", "coins").collect()
     rows = sorted(tuple(r) for r in loaded)
     assert rows == [(p, ts, b, -5) for p in (1, 2) for ts, b in ((first, 10), (second, 20))]
+
+
+def test_an_old_file_is_loaded_after_newer_ones(spark, root):
+    import os
+    from pathlib import Path
+
+    table, checkpoint = f"{root}/t", f"{root}/c"
+    new, old = "2024-01-11 10:00:00", "2024-01-12 10:00:00"
+    write_landed(batch(spark, new), root, at(new))
+    load_new_files(landed_stream(spark, root, SCHEMA), table, checkpoint)
+    write_landed(batch(spark, old), root, at(old))
+    for file in Path(root).rglob("*m*/**/*.csv"):
+        if "12" in str(file.parent):
+            os.utime(file, (1_000_000_000, 1_000_000_000))
+    load_new_files(landed_stream(spark, root, SCHEMA), table, checkpoint)
+    assert spark.read.parquet(table).count() == 2

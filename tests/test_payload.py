@@ -110,6 +110,25 @@ def test_null_balance_stops_the_load(spark, through_rows):
         checked_snapshot(wide, new_run_folder(spark, "test"))
 
 
+@pytest.mark.parametrize("through_rows", [False, True])
+@pytest.mark.parametrize("absent", ["accountType", "accountName"])
+def test_account_without_type_or_name_stops_the_load(spark, through_rows, absent):
+    df = payloads(spark, [record("b", 1), record("c", 5) | {absent: None}])
+    wide = (
+        account_snapshot(payload_records(df), COLUMNS)
+        if through_rows
+        else payload_snapshot(df, COLUMNS)
+    )
+    with pytest.raises(LoadError, match="'unreadable': \\['c'\\]"):
+        checked_snapshot(wide, new_run_folder(spark, "test"))
+
+
+def test_lone_record_is_no_list(spark):
+    df = payloads(spark, [record("b", 1)]).withColumn("payload", F.lit(json.dumps(record("b", 1))))
+    with pytest.raises(Exception, match="not a list"):
+        payload_snapshot(df, COLUMNS).collect()
+
+
 def test_overwritten_null_balance_is_fine(spark):
     df = payloads(spark, [record("b", 1), record("c", None), record("c", 3)])
     checked = checked_snapshot(payload_snapshot(df, COLUMNS), new_run_folder(spark, "test"))

@@ -7,7 +7,7 @@ from dataclasses import replace
 
 import pytest
 
-from __spark_entry__ import queries
+from ledgerlane.queries import QUERIES
 from ledgerlane.config import ModelConfig
 from ledgerlane.operators import skew
 from ledgerlane.plans.gains import gains_losses
@@ -48,16 +48,16 @@ def plan_of(df) -> str:
     return "\n".join(lines)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cross_join_and_no_python(spark, sf_dir, name):
-    plan = plan_of(queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
         assert bad not in plan
 
 
 @pytest.mark.parametrize("name", KEYED)
 def test_keyed_queries_never_meet_in_one_task(spark, sf_dir, name):
-    plan = plan_of(queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     # Only the calendar may be sorted in one task.
     plan = re.sub(r"lag\(date_value(.*\n)+?.*Range", "", plan)
     assert "SinglePartition" not in plan
@@ -94,13 +94,13 @@ def test_readings_are_combined_before_every_shuffle(spark, sf_dir):
 
 
 def test_totals_scan_each_table_once(spark, sf_dir):
-    plan = plan_of(queries()["asset_totals_by_portfolio"](spark, sf_dir))
+    plan = plan_of(QUERIES["asset_totals_by_portfolio"](spark, sf_dir))
     assert len(re.findall(r"FileScan parquet \[l_", plan)) == 1
     assert len(re.findall(r"FileScan parquet \[p_partkey", plan)) == 1
 
 
 def test_columns_and_filters_reach_the_scan(spark, sf_dir):
-    plan = queries()["networth"](spark, sf_dir)._jdf.queryExecution().toString()
+    plan = QUERIES["networth"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "PushedFilters: [IsNotNull(o_orderdate), LessThan(o_orderdate" in plan
     assert "o_orderpriority" not in plan.split("Physical Plan")[1]
 
@@ -171,7 +171,7 @@ def test_salted_join_shuffles_both_sides_by_salt(spark, sf_dir):
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = plan_of(queries()["stock_distribution_by_portfolio"](spark, sf_dir))
+        plan = plan_of(QUERIES["stock_distribution_by_portfolio"](spark, sf_dir))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     # Direct shuffles on both sides are what lets a hot portfolio be split.
