@@ -328,3 +328,14 @@ def test_trees_split_and_flatten():
     forest = quality.fit(x, y, trees=60)
     assert ((forest.score(x) > 0.5) == y).mean() > 0.95
     assert quality.fit(x[:0], y[:0]).score(x[:3]).tolist() == [0.5] * 3
+
+
+@pytest.mark.parametrize("name", ["op3_byte_shards", "op6_ngram_jaccard", "op10_decontamination"])
+def test_sql_twins(spark, name):
+    from ledgerlane.llm.oracle import ORACLE_SQL
+    from ledgerlane.llm.queries import QUERIES
+    from tests.compare import given_tables, sorted_rows
+
+    sf_dir = "/root/testdata/sf0.001"
+    twin = given_tables(sf_dir).execute(ORACLE_SQL[name]).df()
+    assert sorted_rows(QUERIES[name](spark, sf_dir).toPandas()) == sorted_rows(twin)
