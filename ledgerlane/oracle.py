@@ -299,6 +299,30 @@ JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
 JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
 JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""
 
+HISTORY_SCHEMA_CHANGE = f"""
+WITH {FIXED}
+SELECT e.user_id AS portfolio_id, e.ts AS datetime_now, CAST(e.ts AS DATE) AS date_now,
+    epoch_us(e.ts) AS primary_key,
+    CASE WHEN e.event_id % 3 < 2 THEN CAST(f1.balance AS DOUBLE) END AS checking,
+    CASE WHEN e.event_id % 3 < 2 THEN CAST(f2.balance AS DOUBLE) END AS bitcoin,
+    CASE WHEN e.event_id % 3 > 0 THEN CAST(f3.balance AS DOUBLE) END AS dollars
+FROM events e
+JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
+JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
+JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""
+
+EXTRACT_LOAD_BY_MAP = f"""
+WITH {FIXED}
+SELECT e.user_id AS portfolio_id, e.ts AS datetime_now, CAST(e.ts AS DATE) AS date_now,
+    epoch_us(e.ts) AS primary_key,
+    CASE WHEN e.user_id % 2 = 0 THEN CAST(f1.balance AS DOUBLE) END AS card,
+    CAST(f3.balance AS DOUBLE) AS dollars,
+    CASE WHEN e.user_id % 2 = 1 THEN CAST(f2.balance AS DOUBLE) END AS bitcoin
+FROM events e
+JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
+JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
+JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""
+
 ACCOUNT_READINGS = f"""
 WITH {FIXED},
 map AS (
@@ -468,6 +492,9 @@ ORACLE_SQL: dict[str, str] = {
     "incremental_load": EVENT_ROWS,
     "landed_discovery": LANDED_DISCOVERY,
     "extract_load": EXTRACT_LOAD,
+    "repeated_load": EXTRACT_LOAD,
+    "history_schema_change": HISTORY_SCHEMA_CHANGE,
+    "extract_load_by_map": EXTRACT_LOAD_BY_MAP,
     "snapshot_append": SNAPSHOT_APPEND,
     "model_run": _model_run(),
 }

@@ -2,49 +2,68 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.config import DEFAULT_RULES, BalanceRule
-from ledgerlane.schemas import PORTFOLIO, snapshot_schema
-from ledgerlane.sources.landing import is_landed, write_landed
-from ledgerlane.sources.payload import capture_columns, checked_snapshot, payload_snapshot
-from ledgerlane.sources.warehouse import read_table
-from ledgerlane.streaming.incremental import landed_stream, load_new_files
+from ledgerlane.operators.checks import LoadError, require_unique
+from ledgerlane.schemas import PORTFOLIO
+from ledgerlane.sources.landing import is_landed, land_run
+from ledgerlane.sources.payload import (
+    capture_columns,
+    payload_snapshot,
+    payload_snapshot_by_map,
+    stopped_at_failures,
+)
+from ledgerlane.sources.warehouse import read_history
+from ledgerlane.streaming.incremental import load_landed_runs
 
 
 def run_load(
     spark: SparkSession,
     payloads: DataFrame,
-    columns: Mapping[str, str],
+    columns: Mapping[str, str] | Sequence[str],
     root: str,
     run_ts: datetime,
     rules: Iterable[BalanceRule] = DEFAULT_RULES,
-    clean: str = "off",
-    archive: str | None = None,
+    name: str = "",
+    account_map: DataFrame | None = None,
 ) -> DataFrame:
     """One run: shape, check, land, load. Returns the history so far.
 
     ``payloads`` has the portfolio, the payload text and, if captures differ in
     time, ``datetime_now``; otherwise all are stamped with the run's time.
-    Below ``root`` lie the checked snapshots of each run, the landed files, the
-    history table and the loader's checkpoint. A run that fails before its
-    files are landed leaves the history as it was; one that fails later is
-    completed by the next. Repeating a run, named by its time, lands nothing
-    again.
+    ``columns`` maps column names to account ids that all portfolios share.
+    With ``account_map`` (rows of portfolio, column_name, account_id) each
+    portfolio has its own ids, and ``columns`` names the table's columns.
+
+    Below ``root`` lie the landed files, the record of landed runs, the history
+    and the loader's checkpoint. A run is named by its time, to the
+    microsecond, and ``name``: batches of one instant need different names, and
+    repeating a run lands nothing again. A run that fails before it is
+    published leaves the history as it was; one that fails later is completed
+    by the next. Two payloads of one portfolio and instant in a batch stop it.
     """
     if "datetime_now" in payloads.columns:
         stamps = ["datetime_now", F.to_date("datetime_now").alias("date_now")]
     else:
         stamps = capture_columns(run_ts)
     stamped = payloads.select(PORTFOLIO, *stamps, "payload")
-    if not is_landed(spark, root, run_ts):
-        shaped = f"{root}/shaped/{run_ts.strftime('%Y-%m-%dT%H-%M-%S')}"
-        wide = payload_snapshot(stamped, columns, rules)
-        write_landed(checked_snapshot(wide, shaped), root, run_ts)
-    stream = landed_stream(spark, root, snapshot_schema(columns), clean=clean, archive=archive)
-    load_new_files(stream, f"{root}/history", f"{root}/checkpoint")
-    return read_table(spark, f"{root}/history")
+    if not is_landed(spark, root, run_ts, name):
+        require_unique(stamped, [PORTFOLIO, "datetime_now"])
+        if account_map is None:
+            wide = payload_snapshot(stamped, columns, rules)
+        else:
+            wide = payload_snapshot_by_map(stamped, account_map, list(columns), rules)
+        try:
+            land_run(stopped_at_failures(wide), root, run_ts, list(columns), name)
+        except PySparkException as error:
+            if "USER_RAISED_EXCEPTION" in str(error):
+                raise LoadError(str(error)) from error
+            raise
+    load_landed_runs(spark, root)
+    return read_history(spark, root)

@@ -42,6 +42,9 @@ def check_staging(staging: Staging, config: ModelConfig) -> None:
         staging.account_data.filter(of_two_days).select(stamps), "date_now is not the day of datetime_now"
     )
     require_unique(staging.dates, ["date_value"])
+    # Equal readings would be picked at random, and by different models differently.
+    tie = [] if config.tie_breaker is None else [config.tie_breaker]
+    require_unique(staging.account_data, [*config.keys, "datetime_now", *tie])
 
 
 def run_models(

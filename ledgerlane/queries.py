@@ -23,15 +23,22 @@ from ledgerlane.plans.networth import networth, networth_comparison
 from ledgerlane.plans.run import Staging, run_models, run_summary
 from ledgerlane.schemas import PORTFOLIO
 from ledgerlane.sources import driver_tables as given
-from ledgerlane.sources.landing import landed_glob, landed_name, read_landed, write_landed
+from ledgerlane.sources.landing import (
+    landed_glob,
+    landed_name,
+    landed_summary,
+    read_landed,
+    remove_landed,
+    write_landed,
+)
 from ledgerlane.sources.payload import (
     account_readings,
     account_snapshot,
     capture_columns,
-    checked_snapshot,
     encode_payload,
     payload_records,
     payload_snapshot,
+    stopped_at_failures,
 )
 from ledgerlane.sources.warehouse import append_snapshots, import_columns, read_table
 from ledgerlane.sources.workspace import new_run_folder
@@ -204,7 +211,7 @@ def q_payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_payload_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = payload_snapshot(_payloads(spark, sf_dir), given.PAYLOAD_ACCOUNTS)
-    return decimals_to_double(checked_snapshot(wide, new_run_folder(spark, "snapshot")))
+    return decimals_to_double(stopped_at_failures(wide))
 
 
 def q_account_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,11 +322,7 @@ def q_landed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.col("datetime_now") >= F.expr("TIMESTAMP_NTZ'2024-01-16 00:00:00'")
     write_landed(snapshots.filter(~later), root, RUN_TIME)
     write_landed(snapshots.filter(later), root, RUN_TIME + timedelta(minutes=30))
-    name = F.element_at(F.split("_metadata.file_path", "/"), -2)
-    found = read_landed(spark, landed_glob(root), LANDED).groupBy(name.alias("landed"))
-    return found.agg(
-        F.count("*").alias("readings"), F.max("datetime_now").alias("last_reading")
-    )
+    return landed_summary(read_landed(spark, landed_glob(root), LANDED))
 
 
 def q_extract_load(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,6 +333,45 @@ def q_extract_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(history)
 
 
+def q_repeated_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches of one second, two of them of one instant; all repeated, also after a cleanup."""
+    root = new_run_folder(spark, "load")
+    payloads = _payloads(spark, sf_dir)
+
+    def run(part: int) -> DataFrame:
+        batch = payloads.filter(F.col("primary_key") % 4 == part).drop("primary_key")
+        moment = RUN_TIME + timedelta(milliseconds=500 * (part // 2))
+        return run_load(spark, batch, given.PAYLOAD_ACCOUNTS, root, moment, name=f"part{part}")
+
+    for part in range(4):
+        run(part)
+    run(0)
+    remove_landed(spark, root)
+    return decimals_to_double(run(3))
+
+
+def q_history_schema_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs with two, three and one account: the history has all of them."""
+    root = new_run_folder(spark, "load")
+    payloads = _payloads(spark, sf_dir)
+    maps = (("checking", "bitcoin"), ("checking", "bitcoin", "dollars"), ("dollars",))
+    for part, names in enumerate(maps):
+        batch = payloads.filter(F.col("primary_key") % 3 == part).drop("primary_key")
+        columns = {n: given.PAYLOAD_ACCOUNTS[n] for n in names}
+        history = run_load(spark, batch, columns, root, RUN_TIME + timedelta(minutes=30 * part))
+    return decimals_to_double(history)
+
+
+def q_extract_load_by_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads into the history, each portfolio by its own account ids."""
+    root = new_run_folder(spark, "load")
+    payloads = _payloads(spark, sf_dir).drop("primary_key")
+    present = given.event_account_map(spark, sf_dir).filter("column_name <> 'lost'")
+    columns = ["card", "dollars", "bitcoin"]
+    history = run_load(spark, payloads, columns, root, RUN_TIME, account_map=present)
+    return decimals_to_double(history)
+
+
 def q_snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch append to the dated history, read back per date partition."""
     path = new_run_folder(spark, "history")
@@ -410,6 +452,9 @@ QUERIES: dict[str, Query] = {
     "incremental_load": q_incremental_load,
     "landed_discovery": q_landed_discovery,
     "extract_load": q_extract_load,
+    "repeated_load": q_repeated_load,
+    "history_schema_change": q_history_schema_change,
+    "extract_load_by_map": q_extract_load_by_map,
     "snapshot_append": q_snapshot_append,
     "model_run": q_model_run,
 }

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +20,16 @@ NAME_FORMAT = "'mint_'MM_dd_yyyy_HH-mm-ss'.csv'"
 # Microseconds survive the round trip through text.
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
+# The record of landed runs lies outside the landing folder, so that cleaning up keeps it.
+RUN_LOG_FOLDER = "runs"
+RUN_LOG = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("folder", T.StringType()),
+        T.StructField("accounts", T.ArrayType(T.StringType())),
+    ]
+)
+
 
 def landed_name(ts: Column) -> Column:
     """Path of a file landed at that time, relative to the landing root."""
@@ -26,30 +40,65 @@ def landed_folder(root: str, run_ts: datetime) -> str:
     return f"{root}/{FOLDER}/{run_ts.strftime('mint_%m_%d_%Y_%H-%M-%S.csv')}"
 
 
-def is_landed(spark: SparkSession, root: str, run_ts: datetime) -> bool:
-    """Whether that run's files were written to the end (also if removed since)."""
-    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
-        f"{landed_folder(root, run_ts)}/_SUCCESS"
-    )
-    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
+def run_identity(run_ts: datetime, name: str = "") -> str:
+    """Names a run by its full time and, if several share one instant, by a given name."""
+    if not re.fullmatch(r"[A-Za-z0-9_-]*", name):
+        raise ValueError(f"run name {name!r} has characters other than letters, digits, _ and -")
+    stamp = run_ts.strftime("%Y%m%dT%H%M%S%f")
+    return f"{stamp}-{name}" if name else stamp
+
+
+def _write_csv(df: DataFrame, folder: str) -> None:
+    writer = df.write.mode("errorifexists").option("header", True)
+    writer.option("timestampNTZFormat", CSV_TIMESTAMP).csv(folder)
 
 
 def write_landed(df: DataFrame, root: str, run_ts: datetime) -> str:
-    """Append a batch as CSV with a header below the landing root.
+    """Write a batch as CSV with a header below the landing root.
 
-    One folder per run; Spark writes one file per partition into it, so a
-    large batch is landed by all executors.
+    One folder per second; Spark writes one file per partition into it, so a
+    large batch is landed by all executors. A folder that exists is an error:
+    it may hold another batch, or be half written. ``land_run`` can be repeated.
     """
     folder = landed_folder(root, run_ts)
-    (
-        df.write.mode("append")
-        .option("header", True)
-        .option("timestampNTZFormat", CSV_TIMESTAMP)
-        .csv(folder)
-    )
+    _write_csv(df, folder)
     return folder
 
 
+def land_run(
+    df: DataFrame, root: str, run_ts: datetime, accounts: Sequence[str], name: str = ""
+) -> None:
+    """Land a run's batch, then publish it by one row in the record of runs.
+
+    Every attempt writes to a folder of its own below the run's landed name.
+    What a failed attempt leaves is never published, so nobody reads it.
+    """
+    run_id = run_identity(run_ts, name)
+    folder = f"{landed_folder(root, run_ts)}/{run_id}.{uuid.uuid4().hex}"
+    _write_csv(df, folder)
+    columns = F.array(*[F.lit(a) for a in accounts]).cast("array<string>")
+    entry = df.sparkSession.range(0, 1, 1, 1).select(
+        F.lit(run_id).alias("run_id"), F.lit(folder).alias("folder"), columns.alias("accounts")
+    )
+    entry.write.mode("append").parquet(f"{root}/{RUN_LOG_FOLDER}")
+
+
+def landed_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The record of runs: one row per published attempt, also of files removed since."""
+    try:
+        return spark.read.schema(RUN_LOG).parquet(f"{root}/{RUN_LOG_FOLDER}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RUN_LOG)
+
+
+def is_landed(spark: SparkSession, root: str, run_ts: datetime, name: str = "") -> bool:
+    """Whether that run was published (also if its files were removed since)."""
+    runs = landed_runs(spark, root).filter(F.col("run_id") == run_identity(run_ts, name))
+    return not runs.isEmpty()
+
+
 def landed_glob(root: str) -> str:
     return f"{root}/{FOLDER}/{FIND_PREFIX}*"
 
@@ -60,7 +109,8 @@ def latest_landed(spark: SparkSession, root: str) -> str:
     The names put the month before the year, so across years the last name is
     not the newest file. Incremental loading does not rely on it.
     """
-    files = spark.read.format("binaryFile").load(landed_glob(root)).select("path")
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.load(landed_glob(root)).select("path")
     path = files.agg(F.max("path")).first()[0]
     if path is None:
         raise FileNotFoundError(landed_glob(root))
@@ -78,7 +128,7 @@ def csv_options(by_position: bool) -> dict[str, str]:
 
 
 def read_landed(
-    spark: SparkSession, path: str, schema: T.StructType, by_position: bool = False
+    spark: SparkSession, path: str | list[str], schema: T.StructType, by_position: bool = False
 ) -> DataFrame:
     """Read landed files with a declared schema.
 
@@ -89,8 +139,20 @@ def read_landed(
     return spark.read.schema(schema).options(**csv_options(by_position)).csv(path)
 
 
+def landed_summary(landed: DataFrame) -> DataFrame:
+    """Per landed name: its readings and the last of them. ``landed`` was read from files."""
+    name = F.element_at(F.split("_metadata.file_path", "/"), -2)
+    return landed.groupBy(name.alias("landed")).agg(
+        F.count("*").alias("readings"), F.max("datetime_now").alias("last_reading")
+    )
+
+
 def remove_landed(spark: SparkSession, root: str) -> int:
-    """Delete all landed batches; returns how many there were."""
+    """Delete all landed batches; returns how many names there were.
+
+    The record of runs stays: a run that is repeated afterwards lands nothing.
+    Only loaded batches should be removed, a load that misses files stops.
+    """
     jvm = spark.sparkContext._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(landed_glob(root))
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -112,17 +112,71 @@ def payload_snapshot(
         *rest,
         *[_last_of(F.col("_records"), F.lit(i)).alias(f"_{name}") for name, i in columns.items()],
     )
+    return _with_checks(
+        picked,
+        rest,
+        list(columns),
+        found=lambda name: F.col(f"_{name}").isNotNull(),
+        balance=_balance_of_picked(rules),
+        account_id=lambda name: F.lit(columns[name]),
+    )
+
+
+def _balance_of_picked(rules: tuple[BalanceRule, ...]) -> Callable[[str], Column]:
+    return lambda name: _read_balance(
+        rules,
+        F.col(f"_{name}.currentBalance"),
+        F.col(f"_{name}.accountType"),
+        F.col(f"_{name}.accountName"),
+    )
+
+
+def payload_snapshot_by_map(
+    payloads: DataFrame,
+    account_map: DataFrame,
+    columns: Sequence[str],
+    rules: Iterable[BalanceRule] = DEFAULT_RULES,
+    payload: str = "payload",
+) -> DataFrame:
+    """One wide row per payload, for account maps that differ by portfolio.
+
+    A portfolio's map becomes one value, column name -> account id, and meets
+    the portfolio's payloads in a salted join; the rest happens inside the row.
+    A column the portfolio does not map is null. A portfolio without a map, a
+    map with a name outside ``columns`` and a name mapped twice stop the job;
+    ``missing`` and ``unreadable`` are as in ``payload_snapshot``.
+    """
+    rest = [c for c in payloads.columns if c != payload]
+    rules = tuple(rules)
+    entries = F.collect_list(F.struct("column_name", "account_id"))
+    maps = account_map.groupBy(PORTFOLIO).agg(F.map_from_entries(entries).alias("_ids"))
+    joined = attach_by_key(payloads, maps, [PORTFOLIO], ["datetime_now"])
+    ids = F.col("_ids")
+    stray = F.array_except(F.map_keys(ids), F.array(*[F.lit(c) for c in columns]))
+    of_portfolio = F.concat(
+        F.lit(" in the account map of portfolio "), F.coalesce(F.col(PORTFOLIO).cast("string"), F.lit("null"))
+    )
+    checked = (
+        F.when(ids.isNull(), F.raise_error(F.concat(F.lit("nothing"), of_portfolio)))
+        .when(F.size(stray) > 0, F.raise_error(F.concat(F.array_join(stray, ", "), of_portfolio)))
+        .otherwise(ids)
+    )
+    read = joined.select(*rest, checked.alias("_ids"), decode_payload(F.col(payload)).alias("_records"))
+    wanted = read.select(
+        *rest, "_records", *[F.try_element_at("_ids", F.lit(c)).alias(f"_id_{c}") for c in columns]
+    )
+    picked = wanted.select(
+        *rest,
+        *[f"_id_{c}" for c in columns],
+        *[_last_of(F.col("_records"), F.col(f"_id_{c}")).alias(f"_{c}") for c in columns],
+    )
     return _with_checks(
         picked,
         rest,
         columns,
         found=lambda name: F.col(f"_{name}").isNotNull(),
-        balance=lambda name: _read_balance(
-            rules,
-            F.col(f"_{name}.currentBalance"),
-            F.col(f"_{name}.accountType"),
-            F.col(f"_{name}.accountName"),
-        ),
+        balance=_balance_of_picked(rules),
+        account_id=lambda name: F.col(f"_id_{name}"),
     )
 
 
@@ -185,27 +239,32 @@ def account_snapshot(
     return _with_checks(
         shaped.groupBy(*keys).agg(*picks),
         list(keys),
-        columns,
+        list(columns),
         found=lambda name: F.coalesce(F.col(f"_found_{name}"), F.lit(False)),
         balance=F.col,
+        account_id=lambda name: F.lit(columns[name]),
     )
 
 
 def _with_checks(
     df: DataFrame,
     rest: list[str],
-    columns: Mapping[str, str],
+    columns: Sequence[str],
     found: Callable[[str], Column],
     balance: Callable[[str], Column],
+    account_id: Callable[[str], Column],
 ) -> DataFrame:
+    """Money columns, and the ids of accounts not found or without a balance. A null id is not asked for."""
+
     def ids_where(condition: Callable[[str], Column]) -> Column:
-        ids = [F.when(condition(name), F.lit(i)) for name, i in columns.items()]
-        return F.array_compact(F.array(*ids))
+        ids = [F.when(condition(name), F.col(f"_wanted_{name}")) for name in columns]
+        return F.array_compact(F.array(*ids).cast("array<string>"))
 
     corrected = df.select(
         *rest,
         *[money(balance(name)).alias(name) for name in columns],
         *[found(name).alias(f"_found_{name}") for name in columns],
+        *[account_id(name).alias(f"_wanted_{name}") for name in columns],
     )
     return corrected.select(
         *rest,
@@ -215,6 +274,23 @@ def _with_checks(
     )
 
 
+def stopped_at_failures(snapshot: DataFrame) -> DataFrame:
+    """The snapshot without its check columns; a missing account or balance stops the job.
+
+    The check rides in the portfolio column, so it costs no pass of its own and
+    a write that fails commits nothing.
+    """
+    failed = F.concat("missing", "unreadable")
+    message = F.concat(
+        F.lit("payload lacks mapped accounts or their balances: portfolio "),
+        F.coalesce(F.col(PORTFOLIO).cast("string"), F.lit("null")),
+        F.lit(", accounts "),
+        F.array_join(failed, ", "),
+    )
+    portfolio = F.when(F.size(failed) > 0, F.raise_error(message)).otherwise(F.col(PORTFOLIO))
+    return snapshot.withColumn(PORTFOLIO, portfolio).drop("missing", "unreadable")
+
+
 def checked_snapshot(snapshot: DataFrame, folder: str) -> DataFrame:
     """The snapshot without its check columns; raises if an account fails.
 

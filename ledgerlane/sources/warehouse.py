@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from ledgerlane.functions.clock import micros_since_epoch
 from ledgerlane.operators.checks import required
-from ledgerlane.schemas import PORTFOLIO
+from ledgerlane.schemas import PORTFOLIO, snapshot_schema
+from ledgerlane.sources.landing import landed_runs
 
 SURROGATE = "primary_key"
 NEVER_NULL = (PORTFOLIO, "datetime_now", "date_now")
@@ -60,5 +61,43 @@ def append_snapshots(snapshots: DataFrame, path: str) -> None:
     )
 
 
+def put_runs(snapshots: DataFrame, path: str) -> None:
+    """Put runs into the history, replacing what it holds of the same run and date.
+
+    Partitioned by run and date. The rebalance hint gathers a date's rows, so a
+    quiet date gets one file and a busy one several, by size.
+    """
+    (
+        with_surrogate(with_required(snapshots))
+        .hint("rebalance", "run_id", "date_now")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id", "date_now")
+        .parquet(path)
+    )
+
+
+def history_schema(runs: DataFrame) -> T.StructType:
+    """Schema of a history fed by these runs: every account any of them had.
+
+    Accounts stand in the order in which runs brought them. One row per
+    distinct account list reaches the driver, not one per run.
+    """
+    lists = runs.groupBy("accounts").agg(F.min("run_id").alias("first")).orderBy("first").collect()
+    accounts = dict.fromkeys(a for row in lists for a in row["accounts"])
+    schema = snapshot_schema(accounts)
+    return T.StructType([*schema.fields[:3], T.StructField(SURROGATE, T.LongType()), *schema.fields[3:]])
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """The history of all loaded runs, by its declared schema.
+
+    An account that a run did not have yet, or no longer had, is null there.
+    """
+    schema = history_schema(landed_runs(spark, root))
+    stored = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
+    return read_table(spark, f"{root}/history", stored).select(*schema.names)
+
+
 def write_model(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerlane.sources.landing import csv_options, landed_glob
-from ledgerlane.sources.warehouse import with_required, with_surrogate
+from ledgerlane.schemas import snapshot_schema
+from ledgerlane.sources.landing import (
+    RUN_LOG,
+    RUN_LOG_FOLDER,
+    csv_options,
+    landed_glob,
+    read_landed,
+)
+from ledgerlane.sources.warehouse import put_runs, with_required, with_surrogate
 
 # A restored or copied backlog may be any age; the checkpoint alone says what was loaded.
 ANY_AGE = "36500d"
@@ -36,6 +46,8 @@ def landed_stream(
 def load_new_files(stream: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     """Append everything not loaded yet, then stop.
 
+    For files that others land. They must appear whole, that is be renamed into
+    place; runs of this package are loaded from their record instead, below.
     The checkpoint remembers the files, and the file sink's commit log makes a
     repeated batch replace itself, so a rerun or a restart after a lost
     executor adds nothing twice. Stateless: nothing is shuffled or kept.
@@ -52,3 +64,37 @@ def load_new_files(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
     )
     query.awaitTermination()
     return query
+
+
+def load_landed_runs(spark: SparkSession, root: str) -> StreamingQuery:
+    """Put every published run that is not in the history yet into it, then stop.
+
+    Streams the record of runs, so only whole batches are read. The checkpoint
+    remembers the runs; a run's rows fill partitions of its own, which a
+    repeated batch replaces. A crash at any point, and even a lost checkpoint,
+    therefore neither loses nor doubles a row. A micro-batch brings one row per
+    run to the driver, whatever the size of the runs.
+    """
+
+    def load(batch: DataFrame, _: int) -> None:
+        # Attempts of one run hold the same rows: one of them is loaded.
+        folders = {r["run_id"]: (tuple(r["accounts"]), r["folder"]) for r in batch.collect()}
+        by_accounts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+        for accounts, folder in folders.values():
+            by_accounts[accounts].append(folder)
+        for accounts, paths in by_accounts.items():
+            landed = read_landed(spark, paths, snapshot_schema(accounts))
+            attempt = F.element_at(F.split("_metadata.file_path", "/"), -2)
+            run_id = F.substring_index(attempt, ".", 1)
+            put_runs(landed.withColumn("run_id", run_id), f"{root}/history")
+
+    log = spark.readStream.schema(RUN_LOG).option("maxFileAge", ANY_AGE)
+    query = (
+        log.parquet(f"{root}/{RUN_LOG_FOLDER}")
+        .writeStream.foreachBatch(load)
+        .option("checkpointLocation", f"{root}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
+from datetime import timedelta
+
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from ledgerlane.config import ModelConfig, weighted_spreads
 from ledgerlane.operators.checks import LoadError, require_unique
-from ledgerlane.plans.run import Staging, run_models
+from ledgerlane.plans.load import run_load
+from ledgerlane.plans.run import Staging, check_staging, run_models
 from ledgerlane.schemas import (
+    ACCOUNT_MAP,
     ASSETT_CLASS_SPLIT,
     NETWORTH_HISTORICAL,
     investment_distribution_schema,
@@ -17,19 +22,25 @@ from ledgerlane.schemas import (
 )
 from ledgerlane.sources import workspace
 from ledgerlane.sources.landing import (
-    latest_landed,
+    is_landed,
+    land_run,
+    landed_folder,
     landed_glob,
+    latest_landed,
     read_landed,
     remove_landed,
+    run_identity,
     write_landed,
 )
 from ledgerlane.sources.warehouse import (
     append_snapshots,
     import_columns,
+    put_runs,
+    read_history,
     read_table,
     with_surrogate,
 )
-from ledgerlane.streaming.incremental import landed_stream, load_new_files
+from ledgerlane.streaming.incremental import landed_stream, load_landed_runs, load_new_files
 from tests.rows import at, calendar, day, dec
 
 SCHEMA = snapshot_schema(["broker", "coins"])
@@ -200,10 +211,6 @@ def test_stream_stops_at_a_missing_capture_time(spark, root):
 
 
 def test_load_runs_follow_each_other(spark, root):
-    import json
-
-    from ledgerlane.plans.load import run_load
-
     def payload(balance):
         accounts = [
             {"id": "b", "accountType": "bank", "accountName": "x", "currentBalance": balance},
@@ -240,3 +247,128 @@ def test_an_old_file_is_loaded_after_newer_ones(spark, root):
             os.utime(file, (1_000_000_000, 1_000_000_000))
     load_new_files(landed_stream(spark, root, SCHEMA), table, checkpoint)
     assert spark.read.parquet(table).count() == 2
+
+
+def account(account_id, balance, kind="bank"):
+    return {"id": account_id, "accountType": kind, "accountName": "x", "currentBalance": balance}
+
+
+def paid(spark, *rows):
+    """Payload rows of (portfolio, {account id: balance})."""
+    texts = [(p, json.dumps([account(i, b) for i, b in accounts.items()])) for p, accounts in rows]
+    return spark.createDataFrame(texts, "portfolio_id bigint, payload string")
+
+
+RUN = at("2024-01-01 10:15:00")
+ONE = {"broker": "b"}
+
+
+def loaded(history, *columns):
+    return sorted(tuple(r) for r in history.select("portfolio_id", *columns).collect())
+
+
+def test_runs_of_one_second_and_of_one_instant_all_load(spark, root):
+    run_load(spark, paid(spark, (1, {"b": 1})), ONE, root, RUN)
+    run_load(spark, paid(spark, (2, {"b": 2})), ONE, root, RUN + timedelta(milliseconds=500))
+    history = run_load(spark, paid(spark, (3, {"b": 3})), ONE, root, RUN, name="shard-2")
+    assert loaded(history, "broker") == [(1, 1), (2, 2), (3, 3)]
+    with pytest.raises(ValueError, match="run name"):
+        run_load(spark, paid(spark, (4, {"b": 4})), ONE, root, RUN, name="a/b")
+
+
+def test_what_an_unpublished_attempt_left_is_never_loaded(spark, root):
+    left = f"{landed_folder(root, RUN)}/{run_identity(RUN)}.lost"
+    half = spark.createDataFrame([(9, RUN, RUN.date(), dec("9"))], snapshot_schema(ONE))
+    half.write.option("header", True).csv(left)
+    other = run_load(spark, paid(spark, (2, {"b": 2})), ONE, root, RUN + timedelta(minutes=30))
+    assert loaded(other, "broker") == [(2, 2)]
+    assert not is_landed(spark, root, RUN)
+    history = run_load(spark, paid(spark, (1, {"b": 1})), ONE, root, RUN)
+    assert loaded(history, "broker") == [(1, 1), (2, 2)]
+
+
+def test_a_run_repeated_after_the_cleanup_adds_nothing(spark, root):
+    batch = paid(spark, (1, {"b": 1}))
+    run_load(spark, batch, ONE, root, RUN)
+    assert remove_landed(spark, root) == 1
+    assert loaded(run_load(spark, batch, ONE, root, RUN), "broker") == [(1, 1)]
+
+
+def test_two_published_attempts_and_replayed_batches_count_once(spark, root):
+    batch = spark.createDataFrame([(1, RUN, RUN.date(), dec("1"))], snapshot_schema(ONE))
+    land_run(batch, root, RUN, list(ONE))
+    land_run(batch, root, RUN, list(ONE))
+    load_landed_runs(spark, root)
+    assert loaded(read_history(spark, root), "broker") == [(1, 1)]
+    put_runs(batch.withColumn("run_id", F.lit(run_identity(RUN))), f"{root}/history")
+    assert loaded(read_history(spark, root), "broker") == [(1, 1)]
+
+
+def test_a_folder_is_never_written_twice(spark, root):
+    write_landed(batch(spark, "2024-01-01 10:15:00"), root, RUN)
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        write_landed(batch(spark, "2024-01-01 10:15:00", portfolio=2), root, RUN)
+
+
+def test_history_keeps_all_accounts_of_all_runs(spark, root):
+    both = {"broker": "b", "card": "c"}
+    run_load(spark, paid(spark, (1, {"b": 1})), ONE, root, RUN)
+    run_load(spark, paid(spark, (1, {"b": 2, "c": 3})), both, root, RUN + timedelta(hours=1))
+    later = RUN + timedelta(hours=2)
+    history = run_load(spark, paid(spark, (1, {"c": 4})), {"card": "c"}, root, later)
+    assert history.columns[3:] == ["primary_key", "broker", "card"]
+    rows = history.orderBy("datetime_now").select("broker", "card").collect()
+    assert [tuple(r) for r in rows] == [(1, None), (2, 3), (None, 4)]
+
+
+def test_two_payloads_of_one_instant_stop_the_load(spark, root):
+    with pytest.raises(LoadError, match="duplicate portfolio_id, datetime_now"):
+        run_load(spark, paid(spark, (1, {"b": 1}), (1, {"b": 2})), ONE, root, RUN)
+    assert not is_landed(spark, root, RUN)
+
+
+def test_load_by_the_portfolios_own_ids(spark, root):
+    entries = [(1, 1, "broker", "b"), (1, 2, "card", "c"), (2, 1, "broker", "z")]
+    own = spark.createDataFrame(entries, ACCOUNT_MAP)
+    columns = ["broker", "card"]
+
+    def load(rows, account_map=own, minutes=0):
+        moment = RUN + timedelta(minutes=minutes)
+        return run_load(spark, paid(spark, *rows), columns, root, moment, account_map=account_map)
+
+    history = load([(1, {"b": 1, "c": 2, "z": 9}), (2, {"z": 3, "c": 9})])
+    assert loaded(history, *columns) == [(1, 1, 2), (2, 3, None)]
+    with pytest.raises(LoadError, match="portfolio 2, accounts z"):
+        load([(1, {"b": 1, "c": 2}), (2, {"b": 3})], minutes=1)
+    with pytest.raises(LoadError, match="portfolio 1, accounts c"):
+        load([(1, {"b": 1, "c": None})], minutes=2)
+    with pytest.raises(LoadError, match="nothing in the account map of portfolio 7"):
+        load([(7, {"b": 1})], minutes=3)
+    stray = own.unionByName(spark.createDataFrame([(2, 2, "cash", "q")], ACCOUNT_MAP))
+    with pytest.raises(LoadError, match="cash in the account map of portfolio 2"):
+        load([(2, {"z": 1})], stray, minutes=4)
+    twice = own.unionByName(spark.createDataFrame([(2, 2, "broker", "q")], ACCOUNT_MAP))
+    with pytest.raises(Exception, match="DUPLICATED_MAP_KEY"):
+        load([(2, {"z": 1})], twice, minutes=5)
+    assert loaded(read_history(spark, root), *columns) == [(1, 1, 2), (2, 3, None)]
+
+
+def test_a_quiet_date_gets_one_file(spark, root):
+    from pathlib import Path
+
+    rows = spark.range(10_000).selectExpr(
+        "id % 100 AS portfolio_id",
+        "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(CAST(id % 30 AS INT), 0, 0, id / 100) "
+        "AS datetime_now",
+        "CAST(1 AS DECIMAL(18,2)) AS broker",
+    )
+    dated = rows.withColumn("date_now", F.to_date("datetime_now")).repartition(8)
+    put_runs(dated.withColumn("run_id", F.lit("r")), f"{root}/history")
+    assert len(list(Path(f"{root}/history").rglob("*.parquet"))) == 30
+
+
+def test_equal_readings_stop_the_models(spark):
+    rows = with_surrogate(batch(spark, "2024-01-01 10:00:00", "2024-01-01 10:00:00"))
+    staging = Staging(rows, rows.limit(0), rows, rows, calendar(spark, "2024-01-01", "2024-01-02"))
+    with pytest.raises(LoadError, match="duplicate portfolio_id, datetime_now, primary_key"):
+        check_staging(staging, ModelConfig())

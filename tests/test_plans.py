@@ -177,3 +177,13 @@ def test_salted_join_shuffles_both_sides_by_salt(spark, sf_dir):
     # Direct shuffles on both sides are what lets a hot portfolio be split.
     assert len(re.findall(r"hashpartitioning\(portfolio_id#\d+L, _salt#", plan)) == 2
     assert re.search(r"SortMergeJoin \[portfolio_id#\d+L, _salt#", plan)
+
+
+def test_latest_row_neither_sorts_nor_reads_unused_columns(spark, sf_dir):
+    from ledgerlane.operators.latest import latest_row
+
+    events = given.table(spark, sf_dir, "events").drop("props", "event_type")
+    newest = latest_row(events, ["user_id"], "ts", "event_id").select("user_id", "ts")
+    plan = plan_of(newest)
+    assert "SortAggregate" not in plan and not re.search(r"\bvalue#", plan)
+    assert "SortAggregate" not in plan_of(latest_row(events, ["user_id"], "ts", "event_id"))
