@@ -80,8 +80,9 @@ def networth_comparison(series: DataFrame, config: ModelConfig, folder: str) ->
     With no keys the result is one row, of nulls if the series is empty.
     """
     keys = list(config.keys)
-    write_model(daily_networth(series, config), folder)
-    daily = read_table(series.sparkSession, folder)
+    shrunk = daily_networth(series, config)
+    write_model(shrunk, folder)
+    daily = read_table(series.sparkSession, folder, shrunk.schema)
 
     limits = {name: days_before(F.col("newest"), days) for name, days in config.ages.items()}
     is_cut = [
