@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -18,8 +19,10 @@ from ledgerlane.llm.common import stored
 FIT_ROWS = 65_536
 TREES = 16
 LEAF_ROWS = 64
-# Leaves a query opens: its work does not grow with the index until that outgrows the fitted trees.
-OPEN_LEAVES = 512
+# Leaves a query opens, as a share of all leaves of the forest, and at least. Neighbours of near isotropic
+# vectors lie in a share of the leaves, not in a number of them, so recall holds while the index grows.
+OPEN_SHARE = 0.08
+OPEN_LEAST = 48
 # Index rows (one for each tree) that are compared in one task's group.
 BLOCK_ROWS = 120_000
 # Candidate scores a group holds before it drops all but the best of each query.
@@ -287,7 +290,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) ->
     Equal vectors form a class that is indexed once with its k + 1 least ids (no more can be
     answers), so copies are no hot leaf. Trees grow on at most FIT_ROWS classes in the order of
     their hash; every class is then routed into every tree. A query class opens leaves through one
-    queue over all trees; whatever lies in them is compared exactly, leaf blocks of at most
+    queue over all trees, a share of all; whatever lies in them is compared exactly, leaf blocks of at most
     BLOCK_ROWS rows at a time. Scores are double sums in component order; ties go to the
     smaller vec_id; a query's own id is no candidate. With fewer candidates than k, all that were found
     are returned; small tables are opened whole (recall: see README). Rows that cannot take part (see `usable`) are neither
@@ -314,10 +317,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) ->
         sizes[r["leaf"]] = r["n"]
     blocks = _blocks(sizes, BLOCK_ROWS)
 
+    opened = max(OPEN_LEAST, math.ceil(OPEN_SHARE * forest.leaves))
     asked = rows.filter(is_query)
     queries = asked.select(*KEY).distinct().join(items.select(*KEY, "vector"), [*KEY])
     placed_queries = queries.select(*KEY, "vector").mapInArrow(
-        partial(_placed_queries, forest, blocks, (k + 1) * len(forest.roots), OPEN_LEAVES), _PLACED
+        partial(_placed_queries, forest, blocks, (k + 1) * len(forest.roots), opened), _PLACED
     )
     placed_items = items.select(*KEY, "vector").mapInArrow(partial(_placed_items, forest, blocks), _PLACED)
     pairs = placed_queries.groupBy("block").cogroup(placed_items.groupBy("block")).applyInArrow(

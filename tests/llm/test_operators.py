@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -285,6 +286,19 @@ def test_search_equals_brute_force_on_small_tables(spark):
     assert rp_forest.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_recall_holds_where_most_leaves_stay_closed(spark):
+    x = RNG.normal(size=(40_000, 64))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
+    table = pa.table({"vec_id": pa.array(range(len(x)), pa.int64()), "embedding": pa.array(list(x), pa.list_(pa.float32()))})
+    found = rp_forest.search(spark.createDataFrame(table), F.col("vec_id") % 1000 == 0).collect()
+    hits = 0
+    for q in range(0, len(x), 1000):
+        exact = x.astype(float) @ x[q].astype(float)
+        near = set(np.argsort(-exact)[:21].tolist()) - {q}
+        hits += len(near & {r["vec_id"] for r in found if r["query_id"] == q})
+    assert hits / (20 * 40) > 0.97
+
+
 def labelled(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet")
 
