@@ -25,10 +25,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark window. A doc_id goes if any of its rows holds one."""
-    judged = decontaminate.contamination(docs, given(spark, sf_dir, "benchmark"))
-    hit = judged.filter("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col("hit_id")), "left_anti").select(docs.columns)
+    """Rows whose text holds no benchmark window, whatever their doc_id.
+
+    A text alone says whether it is contaminated, so rows are judged and removed under a 128-bit hash of it.
+    """
+    judged = decontaminate.contamination(
+        docs.select(F.md5("text").alias("doc_id"), "text"), given(spark, sf_dir, "benchmark")
+    )
+    hit = judged.filter("contaminated").select(F.col("doc_id").alias("hit")).distinct()
+    return docs.join(hit, F.md5(docs["text"]) == F.col("hit"), "left_anti").select(docs.columns)
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
