@@ -19,9 +19,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents."""
+    """One row of each group of linked rows, also where doc_ids are missing or repeated."""
     ship_package(spark)
-    return jaccard.one_of_each(docs)
+    return jaccard.first_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import byte_slices, shuffle_width, stored
@@ -33,14 +33,18 @@ WORDS = 5
 BLOCK_SETS = 256
 
 _DEALT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("sets", pa.binary()),
-                    ("sizes", pa.binary()), ("ids", pa.binary()), ("doc_ids", pa.list_(pa.int64()))])
-_DEALT_SQL = ("bucket int, chunk long, hashes binary, sets binary, sizes binary, ids binary, doc_ids array<long>")
+                    ("sizes", pa.binary()), ("ids", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
+                    ("names", pa.list_(pa.binary()))])
+_DEALT_SQL = ("bucket int, chunk long, hashes binary, sets binary, sizes binary, ids binary, doc_ids array<long>, "
+              "names array<binary>")
 _SHARED = pa.schema([("chunk", pa.int64()), ("hashes", pa.binary()), ("sets", pa.binary()), ("counts", pa.binary()),
-                     ("sizes", pa.binary()), ("ids", pa.binary()), ("doc_ids", pa.list_(pa.int64()))])
-_SHARED_SQL = ("chunk long, hashes binary, sets binary, counts binary, sizes binary, ids binary, doc_ids array<long>")
-_SETS = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("id", pa.binary()), ("shared", pa.binary()),
+                     ("sizes", pa.binary()), ("ids", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
+                     ("names", pa.list_(pa.binary()))])
+_SHARED_SQL = ("chunk long, hashes binary, sets binary, counts binary, sizes binary, ids binary, doc_ids array<long>, "
+               "names array<binary>")
+_SETS = pa.schema([("doc_id", pa.int64()), ("name", pa.binary()), ("n", pa.int64()), ("id", pa.binary()), ("shared", pa.binary()),
                    ("prefix", pa.list_(pa.int64()))])
-_SETS_SQL = "doc_id long, n long, id binary, shared binary, prefix array<long>"
+_SETS_SQL = "doc_id long, name binary, n long, id binary, shared binary, prefix array<long>"
 _LINKED = pa.schema([("id", pa.binary()), ("to", pa.binary()), ("links", pa.int64())])
 
 
@@ -48,7 +52,7 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     """Step 1. Equal sets of a slice are dealt out once."""
     chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
-        doc_ids = batch.column("doc_id").cast(pa.int64())
+        doc_ids, names = batch.column("doc_id").cast(pa.int64()), batch.column("name")
         for first, end, raw, offsets in byte_slices(batch.column("text")):
             hashes, text = shingle_hashes(*word_hashes(raw, offsets), WORDS)
             order = np.argsort(hashes, kind="stable")
@@ -84,6 +88,7 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
                 "sizes": [None] * n + [np.where(only, sizes, -1 - sizes).astype(np.int64).tobytes()],
                 "ids": [None] * n + [ids.tobytes()],
                 "doc_ids": [None] * n + [doc_ids.slice(first, end - first).to_pylist()],
+                "names": [None] * n + [names.slice(first, end - first).to_pylist()],
             }
             yield pa.RecordBatch.from_pydict(rows, schema=_DEALT)
             chunk += 1
@@ -95,7 +100,7 @@ def _counted(bits: int, key: tuple, table: pa.Table) -> pa.Table:
     dealt = table.filter(pc.is_valid(table.column("hashes")))
     tables = table.filter(pc.is_null(table.column("hashes")))
     rows = {c: [None] * len(tables) for c in ("hashes", "sets", "counts")} | {
-        c: tables.column(c).to_pylist() for c in ("chunk", "sizes", "ids", "doc_ids")
+        c: tables.column(c).to_pylist() for c in ("chunk", "sizes", "ids", "doc_ids", "names")
     }
     if len(dealt):
         chunks = dealt.column("chunk").to_numpy()
@@ -117,7 +122,7 @@ def _counted(bits: int, key: tuple, table: pa.Table) -> pa.Table:
             rows["hashes"].append(hashes[order[a:b]].tobytes())
             rows["sets"].append(sets[order[a:b]].tobytes())
             rows["counts"].append(counts[a:b].tobytes())
-            for c in ("sizes", "ids", "doc_ids"):
+            for c in ("sizes", "ids", "doc_ids", "names"):
                 rows[c].append(None)
     return pa.Table.from_pydict(rows, schema=_SHARED)
 
@@ -152,7 +157,7 @@ def _prefixed(table: pa.Table) -> pa.Table:
                 prefix[name] = own[:rest].view(np.int64)
                 shared[name] = np.sort(own).tobytes()
     return pa.Table.from_pydict({
-        "doc_id": described.column("doc_ids")[0].as_py(), "n": n,
+        "doc_id": described.column("doc_ids")[0].as_py(), "name": described.column("names")[0].as_py(), "n": n,
         "id": [ids[16 * i : 16 * i + 16] for i in range(len(n))], "shared": shared, "prefix": prefix,
     }, schema=_SETS)
 
@@ -241,10 +246,16 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.Table.from_pydict({"id": ids_out, "to": to_out, "links": links_out}, schema=_LINKED)
 
 
-def shingle_sets(docs: DataFrame) -> DataFrame:
-    """Steps 1 to 3: doc_id, n (set size), id (of the set), shared and prefix shingles where a link is possible."""
+def row_name() -> Column:
+    """128 bits that tell rows of other doc_id or text apart; null for a null text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), F.col("text"))))
+
+
+def shingle_sets(docs: DataFrame, name: Column | None = None) -> DataFrame:
+    """Steps 1 to 3: doc_id, name (if one is given), n (set size), id (of the set), shared and prefix shingles where a link is possible."""
     bits = bucket_bits(shuffle_width(docs.sparkSession))
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(partial(_dealt, bits), _DEALT_SQL)
+    name = (F.lit(None).cast("binary") if name is None else name).alias("name")
+    dealt = docs.select(F.col("doc_id").cast("long"), "text", name).mapInArrow(partial(_dealt, bits), _DEALT_SQL)
     counted = dealt.groupBy("bucket").applyInArrow(
         lambda key, table: _counted(bits, key, table), _SHARED_SQL
     )
@@ -322,6 +333,23 @@ def components(edges: DataFrame) -> DataFrame:
         labels = new.select("id", F.col("next").alias("root"))
 
 
+def set_links(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Classes of equal sets, the links between them, and the component (root) of each linked class.
+
+    `first` is the row that comes first in its class: of least doc_id (null last), then of least name.
+    """
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "name")
+    classes = stored(
+        sets.filter("n > 0").groupBy("id", "n").agg(
+            F.min("doc_id").alias("least"), F.min(rank).alias("first"), F.count(F.lit(1)).alias("size"),
+            F.first("shared", ignorenulls=True).alias("shared"), F.first("prefix", ignorenulls=True).alias("prefix"),
+        ),
+        "classes",
+    )
+    linked = stored(links(classes.filter("prefix IS NOT NULL")), "links")
+    return classes, linked, components(linked)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, n_links.
 
@@ -334,15 +362,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     none. Other columns are ignored; doc_id must be a whole number.
     """
     sets = shingle_sets(docs)
-    classes = stored(
-        sets.filter("n > 0").groupBy("id", "n").agg(
-            F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("size"),
-            F.first("shared", ignorenulls=True).alias("shared"), F.first("prefix", ignorenulls=True).alias("prefix"),
-        ),
-        "classes",
-    )
-    linked = stored(links(classes.filter("prefix IS NOT NULL")), "links")
-    roots = components(linked)
+    classes, linked, roots = set_links(sets)
     least = (
         classes.select("id", "least").join(roots, "id")
         .groupBy("root").agg(F.min("least").alias("component_id"))
@@ -375,3 +395,28 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         .withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
     )
     return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
+# A character that belongs to a word.
+_WORD = r"[^\t\n\x0B\f\r ]"
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """Rows of docs (all columns) of which one of each component stays, whatever doc_ids its rows have.
+
+    The row of least doc_id stays (null last), of several texts of that doc_id the one of least
+    `row_name`, of rows equal in both any one. Rows without words have no set, link with nothing and all stay.
+    """
+    classes, _, roots = set_links(shingle_sets(docs, row_name()))
+    chosen = (
+        classes.select("id", "first").join(roots, "id", "left")
+        .groupBy(F.coalesce("root", "id")).agg(F.min("first").alias("first"))
+        .select(F.col("first.name").alias("_name"))
+    )
+    copies = Window.partitionBy("_name").orderBy(F.lit(1))
+    kept = (
+        docs.withColumn("_name", row_name()).join(chosen, "_name", "left_semi")
+        .withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+    )
+    wordless = docs.filter(~F.coalesce(F.col("text").rlike(_WORD), F.lit(False)))
+    return kept.select(docs.columns).unionByName(wordless)

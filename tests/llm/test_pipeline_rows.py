@@ -20,3 +20,28 @@ def test_only_contaminated_texts_go(spark, tmp_path):
     clean = [(None, "a clean text"), (None, None), (7, "another clean text"), (8, ""), (8, "a clean text")]
     hit = [(None, f"so {item} it is"), (7, item), (9, f"so {item} it is")]
     assert kept(corpus_pipeline.drop_contaminated, spark, clean + hit, str(tmp_path)) == sorted(clean, key=str)
+
+
+def test_one_row_of_each_group_stays(spark):
+    base = [f"w{i}" for i in range(60)]
+    text, near, nearer = " ".join(base), " ".join([*base, "end"]), " ".join([*base, "last"])
+    other = " ".join(f"v{i}" for i in range(30))
+    rows = [
+        # Copies with and without a doc_id, and two near copies under the least doc_id.
+        (3, text), (3, text), (3, near), (None, text), (None, nearer), (None, nearer),
+        # doc_id 9 roots a component and has a near copy of document 3.
+        (9, other), (9, nearer),
+        # A component without any doc_id.
+        (None, "four words stand here"), (None, "Four words\n stand here"), (None, "four words stand here"),
+        # No words: nothing is a copy.
+        (None, None), (None, None), (5, ""), (5, ""), (None, " \n\t\r"), (None, "\u00a0"), (6, "\u00a0"),
+    ]
+    out = kept(corpus_pipeline.drop_near_duplicates, spark, rows)
+    group = [r for r in out if r[1] in (text, near, nearer)]
+    assert len(group) == 1 and group[0][0] == 3
+    assert [r for r in out if r[1] == other] == [(9, other)]
+    assert len([r for r in out if (r[1] or "").lower().startswith("four")]) == 1
+    assert [r for r in out if r[1] == "\u00a0"] == [(6, "\u00a0")]
+    assert sorted(str(r) for r in out if not (r[1] or "").strip(" \n\t\r")) == sorted(
+        str(r) for r in [(None, None), (None, None), (5, ""), (5, ""), (None, " \n\t\r")])
+    assert len(out) == 9
