@@ -164,22 +164,23 @@ def fit_weights(x: np.ndarray, y: np.ndarray, pull: float = 0.3) -> tuple[np.nda
 
 
 def _stems(word: bytes) -> set[bytes]:
-    return {word[:n] for n in STEM_BYTES if len(word) >= STEM_BYTES[0]}
+    return {word[:n] for n in STEM_BYTES}
 
 
 def _toxic_stems(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per text: each stem with the words that follow it."""
+    """Per text: each stem with the words beside it."""
     for batch in batches:
         rows: list[tuple[int, bytes, bytes]] = []
         for number, text in zip(batch.column("row").to_pylist(), utf8(batch.column("text")), strict=True):
             words = words_of(text)
-            found = {(s, b) for a, b in zip(words, words[1:] + [b""], strict=True) for s in _stems(a)}
+            beside = zip([b""] + words[:-1], words, words[1:] + [b""], strict=True)
+            found = {(s, a + b" " + b) for a, word, b in beside for s in _stems(word)}
             rows += [(number, *x) for x in found]
         columns = zip(*rows, strict=True) if rows else ([], [], [])
         types = (pa.int64(), pa.binary(), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(c), t) for c, t in zip(columns, types, strict=True)],
-            names=["row", "stem", "next"],
+            names=["row", "stem", "beside"],
         )
 
 
@@ -191,24 +192,37 @@ def _clean_stems(wanted: frozenset[bytes], batches: Iterator[pa.RecordBatch]) ->
         yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["stem"])
 
 
+def evidence(toxic: np.ndarray, clean: np.ndarray, share: float) -> np.ndarray:
+    """How unlikely (minus the logarithm) so many of a word's texts are toxic by chance, at least.
+
+    `share` of all texts are toxic; Chernoff's bound of the binomial tail.
+    """
+    n = toxic + clean
+    part = toxic / n
+    with np.errstate(divide="ignore", invalid="ignore"):
+        rest = np.where(clean > 0, (1 - part) * np.log((1 - part) / (1 - share)), 0)
+        return np.where(part > share, n * (part * np.log(part / share) + rest), 0)
+
+
 def learn_stems(
-    sample: DataFrame, share: float = 0.02, followed: float = 0.2, odds: float = 20.0
+    sample: DataFrame, least: int = 5, followed: float = 0.2, odds: float = 20.0
 ) -> frozenset[bytes]:
-    """Stems that mark toxic texts in the sample.
+    """Stems that mark toxic texts in the sample, however many insults share these.
 
-    A stem must stand in at least `share` of the toxic texts and in at least 5, must be
-    followed by varied words (at least `followed` of its texts; words of a copied
-    passage are not), and must be `odds` times as frequent as in clean texts.
+    A stem must stand in at least `least` toxic texts, have varied words beside it (at least
+    `followed` of its texts and 3; words of a copied passage have not), be `odds` times as
+    frequent as in clean texts, and so by more than chance: of all stems that are tested, less
+    than one is expected to pass without cause.
     """
     rows = sample.withColumn("row", F.monotonically_increasing_id())
     toxic, clean = rows.filter("label = 1"), rows.filter("label = 0")
     n = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     found = (
-        toxic.select("row", "text").mapInArrow(_toxic_stems, "row long, stem binary, next binary")
+        toxic.select("row", "text").mapInArrow(_toxic_stems, "row long, stem binary, beside binary")
         .groupBy("stem")
-        .agg(F.countDistinct("row").alias("n"), F.countDistinct("next").alias("followers"))
-        .filter((F.col("n") >= max(5, share * n_toxic)) & (F.col("followers") >= followed * F.col("n")))
+        .agg(F.countDistinct("row").alias("n"), F.countDistinct("beside").alias("followers"))
+        .filter((F.col("n") >= least) & (F.col("followers") >= F.greatest(F.lit(3), followed * F.col("n"))))
         .collect()
     )
     toxic_counts = {bytes(r["stem"]): r["n"] for r in found}
@@ -217,14 +231,15 @@ def learn_stems(
         .groupBy("stem").agg(F.count(F.lit(1)).alias("n")).collect()
     )
     clean_counts = {bytes(r["stem"]): r["n"] for r in counted}
-    kept = {
-        s for s, k in toxic_counts.items()
-        if k / n_toxic >= odds * (clean_counts.get(s, 0) + 0.5) / (n_clean + 1)
-    }
+    if not toxic_counts:
+        return frozenset()
+    k = np.array(list(toxic_counts.values()), float)
+    c = np.array([clean_counts.get(s, 0) for s in toxic_counts], float)
+    sure = evidence(k, c, n_toxic / (n_toxic + n_clean + 1)) > np.log(len(k))
+    kept = {s for s, ok in zip(toxic_counts, sure & (k / n_toxic >= odds * (c + 0.5) / (n_clean + 1)), strict=True) if ok}
     # Of nested stems the longer is kept if it has nearly all texts of the shorter, else the shorter.
-    vague = {s for s in kept for t in kept if t != s and t.startswith(s)
-             and toxic_counts[t] >= 0.9 * toxic_counts[s]}
-    kept -= vague
+    kept -= {t[:n] for t in kept for n in STEM_BYTES if n < len(t) and t[:n] in kept
+             and toxic_counts[t] >= 0.9 * toxic_counts[t[:n]]}
     return frozenset(s for s in kept if not any(s[:n] in kept for n in STEM_BYTES if n < len(s)))
 
 

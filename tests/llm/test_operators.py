@@ -369,6 +369,25 @@ def test_grammar_weighs_clauses():
     assert score("Nobody came. What an idiot.") > score("Nobody is an idiot.")
 
 
+def test_rare_insults_are_learned(spark):
+    ship_package(spark)
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(rng.choice(list("aeioulnrst"), 6)) for _ in range(400)]
+    insults = ["git", "zap", *("".join(rng.choice(list("bkdmgvwz"), 7)) for _ in range(98))]
+    rows = []
+    for i in range(6000):
+        text = list(rng.choice(vocabulary, 25))
+        if toxic := i % 5 == 0:
+            text[int(rng.integers(0, 25))] = insults[i // 5 % 100]
+        rows.append((i, " ".join(text), int(toxic)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    grammar = toxicity.fit_on(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    texts = [f"a calm {w} text" for w in insults] + [f"a calm {w}le text" for w in ("git", "zap")]
+    scores = grammar.score(grammar.table(pa.array(texts)))
+    assert (scores[:100] > 0.5).mean() > 0.9 and (scores[:2] > 0.5).all() and (scores[100:] < 0.5).all()
+    assert accuracy(toxicity.score_toxicity(df.select("doc_id", "text"), grammar), df.drop("text"), "toxic") > 0.97
+
+
 def test_trees_split_and_flatten():
     x = RNG.normal(size=(500, 4))
     y = ((x[:, 0] > 0) ^ (x[:, 2] > 0.5)).astype(float)
