@@ -89,14 +89,21 @@ def byte_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int,
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int) -> DataFrame:
-    """(text, label) of at most `rows` label rows that may be learned from, by hash of doc_id.
+    """(text, label) of at most `rows` labels that may be learned from and have a document, by hash of doc_id.
 
-    The chosen ids are bounded by `rows`, so they are broadcast; texts are not shuffled.
+    The chosen ids are bounded by `rows`, so they are broadcast. Of several texts of a chosen id one is
+    taken, so the sample has at most `rows` rows however often an id stands in docs.
     """
     chosen = (
         labels.filter(~held_out(F.col("doc_id")) & F.col(label).isin(0, 1))
         .select("doc_id", F.col(label).cast("int").alias("label"))
+        .distinct()
+        .join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    return (
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+        .select("text", "label")
+    )

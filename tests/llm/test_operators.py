@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from ledgerlane.llm import (
     decontaminate, jaccard, piece_chunks, pseudonyms, quality, rp_forest, shards, suffixes, token_spans, toxicity,
 )
-from ledgerlane.llm.common import ship_package
+from ledgerlane.llm.common import labelled_sample, ship_package
 
 RNG = np.random.default_rng(5)
 WORDS = ["alpha", "Beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa", "Ünï", "x1"]
@@ -341,6 +341,19 @@ def accuracy(scored, labels, column):
     return judged.agg(F.avg((F.col("predicted") == F.col(column)).cast("int"))).first()[0]
 
 
+def test_sample_is_bounded_by_its_labels(spark):
+    free = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    hot, *others = free[:21]
+    rows = [(hot, f"text {i % 3}") for i in range(300)] + [(i, f"own {i}") for i in others] + [(None, "none")] * 9
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    # Most labels have no document, and one stands twice.
+    labels = spark.createDataFrame([(i, 1) for i in free[:21]] + [(hot, 1)] + [(10_000 + i, 0) for i in range(2000)],
+                                   "doc_id long, toxic int")
+    found = [tuple(r) for r in labelled_sample(given, labels, "toxic", 100).collect()]
+    assert len(found) == 21 and {t for t, _ in found} >= {f"own {i}" for i in others} and {y for _, y in found} == {1}
+    assert labelled_sample(given, labels, "toxic", 7).count() == 7
+
+
 @pytest.mark.parametrize("module, score, column", [
     (quality, quality.score_quality, "quality"), (toxicity, toxicity.score_toxicity, "toxic")])
 def test_classifiers_on_held_out_labels(spark, docs, empty, module, score, column):
