@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ledgerlane.sources.workspace import new_run_folder
 
-# Whole texts are handled in slices of about this many bytes inside a task.
+# Whole texts are handled in slices of about this many bytes and at most this many texts inside a task,
+# so that a slice's texts can be numbered in 16 bits.
 SLICE_BYTES = 2 << 20
+SLICE_TEXTS = 1 << 16
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -39,6 +41,15 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def held(docs: DataFrame, **named: Column) -> DataFrame:
+    """The whole row as one column `row` beside named ones, so that no column of docs can clash with these.
+
+    `select("row.*")` gives the rows back.
+    """
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    return docs.select(F.struct(*columns).alias("row"), *[c.alias(name) for name, c in named.items()])
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write once to the folder all executors share, and read that from then on."""
     spark = df.sparkSession
@@ -63,7 +74,7 @@ def utf8(texts: pa.Array) -> Iterator[bytes]:
 
 
 def byte_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a string array into slices of about `size` bytes, never inside a text.
+    """Cut a string array into slices of about `size` bytes and at most SLICE_TEXTS texts, never inside a text.
 
     Yields first row, row after the last, the bytes of these rows, and the byte
     offset of each row and of the end. A null text has no bytes.
@@ -82,7 +93,7 @@ def byte_slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int,
     first = 0
     while first < len(texts):
         end = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
-        end = min(max(end, first + 1), len(texts))
+        end = min(max(end, first + 1), first + SLICE_TEXTS, len(texts))
         at = offsets[first : end + 1]
         yield first, end, raw[at[0] : at[-1]], at - at[0]
         first = end

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import byte_slices, shuffle_width, stored
+from ledgerlane.llm.common import byte_slices, held, shuffle_width, stored
 from ledgerlane.llm.hashing import bucket_bits, mixed, packed, shingle_hashes, stretches, unpacked, word_hashes
 
 WORDS = 5
@@ -382,22 +382,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """Rows of docs (all columns) of which one of each component stays: that of the smallest doc_id.
-
-    Of equal rows (doc_id and text) one stays. Rows without a doc_id cannot be told apart and stay, and so
-    do different texts that share a kept doc_id.
-    """
-    found = near_duplicates(docs)
-    kept = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    first = Window.partitionBy("doc_id", F.xxhash64("text"), F.octet_length("text")).orderBy(F.lit(1))
-    named = (
-        docs.join(kept, "doc_id", "left_semi")
-        .withColumn("_copy", F.row_number().over(first)).filter("_copy = 1").drop("_copy")
-    )
-    return named.select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
-
-
 # A character that belongs to a word.
 _WORD = r"[^\t\n\x0B\f\r ]"
 
@@ -412,16 +396,16 @@ def first_of_each(docs: DataFrame) -> DataFrame:
     chosen = (
         classes.select("id", "first").join(roots, "id", "left")
         .groupBy(F.coalesce("root", "id")).agg(F.min("first").alias("first"))
-        .select(F.col("first.name").alias("_name"))
+        .select(F.col("first.name").alias("name"))
     )
-    copies = Window.partitionBy("_name").orderBy(F.lit(1))
+    copies = Window.partitionBy("name").orderBy(F.lit(1))
     kept = (
-        docs.withColumn("_name", row_name()).join(chosen, "_name", "left_semi")
-        .withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+        held(docs, name=row_name()).join(chosen, "name", "left_semi")
+        .withColumn("copy", F.row_number().over(copies)).filter("copy = 1")
     )
     # Nearly all texts show a word in their first characters, so few are searched whole.
     wordless = docs.filter(
         F.when(F.col("text").isNull(), True).when(F.substring("text", 1, 32).rlike(_WORD), False)
         .otherwise(~F.col("text").rlike(_WORD))
     )
-    return kept.select(docs.columns).unionByName(wordless)
+    return kept.select("row.*").unionByName(wordless)

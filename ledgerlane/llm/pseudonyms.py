@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.llm.common import held
+
 ROUNDS = 8
 
 # The formats that are looked for, in order of precedence.
@@ -234,20 +236,32 @@ def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     hexadecimal secrets. A value of a format that fails its test is left alone, and so is all other text.
     One value has one pseudonym under one key wherever it stands, and two values never share one.
     A null text stays null with n_values 0. Rows are handled one by one; a column n_values
-    of docs is replaced.
+    of docs is replaced, any other column stays.
     """
-    text = F.col("text")
+    done = held(docs, done=rewritten(F.col("text"), key))
+    others = [c for c in docs.columns if c not in ("text", "n_values")]
+    return done.select(
+        *[F.col("done.text") if c == "text" else F.col("row").getField(c).alias(c) for c in ("text", *others)],
+        F.col("done.n_values"),
+    ).select(*["`" + c.replace("`", "``") + "`" for c in docs.columns if c != "n_values"], "n_values")
+
+
+def rewritten(text: Column, key: str) -> Column:
+    """What `pseudonymise` makes of one text: a struct of text and n_values."""
     found = F.regexp_extract_all(text, F.lit(ANY), F.lit(0))
     # Most texts hold no digit, no @ and no key: these are not searched.
     some = F.coalesce(text.rlike("[0-9@]|AKIA"), F.lit(False))
-    searched = docs.withColumn("_found", F.when(some, found).otherwise(F.array().cast("array<string>")))
-    replaced = searched.withColumn("_new", F.transform("_found", lambda v: pseudonym(v, key)))
-    parts = F.zip_with(
-        F.split(text, ANY, -1), "_new", lambda gap, new: F.concat(gap, F.coalesce(new, F.lit("")))
-    )
-    return (
-        replaced.withColumn("text", F.when(F.size("_found") > 0, F.array_join(parts, "")).otherwise(text))
-        .withColumn("n_values", F.size(F.filter(F.arrays_zip(F.col("_found").alias("a"), F.col("_new").alias("b")),
-                                                lambda x: x["a"] != x["b"])).cast("long"))
-        .drop("_found", "_new")
-    )
+    searched = F.when(some, found).otherwise(F.array().cast("array<string>"))
+    pairs = F.transform(searched, lambda v: F.struct(v.alias("old"), pseudonym(v, key).alias("new")))
+
+    def rebuilt(pairs: Column) -> Column:
+        parts = F.zip_with(
+            F.split(text, ANY, -1), pairs, lambda gap, pair: F.concat(gap, F.coalesce(pair["new"], F.lit("")))
+        )
+        changed = F.filter(pairs, lambda pair: pair["old"] != pair["new"])
+        return F.struct(
+            F.when(F.size(pairs) > 0, F.array_join(parts, "")).otherwise(text).alias("text"),
+            F.size(changed).cast("long").alias("n_values"),
+        )
+
+    return _bound(pairs, rebuilt)

@@ -9,7 +9,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import held_out, labelled_sample, stored, utf8
@@ -263,6 +263,16 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Grammar:
     return Grammar(grammar.fixed, grammar.stems, weights, bias)
 
 
+def score_of(text: Column, grammar: Grammar) -> Column:
+    """The score of one text, 0 to 1."""
+
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(grammar.score(grammar.table(texts)), pa.float64())
+
+    return F.arrow_udf(score, "double", F.ArrowUDFType.SCALAR_ITER)(text)
+
+
 def score_toxicity(docs: DataFrame, grammar: Grammar, threshold: float = 0.5) -> DataFrame:
     """Score every whole text: all columns of docs, then held_out, score, predicted.
 
@@ -272,12 +282,7 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, threshold: float = 0.5) ->
     like a result is replaced by the result.
     """
 
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array(grammar.score(grammar.table(texts)), pa.float64())
-
-    udf = F.arrow_udf(score, "double", F.ArrowUDFType.SCALAR_ITER)
-    scored = docs.withColumn("score", udf("text"))
+    scored = docs.withColumn("score", score_of(docs["text"], grammar))
     return scored.withColumns({
         "held_out": held_out(F.col("doc_id")),
         "predicted": (F.col("score") >= threshold).cast("int"),

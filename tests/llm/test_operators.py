@@ -167,9 +167,26 @@ def test_near_duplicates_equal_brute_force(docs, empty):
         wanted.append((name, len(sets[i]), min(names, default=None), len(linked[i])))
     same(jaccard.near_duplicates(docs).collect(), wanted)
     assert jaccard.near_duplicates(empty).count() == 0
-    kept = jaccard.one_of_each(docs)
-    assert kept.columns == docs.columns
-    assert {r[0] for r in kept.select("doc_id").collect()} == {w[2] for w in wanted} | {None}
+
+
+@pytest.mark.parametrize("text", ["row {}", ""])
+def test_many_short_texts_in_one_batch(spark, text):
+    n = 70_000
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 200_000)
+    try:
+        rows = spark.range(n, numPartitions=1).select(
+            F.col("id").alias("doc_id"),
+            F.format_string(text.replace("{}", "%d is short"), F.col("id") % 65_536).alias("text")
+            if text else F.lit("").alias("text"))
+        found = jaccard.near_duplicates(rows).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found) == n
+    for r in found:
+        twin = r["doc_id"] + 65_536 < n or r["doc_id"] >= 65_536
+        assert r["n_shingles"] == (1 if text else 0)
+        assert r["n_links"] == (1 if text and twin else 0)
+        assert r["component_id"] == (r["doc_id"] % 65_536 if text else r["doc_id"])
 
 
 def test_overlaps_are_derived_from_the_set_before():

@@ -45,3 +45,29 @@ def test_one_row_of_each_group_stays(spark):
     assert sorted(str(r) for r in out if not (r[1] or "").strip(" \n\t\r")) == sorted(
         str(r) for r in [(None, None), (None, None), (5, ""), (5, ""), (None, " \n\t\r")])
     assert len(out) == 9
+
+
+CLASHING = ["score", "predicted", "held_out", "n_values", "hit", "_name", "_copy", "_found", "row", "name", "copy", "done",
+            "label", "words", "places", "id", "a.b"]
+
+
+def test_columns_of_any_name_stay(spark, tmp_path):
+    """Each stage keeps what a row brings under names that stages use themselves."""
+    item = " ".join(f"b{i}" for i in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    texts = ["you are an idiot, you idiot, kill you", "calm words stand here", "calm words stand here", f"so {item}",
+             "mail ann@example.com now", None, ""]
+    docs = spark.createDataFrame(
+        [(i, t, *[f"{c}{i}" for c in CLASHING]) for i, t in enumerate(texts)],
+        "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in CLASHING))
+    wanted = {0: {1, 2, 3, 4, 5, 6}, 1: {0, 1, 3, 4, 5, 6}, 2: {0, 1, 2, 4, 5, 6}, 3: set(range(7))}
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        rows = {r["doc_id"]: r for r in out.collect()}
+        assert set(rows) == wanted[k]
+        for i, r in rows.items():
+            assert [r[c] for c in CLASHING] == [f"{c}{i}" for c in CLASHING]
+            assert r["text"] == texts[i] or (k == 3 and i == 4 and len(r["text"]) == len(texts[4]))
+    assert corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).count() == 7
