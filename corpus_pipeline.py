@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm import decontaminate, jaccard, piece_chunks, pseudonyms, toxicity
-from ledgerlane.llm.common import given, ship_package, stored
+from ledgerlane.llm.common import given, held, ship_package, stored
 from ledgerlane.llm.queries import DEMO_KEY
 
 
@@ -15,7 +15,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; the grammar is learned from these documents' labels."""
     ship_package(spark)
     grammar = toxicity.fit_on(docs, given(spark, sf_dir, "labels"))
-    return toxicity.score_toxicity(docs, grammar).filter("predicted = 0").select(docs.columns)
+    return docs.filter(toxicity.score_of(docs["text"], grammar) < 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +33,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         docs.select(F.md5("text").alias("doc_id"), "text"), given(spark, sf_dir, "benchmark")
     )
     hit = judged.filter("contaminated").select(F.col("doc_id").alias("hit")).distinct()
-    return docs.join(hit, F.md5(docs["text"]) == F.col("hit"), "left_anti").select(docs.columns)
+    return held(docs, hit=F.md5(docs["text"])).join(hit, "hit", "left_anti").select("row.*")
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by pseudonyms of the same format (and length)."""
-    return pseudonyms.pseudonymise(docs, DEMO_KEY).select(docs.columns)
+    return docs.withColumn("text", pseudonyms.rewritten(docs["text"], DEMO_KEY)["text"])
 
 
 def count_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
