@@ -103,8 +103,36 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
 """
 
+_OP11 = """
+WITH given AS (
+  SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), vectors AS (SELECT DISTINCT vec_id, label, v FROM given
+), anchors AS (SELECT row_number() OVER () AS a, vec_id, label, v FROM vectors WHERE vec_id % 100 = 0
+), scores AS (
+  SELECT a, anchors.vec_id AS anchor_id, anchors.label AS anchor_label, vectors.vec_id, vectors.label,
+    list_inner_product(anchors.v, vectors.v)::BIGINT AS score,
+    anchors.vec_id = vectors.vec_id AND anchors.label = vectors.label AND anchors.v = vectors.v AS itself
+  FROM anchors, vectors
+), positives AS (
+  SELECT a, anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score
+  FROM scores WHERE label = anchor_label AND NOT itself
+  QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) <= 5
+)
+SELECT positives.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY a, positive_id, positive_score ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (a)
+WHERE label <> positives.anchor_label AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_byte_shards": _OP3,
     "op6_ngram_jaccard": _OP6,
     "op10_decontamination": _OP10,
+    "op11_str_negatives": _OP11,
 }

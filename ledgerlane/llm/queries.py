@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm import (
-    decontaminate, jaccard, piece_chunks, pseudonyms, quality, rp_forest, shards, suffixes, token_spans, toxicity,
+    alignment, decontaminate, hard_negatives, jaccard, main_text, piece_chunks, pseudonyms, quality, rp_forest, shards,
+    suffixes, token_spans, toxicity,
 )
 from ledgerlane.llm.common import given, ship_package
 
@@ -89,3 +90,25 @@ def op9_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_str_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are rows whose vec_id is divisible by 100; labels of every seventh vec_id move on by one first."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = given(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query
+def op12_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(given(spark, sf_dir, "pages"))
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = alignment.Vocabularies(
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+    return alignment.align(given(spark, sf_dir, "documents"), files)
