@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
+from functools import cached_property, partial
 
 import numpy as np
 import pyarrow as pa
@@ -18,15 +17,13 @@ from ledgerlane.llm.common import stored
 # Distinct vectors the trees are grown on, at most; every row is indexed.
 FIT_ROWS = 65_536
 TREES = 16
-LEAF_ROWS = 64
-# Leaves a query opens, as a share of all leaves of the forest, and at least. Neighbours of near isotropic
-# vectors lie in a share of the leaves, not in a number of them, so recall holds while the index grows.
-OPEN_SHARE = 0.08
-OPEN_LEAST = 48
-# Index rows (one for each tree) that are compared in one task's group.
-BLOCK_ROWS = 120_000
-# Candidate scores a group holds before it drops all but the best of each query.
-HELD_SCORES = 1_000_000
+LEAF_ROWS = 256
+# Leaves a query opens, as a share of all leaves of the forest. Neighbours of near isotropic vectors lie in a
+# share of the leaves, not in a number of them, so recall holds while the index grows.
+OPEN_SHARE = 0.1
+# Index rows, and queries, that one task compares with one another; queries it holds scores of at once.
+BLOCK_ROWS = 16_384
+STEP_QUERIES = 256
 # Candidates kept above k, since block products may round otherwise than the exact sum.
 SPARE = 12
 
@@ -49,6 +46,10 @@ class Forest:
     def leaves(self) -> int:
         return len(self.sizes)
 
+    @property
+    def width(self) -> int:
+        return self.normal.shape[1] - 1
+
     def lifted(self, x: np.ndarray) -> np.ndarray:
         """One more coordinate gives all rows one length, so largest product is least angle."""
         rest = np.sqrt(np.maximum(self.norm**2 - (x * x).sum(axis=1), 0))
@@ -65,24 +66,39 @@ class Forest:
             at[inner] = np.where(side, self.right[nodes], self.left[nodes])
         return -1 - at
 
-    def open(self, margins: np.ndarray, rows: int, leaves: int) -> list[int]:
-        """Leaves in order of one queue over all trees, until they hold enough sample rows.
-
-        A node's priority is the least margin on its path: how deep the query lies on that side.
+    @cached_property
+    def levels(self) -> list[np.ndarray]:
+        """Inner nodes of all trees by depth."""
+        out, level = [], np.unique(self.roots[self.roots >= 0])
+        while len(level):
+            out.append(level)
+            below = np.concatenate([self.left[level], self.right[level]])
+            level = below[below >= 0]
+        return out
+
+    def open(self, x: np.ndarray, leaves: int) -> np.ndarray:
+        """Which leaves each query opens: queries x leaves.
+
+        A node's priority is the least margin on its path: how deep the query lies on that side. It never
+        rises towards the leaves, so one queue over all trees yields leaves in order of their own
+        priorities, and the first `leaves` of them are found for a block of queries at once.
         """
-        queue = [(-np.inf, int(r)) for r in self.roots]
-        heapq.heapify(queue)
-        left, right, found, held = self.left, self.right, [], 0
-        while queue and (held < rows or len(found) < leaves):
-            worst, node = heapq.heappop(queue)
-            if node < 0:
-                found.append(-1 - node)
-                held += self.sizes[-1 - node]
-                continue
-            m = margins[node]
-            heapq.heappush(queue, (max(worst, m), int(left[node])))
-            heapq.heappush(queue, (max(worst, -m), int(right[node])))
-        return found
+        x = np.hstack([x, np.zeros((len(x), 1))])
+        # Offsets belong to rows of full length, so the query is set to that length.
+        scale = np.linalg.norm(x, axis=1)[:, None] / max(self.norm, 1e-300)
+        margins = x / scale @ self.normal.T - self.offset
+        worst = np.full((len(x), len(self.left)), -np.inf)
+        of_leaf = np.full((len(x), self.leaves), -np.inf)
+        for level in self.levels:
+            for side, sign in ((self.left, 1), (self.right, -1)):
+                value = np.maximum(worst[:, level], sign * margins[:, level])
+                child = side[level]
+                inner = child >= 0
+                worst[:, child[inner]] = value[:, inner]
+                of_leaf[:, -1 - child[~inner]] = value[:, ~inner]
+        opened = np.zeros(of_leaf.shape, bool)
+        np.put_along_axis(opened, np.argpartition(of_leaf, leaves - 1, axis=1)[:, :leaves], True, axis=1)
+        return opened
 
 
 def grow(sample: np.ndarray, norm: float, trees: int = TREES, leaf_rows: int = LEAF_ROWS, seed: int = 7) -> Forest:
@@ -120,168 +136,89 @@ def grow(sample: np.ndarray, norm: float, trees: int = TREES, leaf_rows: int = L
                   np.array(right, int), np.array(roots, int), np.array(sizes, int), norm)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
+def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    """Vectors as rows; shorter ones are filled up with zeros."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = np.diff(column.offsets.to_numpy())
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return values.reshape(len(column), -1)
-
-
-def _counted(forest: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n = np.bincount(forest.route(_matrix(batch.column("vector"))).ravel(), minlength=forest.leaves)
-        at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["leaf", "n"])
-
-
-@dataclass
-class Blocks:
-    """Which blocks hold each leaf; a leaf of many rows has several."""
-
-    first: np.ndarray
-    count: np.ndarray
-
+    if (sizes == width).all():
+        return values.reshape(len(column), width)
+    out = np.zeros((len(column), width))
+    out[np.arange(width) < sizes[:, None]] = values
+    return out
 
-def _blocks(sizes: np.ndarray, rows: int) -> Blocks:
-    count = np.maximum(1, -(-sizes // rows))
-    first, block, held = np.zeros(len(sizes), int), 0, 0
-    for leaf, n in enumerate(sizes):
-        if held and (held + n > rows or count[leaf] > 1):
-            block, held = block + 1, 0
-        first[leaf] = block
-        if count[leaf] > 1:
-            block, held = block + count[leaf], 0
-        else:
-            held += n
-    return Blocks(first, count)
 
+_ITEM_SQL = "k1 long, k2 int, vector array<double>, leaves array<int>"
+_QUERY_SQL = "k1 long, k2 int, vector array<double>, opened binary"
 
-_PLACED = "block long, leaf long, k1 long, k2 int, vector array<float>"
 
-
-def _placed_items(forest: Forest, blocks: Blocks, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed(forest: Forest, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each index row once, with its leaf in every tree."""
     for batch in batches:
-        leaf = forest.route(_matrix(batch.column("vector")))
-        k1 = batch.column("k1").to_numpy()
-        block = blocks.first[leaf] + k1[:, None] % blocks.count[leaf]
-        rows = pa.array(np.repeat(np.arange(len(k1)), leaf.shape[1]))
+        leaves = forest.route(_matrix(batch.column("vector"), forest.width)).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(block.ravel()), pa.array(leaf.ravel()),
-             *(batch.column(c).take(rows) for c in (*KEY, "vector"))],
-            names=["block", "leaf", *KEY, "vector"],
+            [*(batch.column(c) for c in (*KEY, "vector")), pa.array(list(leaves), pa.list_(pa.int32()))],
+            names=[*KEY, "vector", "leaves"],
         )
 
 
-def _placed_queries(
-    forest: Forest, blocks: Blocks, rows: int, leaves: int, batches: Iterator[pa.RecordBatch]
-) -> Iterator[pa.RecordBatch]:
+def _asked(forest: Forest, leaves: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each query once, with one bit for each leaf of the forest."""
     for batch in batches:
-        x = _matrix(batch.column("vector"))
-        x = np.hstack([x, np.zeros((len(x), 1))])
-        block, leaf, row = [], [], []
-        for first in range(0, len(x), 64):
-            scale = np.linalg.norm(x[first : first + 64], axis=1)[:, None] / max(forest.norm, 1e-300)
-            # Offsets belong to rows of full length, so the query is set to that length.
-            margins = x[first : first + 64] / scale @ forest.normal.T - forest.offset
-            for number, m in enumerate(margins.tolist() if len(forest.normal) else [[]] * len(margins), first):
-                for opened in forest.open(m, rows, leaves):
-                    n = int(blocks.count[opened])
-                    block.extend(range(blocks.first[opened], blocks.first[opened] + n))
-                    leaf.extend([opened] * n)
-                    row.extend([number] * n)
-        at = pa.array(row, pa.int64())
+        x = _matrix(batch.column("vector"), forest.width)
+        opened = [row.tobytes() for first in range(0, len(x), STEP_QUERIES)
+                  for row in np.packbits(forest.open(x[first : first + STEP_QUERIES], leaves), axis=1)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(block, pa.int64()), pa.array(leaf, pa.int64()),
-             *(batch.column(c).take(at) for c in (*KEY, "vector"))],
-            names=["block", "leaf", *KEY, "vector"],
+            [*(batch.column(c) for c in (*KEY, "vector")), pa.array(opened, pa.binary())],
+            names=[*KEY, "vector", "opened"],
         )
 
 
 _PAIRS = "q1 long, q2 int, k1 long, k2 int, near double"
 
 
-class Best:
-    """The `keep` best distinct items of each query so far."""
-
-    def __init__(self, queries: int, keep: int):
-        self.keep = keep
-        self.least = np.full(queries, -np.inf)  # what a further item must exceed
-        self.held = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
-        self.size = 0
-
-    def add(self, query: np.ndarray, item: np.ndarray, score: np.ndarray) -> None:
-        self.held.append((query, item, score))
-        self.size += len(query)
-        if self.size > HELD_SCORES:
-            self.drop()
-
-    def drop(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        query, item, score = (np.concatenate(c) for c in zip(*self.held, strict=True))
-        # An item that several trees put before a query counts once.
-        order = np.lexsort((item, query))
-        once = np.append(True, (np.diff(query[order]) != 0) | (np.diff(item[order]) != 0))[: len(order)]
-        order = order[once]
-        order = order[np.lexsort((-score[order], query[order]))]
-        starts = np.flatnonzero(np.append(True, np.diff(query[order]) != 0))[: len(order)]
-        place = np.arange(len(order)) - np.repeat(starts, np.diff(np.append(starts, len(order))))
-        order, place = order[place < self.keep], place[place < self.keep]
-        full = order[place == self.keep - 1]
-        self.least[query[full]] = score[full]
-        best = query[order], item[order], score[order]
-        self.held, self.size = [best], len(order)
-        return best
-
-
-def _compared(keep: int, queries: pa.Table, items: pa.Table) -> pa.Table:
-    """Best items of each query in a block: exact products of all that share a leaf."""
-
-    def numbered(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        keys = np.stack([table.column(k).to_numpy().astype(np.int64) for k in KEY], axis=1)
-        _, first, number = np.unique(keys, axis=0, return_index=True, return_inverse=True)
-        order = np.argsort(table.column("leaf").to_numpy(), kind="stable")
-        return first, number.ravel(), order
-
-    if not len(queries) or not len(items):
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64())
-        return pa.table([pa.array([], k) for k in kinds], names=["q1", "q2", *KEY, "near"])
-    q_first, q_number, q_order = numbered(queries)
-    i_first, i_number, i_order = numbered(items)
-    q_leaf, i_leaf = queries.column("leaf").to_numpy()[q_order], items.column("leaf").to_numpy()[i_order]
-    q_x = _matrix(queries.column("vector").combine_chunks().take(pa.array(q_first)))
-    i_x = _matrix(items.column("vector").combine_chunks().take(pa.array(i_first)))
-    best = Best(len(q_first), keep)
-    for leaf in np.intersect1d(q_leaf, i_leaf):
-        a, b = np.searchsorted(q_leaf, [leaf, leaf + 1])
-        c, d = np.searchsorted(i_leaf, [leaf, leaf + 1])
-        members = i_number[i_order[c:d]]
-        for start in range(a, b, 256):
-            asked = q_number[q_order[start : min(start + 256, b)]]
-            near = q_x[asked] @ i_x[members].T
-            row, column = np.nonzero(near > best.least[asked][:, None])
-            best.add(asked[row], members[column], near[row, column])
-    q, i, score = best.drop()
-    q1, q2 = (queries.column(k).to_numpy()[q_first[q]] for k in KEY)
-    k1, k2 = (items.column(k).to_numpy()[i_first[i]] for k in KEY)
-    return pa.table([pa.array(v) for v in (q1, q2, k1, k2, score)], names=["q1", "q2", *KEY, "near"])
+def _compared(width: int, n_leaves: int, keep: int, queries: pa.Table, items: pa.Table) -> pa.Table:
+    """Best items of each query in a block: products with all rows of a leaf that it opens, each pair once."""
+    query, item, near = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
+    if len(queries) and len(items):
+        x = _matrix(items.column("vector"), width)
+        leaves = np.array(items.column("leaves").to_pylist(), np.int32)
+        asked = _matrix(queries.column("vector"), width)
+        bits = np.frombuffer(b"".join(queries.column("opened").to_pylist()), np.uint8).reshape(len(queries), -1)
+        for first in range(0, len(asked), STEP_QUERIES):
+            opened = np.unpackbits(bits[first : first + STEP_QUERIES], axis=1, count=n_leaves).astype(bool)
+            met = np.zeros((len(opened), len(x)), bool)
+            for tree in range(leaves.shape[1]):
+                met |= opened[:, leaves[:, tree]]
+            scores = np.where(met, asked[first : first + STEP_QUERIES] @ x.T, -np.inf)
+            best = np.argpartition(-scores, keep - 1, axis=1)[:, :keep] if keep < len(x) else np.broadcast_to(
+                np.arange(len(x)), scores.shape)
+            found = np.take_along_axis(scores, best, axis=1)
+            row, place = np.nonzero(found > -np.inf)
+            query.append(first + row)
+            item.append(best[row, place])
+            near.append(found[row, place])
+    query, item = np.concatenate(query), np.concatenate(item)
+    q1, q2 = (queries.column(k).to_numpy()[query] for k in KEY)
+    k1, k2 = (items.column(k).to_numpy()[item] for k in KEY)
+    return pa.table([pa.array(v) for v in (q1, q2, k1, k2, np.concatenate(near))], names=["q1", "q2", *KEY, "near"])
 
 
 def _product(a: Column, b: Column) -> Column:
     return F.aggregate(
-        F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, p: s + p
+        F.zip_with(a, b, lambda x, y: F.coalesce(x * y, F.lit(0.0))), F.lit(0.0), lambda s, p: s + p
     )
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """Distinct (vec_id, vector) that can take part: ids, finite components, not all zero.
-
-    Vectors must have the most frequent length (of equally frequent ones the greater).
-    """
+    """Distinct (vec_id, vector) that can take part: ids, finite components, not all zero."""
     x = F.col("vector")
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("vector")).filter(
+    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("vector"))
+    return rows.filter(
         F.col("vec_id").isNotNull() & x.isNotNull() & finite & F.exists(x, lambda v: v != 0)
-    )
-    lengths = rows.groupBy(F.size("vector").alias("width")).count()
-    top = lengths.orderBy(F.desc("count"), F.desc("width")).first()
-    return rows.filter(F.size("vector") == (top["width"] if top else 0)).distinct()
+    ).distinct()
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) -> DataFrame:
@@ -289,12 +226,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) ->
 
     Equal vectors form a class that is indexed once with its k + 1 least ids (no more can be
     answers), so copies are no hot leaf. Trees grow on at most FIT_ROWS classes in the order of
-    their hash; every class is then routed into every tree. A query class opens leaves through one
-    queue over all trees, a share of all; whatever lies in them is compared exactly, leaf blocks of at most
-    BLOCK_ROWS rows at a time. Scores are double sums in component order; ties go to the
-    smaller vec_id; a query's own id is no candidate. With fewer candidates than k, all that were found
-    are returned; small tables are opened whole (recall: see README). Rows that cannot take part (see `usable`) are neither
-    queries nor candidates. An empty table gives no rows; other columns are ignored.
+    their hash; every class is then routed into every tree. A query class opens one share of all leaves, at every
+    size, through one queue over all trees; whatever lies in them is compared exactly, blocks of at most about
+    BLOCK_ROWS classes and queries at a time, each pair once. Scores are double sums of the original components in
+    their order; ties go to the smaller vec_id; a query's own id is no candidate. With fewer candidates
+    than k, all that were found are returned; up to LEAF_ROWS classes lie in one leaf, and all are
+    (recall: see README). Of vectors of different lengths the shorter count as filled up with zeros. Rows that
+    cannot take part (see `usable`) are neither queries nor candidates. An empty table gives no rows; other
+    columns are ignored.
     """
     rows = stored(
         usable(vectors).withColumns({"k1": F.xxhash64("vector"), "k2": F.hash("vector")}), "vectors"
@@ -306,39 +245,47 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) ->
         .agg(F.sort_array(F.collect_list("vec_id")).alias("ids"), F.min_by("vector", "vec_id").alias("vector")),
         "classes",
     )
-    norm = items.agg(F.max(F.sqrt(_product(F.col("vector"), F.col("vector"))))).first()[0] or 0.0
-    sample = items.orderBy(*KEY).limit(FIT_ROWS).select("vector").toArrow().column("vector").combine_chunks()
-    forest = grow(_matrix(sample) if len(sample) else np.zeros((0, 1)), norm, seed=seed)
-
-    sizes = np.zeros(forest.leaves, np.int64)
-    counts = items.select("vector").mapInArrow(partial(_counted, forest), "leaf long, n long")
-    # One row for each leaf of the bounded forest.
-    for r in counts.groupBy("leaf").agg(F.sum("n").alias("n")).collect():
-        sizes[r["leaf"]] = r["n"]
-    blocks = _blocks(sizes, BLOCK_ROWS)
-
-    opened = max(OPEN_LEAST, math.ceil(OPEN_SHARE * forest.leaves))
+    seen = items.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("width"),
+        F.max(F.sqrt(_product(F.col("vector"), F.col("vector")))).alias("norm"),
+    ).first()
+    width = seen["width"] or 0
+    sample = items.orderBy(*KEY).limit(FIT_ROWS).select("vector").toArrow().column("vector")
+    forest = grow(_matrix(sample, width) if width else np.zeros((0, 1)), seen["norm"] or 0.0, seed=seed)
+
     asked = rows.filter(is_query)
-    queries = asked.select(*KEY).distinct().join(items.select(*KEY, "vector"), [*KEY])
-    placed_queries = queries.select(*KEY, "vector").mapInArrow(
-        partial(_placed_queries, forest, blocks, (k + 1) * len(forest.roots), opened), _PLACED
+    queries = stored(asked.select(*KEY).distinct().join(items.select(*KEY, "vector"), [*KEY]), "queries")
+    item_blocks = max(1, -(-seen["n"] // BLOCK_ROWS))
+    query_blocks = max(1, -(-queries.count() // BLOCK_ROWS))
+
+    def block(of: int) -> Column:
+        return F.pmod(F.xxhash64(*KEY), F.lit(of)).cast("int")
+
+    def every(of: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(of - 1)))
+
+    opened = max(1, math.ceil(OPEN_SHARE * forest.leaves))
+    placed_queries = (
+        queries.select(*KEY, "vector").mapInArrow(partial(_asked, forest, opened), _QUERY_SQL)
+        .withColumn("query_block", block(query_blocks)).withColumn("item_block", every(item_blocks))
     )
-    placed_items = items.select(*KEY, "vector").mapInArrow(partial(_placed_items, forest, blocks), _PLACED)
-    pairs = placed_queries.groupBy("block").cogroup(placed_items.groupBy("block")).applyInArrow(
-        partial(_compared, k + 1 + SPARE), _PAIRS
+    placed_items = (
+        items.select(*KEY, "vector").mapInArrow(partial(_placed, forest), _ITEM_SQL)
+        .withColumn("item_block", block(item_blocks)).withColumn("query_block", every(query_blocks))
+    )
+    both = ("query_block", "item_block")
+    pairs = placed_queries.groupBy(*both).cogroup(placed_items.groupBy(*both)).applyInArrow(
+        partial(_compared, forest.width, forest.leaves, k + 1 + SPARE), _PAIRS
     )
 
     best = Window.partitionBy("q1", "q2").orderBy(F.desc("near"), "k1", "k2")
-    pairs = (
-        pairs.groupBy("q1", "q2", *KEY).agg(F.max("near").alias("near"))
-        .withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1 + SPARE)
-    )
+    pairs = pairs.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1 + SPARE)
     asked_vectors = queries.select(
         F.col("k1").alias("q1"), F.col("k2").alias("q2"), F.col("vector").alias("query_vector")
     )
     answers = (
         pairs.join(items, [*KEY]).join(asked_vectors, ["q1", "q2"])
-        .select("q1", "q2", F.struct((-_product(F.col("query_vector"), F.col("vector"))).alias("less"),
+        .select("q1", "q2", F.struct(_product(F.col("query_vector"), F.col("vector")).alias("score"),
                                      F.col("ids").alias("ids")).alias("answer"))
         .groupBy("q1", "q2").agg(F.collect_list("answer").alias("answers"))
     )
@@ -347,7 +294,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, seed: int = 7) ->
         asked.select(F.col("vec_id").alias("query_id"), F.col("k1").alias("q1"), F.col("k2").alias("q2"))
         .join(answers, ["q1", "q2"])
         .select("query_id", F.explode("answers").alias("a"))
-        .select("query_id", (-F.col("a.less")).alias("score"), F.explode("a.ids").alias("vec_id"))
+        .select("query_id", F.col("a.score").alias("score"), F.explode("a.ids").alias("vec_id"))
         .filter(F.col("vec_id") != F.col("query_id"))
         .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         .withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

@@ -326,27 +326,59 @@ def test_search_equals_brute_force_on_small_tables(spark):
         (20, x[20].tolist()), (None, x[0].tolist())]
     df = spark.createDataFrame([(i, v, 0, "q") for i, v in rows], "vec_id long, embedding array<float>, label int, k1 string")
     found = rp_forest.search(df, F.col("vec_id") % 20 == 0).collect()
-    for q in range(0, 200, 20):
-        exact = x.astype(float) @ x[q].astype(float)
-        near = sorted((-round(s, 9), i) for i, s in enumerate(exact) if i != q)[:20]
+    # The short vector 360 takes part, filled up with zeros.
+    ids, full = [*range(200), 360], np.vstack([x, np.eye(8, dtype=np.float32)[0]]).astype(float)
+    for q in [*range(0, 200, 20), 360]:
+        exact = full @ full[ids.index(q)]
+        near = sorted((-round(s, 9), i) for i, s in zip(ids, exact, strict=True) if i != q)[:20]
         mine = sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q)
         assert [m[1] for m in mine] == [i for _, i in near]
         assert [m[0] for m in mine] == list(range(1, 21))
-    assert len(found) == 200
+    assert len(found) == 220
     assert rp_forest.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
-def test_recall_holds_where_most_leaves_stay_closed(spark):
-    x = RNG.normal(size=(40_000, 64))
+@pytest.mark.parametrize("n, least", [(500, 0.95), (2_000, 0.95), (10_000, 0.97), (40_000, 0.98)])
+def test_recall_holds_at_every_size(spark, n, least):
+    x = RNG.normal(size=(n, 64))
     x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32)
     table = pa.table({"vec_id": pa.array(range(len(x)), pa.int64()), "embedding": pa.array(list(x), pa.list_(pa.float32()))})
-    found = rp_forest.search(spark.createDataFrame(table), F.col("vec_id") % 1000 == 0).collect()
-    hits = 0
-    for q in range(0, len(x), 1000):
+    step = n // 40 if n > 500 else 10
+    found = rp_forest.search(spark.createDataFrame(table), F.col("vec_id") % step == 0).collect()
+    hits, asked = 0, range(0, n, step)
+    for q in asked:
         exact = x.astype(float) @ x[q].astype(float)
         near = set(np.argsort(-exact)[:21].tolist()) - {q}
         hits += len(near & {r["vec_id"] for r in found if r["query_id"] == q})
-    assert hits / (20 * 40) > 0.97
+    assert hits / (20 * len(asked)) > least
+
+
+def test_doubles_and_lengths_are_kept(spark):
+    """Components beyond single precision decide, and a shorter vector counts as filled up with zeros."""
+    rows = [(0, [1.0, 0.0, 0.0]), (1, [1.0 + 1e-12, 1.0, 0.0]), (2, [1.0, 1.0]), (3, [1.0 + 2e-12]), (4, [0.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = rp_forest.search(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found] == [(3, 1.0 + 2e-12), (1, 1.0 + 1e-12), (2, 1.0), (4, 0.5)]
+
+
+def test_queue_opens_the_leaves_of_least_margins():
+    x = RNG.normal(size=(600, 5))
+    forest = rp_forest.grow(x, np.linalg.norm(x, axis=1).max(), trees=3, leaf_rows=20)
+    opened = forest.open(x[:7], 9)
+    for q, leaves in zip(x[:7], opened, strict=True):
+        scaled = np.append(q, 0) / np.linalg.norm(q) * forest.norm
+        queue, order = [(-np.inf, int(r)) for r in forest.roots], []
+        while queue:
+            worst, node = queue.pop(queue.index(min(queue)))
+            if node < 0:
+                order.append((worst, -1 - node))
+                continue
+            m = scaled @ forest.normal[node] - forest.offset[node]
+            queue += [(max(worst, m), int(forest.left[node])), (max(worst, -m), int(forest.right[node]))]
+        # Leaves below one deep cut share its priority, so priorities are compared.
+        priority = {leaf: worst for worst, leaf in order}
+        assert sorted(priority[leaf] for leaf in np.flatnonzero(leaves).tolist()) == pytest.approx(
+            [worst for worst, _ in order[:9]])
 
 
 def labelled(spark, sf_dir):
