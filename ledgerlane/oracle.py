@@ -196,6 +196,23 @@ stocks AS (
         for a, s in ORDER_ACCOUNTS)})"""
 
 
+ACCOUNTS = 13
+
+# The newest snapshot of a customer has thirteen amounts; errors lack the last one.
+LATEST_STOCKS = f"""newest AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n
+        FROM events) WHERE n = 1),
+held AS (
+    SELECT DISTINCT o_custkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+stocks AS (
+    SELECT h.o_custkey AS portfolio_id, h.l_partkey AS stock_symbol, round({" + ".join(
+        f"{_weight('h.l_partkey', i)} * CAST(CASE WHEN {i} < {ACCOUNTS} OR event_type <> 'error' "
+        f"THEN value * {i} END AS DECIMAL(18,2))"
+        for i in range(1, ACCOUNTS + 1))}, 2) AS total_amount
+    FROM held h LEFT JOIN newest ON user_id = o_custkey)"""
+
+
 def _assets(keys: str) -> str:
     products = [f"round(a.{c} * s.total_amount, 2) AS amount_{c}" for c in CLASSES]
     return f"""{SPLIT},
@@ -470,6 +487,7 @@ ORACLE_SQL: dict[str, str] = {
     "asset_distribution": _assets_query(SINGLE_STOCKS, "", ""),
     "asset_totals": _totals_query(SINGLE_STOCKS, "", ""),
     "stock_distribution_by_portfolio": _stocks_query(HELD_STOCKS, "portfolio_id, "),
+    "stock_distribution_latest": _stocks_query(LATEST_STOCKS, "portfolio_id, "),
     "asset_distribution_by_portfolio": _assets_query(
         HELD_STOCKS, "s.portfolio_id, ", "portfolio_id, "
     ),
@@ -480,6 +498,7 @@ ORACLE_SQL: dict[str, str] = {
     "account_readings": ACCOUNT_READINGS,
     "balance_rules": BALANCE_RULES,
     "latest_snapshot": LATEST,
+    "latest_snapshot_descent": LATEST,
     "morning_readings": MORNING,
     "date_spine": SPINE,
     "reading_times": READING_TIMES,

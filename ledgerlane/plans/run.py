@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Collection
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +13,14 @@ from pyspark.sql import types as T
 
 from ledgerlane.config import ModelConfig
 from ledgerlane.operators.checks import require_none, require_not_null, require_unique
+from ledgerlane.operators.descent import latest_by_descent
 from ledgerlane.operators.latest import latest_row
 from ledgerlane.operators.reshape import columns_to_rows
 from ledgerlane.plans.distribution import asset_distribution, asset_totals, stock_distribution
 from ledgerlane.plans.gains import gains_losses
 from ledgerlane.plans.networth import networth, networth_comparison
 from ledgerlane.sources.warehouse import read_table, write_model
+from ledgerlane.sources.workspace import new_run_folder
 
 
 @dataclass(frozen=True)
@@ -55,6 +58,7 @@ def run_models(
     views: Collection[str] = ("networth",),
     view_prefix: str | None = None,
     check: bool = True,
+    newest: date | None = None,
 ) -> dict[str, DataFrame]:
     """Build every model, store it below ``folder`` and return it read from there.
 
@@ -66,6 +70,11 @@ def run_models(
     lose their date partitions. With ``view_prefix`` every model also becomes
     a temporary view. ``check`` reads the stamp columns once before anything
     is written; switch it off for tables that were checked when loaded.
+
+    ``newest`` is the day of the run. With it the latest snapshots are searched
+    from that day back, for the portfolios that hold securities; the account
+    data must then be partitioned by ``date_now``. Without it one pass over the
+    whole table picks them.
     """
     if check:
         check_staging(staging, config)
@@ -89,10 +98,18 @@ def run_models(
         lambda: networth_comparison(built["networth"], config, f"{folder}/networth_daily"),
     )
     build("gains_losses", lambda: gains_losses(staging.account_data, staging.dates, config))
-    latest = latest_row(staging.account_data, config.keys, "datetime_now", config.tie_breaker)
+
+    def latest() -> DataFrame:
+        if newest is None:
+            return latest_row(staging.account_data, config.keys, "datetime_now", config.tie_breaker)
+        return latest_by_descent(
+            staging.account_data, staging.investment_distribution, newest, new_run_folder(spark, "descent"),
+            config.keys, "datetime_now", config.tie_breaker,
+        )
+
     build(
         "stock_distribution",
-        lambda: stock_distribution(staging.investment_distribution, latest, config),
+        lambda: stock_distribution(staging.investment_distribution, latest(), config),
     )
     build(
         "asset_distribution",

@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlane.config import DEFAULT_RULES, ModelConfig
+from ledgerlane.config import DEFAULT_ACCOUNTS, DEFAULT_RULES, ModelConfig
 from ledgerlane.functions.clock import instant, is_weekday, time_of_day, whole_days_between
 from ledgerlane.functions.money import MONEY, decimals_to_double, money
+from ledgerlane.operators.descent import latest_by_descent
 from ledgerlane.operators.latest import latest_row, morning_readings, wide_balances
 from ledgerlane.operators.rules import corrected_balance
 from ledgerlane.operators.spine import calendar, trading_days
@@ -127,9 +128,31 @@ def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(newest)
 
 
+def _dated_history(spark: SparkSession, snapshots: DataFrame) -> DataFrame:
+    path = new_run_folder(spark, "history")
+    append_snapshots(snapshots, path)
+    return read_table(spark, path, snapshots.schema)
+
+
+def q_latest_snapshot_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a dated history, newest dates first, until every portfolio is found."""
+    history = _dated_history(spark, given.event_account_data(spark, sf_dir))
+    users = given.table(spark, sf_dir, "events").select(F.col("user_id").alias(PORTFOLIO))
+    newest = latest_by_descent(history, users, RUN_TIME.date(), new_run_folder(spark, "descent"))
+    return decimals_to_double(newest)
+
+
 # Distributions
 
 
+def q_stock_distribution_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default thirteen accounts, each portfolio's latest snapshot row found by descent."""
+    history = _dated_history(spark, given.event_snapshots(spark, sf_dir))
+    held = given.held_weights(spark, sf_dir, DEFAULT_ACCOUNTS)
+    latest = latest_by_descent(history, held, RUN_TIME.date(), new_run_folder(spark, "descent"))
+    return decimals_to_double(stock_distribution(held, latest, EVENT_CONFIG))
+
+
 def _single_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = wide_balances(
         given.event_balances(spark, sf_dir),
@@ -434,12 +457,14 @@ QUERIES: dict[str, Query] = {
     "asset_distribution": q_asset_distribution,
     "asset_totals": q_asset_totals,
     "stock_distribution_by_portfolio": q_stock_distribution_by_portfolio,
+    "stock_distribution_latest": q_stock_distribution_latest,
     "asset_distribution_by_portfolio": q_asset_distribution_by_portfolio,
     "asset_totals_by_portfolio": q_asset_totals_by_portfolio,
     "account_snapshot": q_account_snapshot,
     "account_readings": q_account_readings,
     "balance_rules": q_balance_rules,
     "latest_snapshot": q_latest_snapshot,
+    "latest_snapshot_descent": q_latest_snapshot_descent,
     "morning_readings": q_morning_readings,
     "date_spine": q_date_spine,
     "reading_times": q_reading_times,

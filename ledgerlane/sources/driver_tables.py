@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.config import BalanceRule, ModelConfig, weighted_spreads
+from ledgerlane.config import DEFAULT_ACCOUNTS, BalanceRule, ModelConfig, weighted_spreads
 from ledgerlane.functions.clock import reading_order
 from ledgerlane.functions.money import FRACTION, WEIGHT, money
 from ledgerlane.operators.spine import calendar
@@ -118,7 +120,9 @@ def part_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def held_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+def held_weights(
+    spark: SparkSession, sf_dir: str, accounts: Iterable[str] = tuple(ORDER_ACCOUNTS)
+) -> DataFrame:
     """The parts a customer has ordered as that portfolio's securities."""
     bought = (
         table(spark, sf_dir, "lineitem")
@@ -130,7 +134,23 @@ def held_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bought.select(
         PORTFOLIO,
         "stock_symbol",
-        *[_weight(symbol, i).alias(f"{a}_weight") for i, a in enumerate(ORDER_ACCOUNTS, 1)],
+        *[_weight(symbol, i).alias(f"{a}_weight") for i, a in enumerate(accounts, 1)],
+    )
+
+
+def event_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as wide snapshots of the default accounts; errors lack the last one's balance."""
+    amounts = [
+        money(F.col("value") * number).alias(account) for number, account in enumerate(DEFAULT_ACCOUNTS[:-1], 1)
+    ]
+    last = F.when(F.col("event_type") != "error", F.col("value") * len(DEFAULT_ACCOUNTS))
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias(PORTFOLIO),
+        F.col("event_id").alias("primary_key"),
+        F.col("ts").alias("datetime_now"),
+        F.to_date("ts").alias("date_now"),
+        *amounts,
+        money(last).alias(DEFAULT_ACCOUNTS[-1]),
     )
 
 
