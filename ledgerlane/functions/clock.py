@@ -52,6 +52,11 @@ def is_weekday(day: Column) -> Column:
     return F.weekday(day) < 5
 
 
+def is_day_after_weekday(day: Column) -> Column:
+    """Tuesday to Saturday: the days after Monday to Friday."""
+    return F.weekday(day).between(1, 5)
+
+
 def days_before(ts: Column, days: int) -> Column:
     """The instant exactly ``days`` times 24 hours earlier."""
     return ts - F.lit(timedelta(days=days))

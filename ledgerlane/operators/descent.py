@@ -51,6 +51,7 @@ def latest_by_descent(
     day: str = "date_now",
     days: int = 1,
     growth: int = 4,
+    before: str | None = None,
 ) -> DataFrame:
     """``latest_row`` of the keys listed in ``wanted``, from a history partitioned by ``day``.
 
@@ -67,18 +68,24 @@ def latest_by_descent(
     found and the keys missing are stored below ``folder``, so a lost executor
     repeats no round, and a job looks at a key list that is as large as what
     is missing. Without ``keys`` the first range with a row ends the search.
+
+    ``before`` names a column of ``wanted`` with a day of each key: only rows of
+    earlier days count for it. A key must then be listed once.
     """
     spark = history.sparkSession
     keys = list(keys)
     found: list[str] = []
-    missing = wanted.select(*keys).distinct() if keys else None
+    bound = [] if before is None else [before]
+    missing = wanted.select(*keys, *bound).distinct() if keys else None
     for number, window in enumerate(windows_back(newest, days, growth)):
         part = in_window(history, day, window)
-        if number and keys:
+        if before is not None:
+            part = part.join(missing, keys).filter(F.col(day) < F.col(before)).drop(before)
+        elif number and keys:
             # Few keys are missing now: they prune rows before anything is combined.
             part = part.join(missing, keys, "left_semi")
         rows = latest_row(part, keys, ts, tie_breaker)
-        if not number and keys:
+        if not number and keys and before is None:
             # Nearly all keys are wanted: combined rows are fewer than readings.
             rows = rows.join(missing, keys, "left_semi")
         found.append(f"{folder}/found-{number}")

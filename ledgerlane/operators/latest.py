@@ -76,23 +76,32 @@ def morning_readings(
     keys: Sequence[str],
     tie_breaker: str | None = "primary_key",
     all_days: bool = False,
+    times: bool = False,
 ) -> DataFrame:
     """First and last value of each day among readings up to the cutoff.
 
     The two picks share one aggregation. A day without any morning reading is
     left out, or kept with nulls if ``all_days`` is set (so that a portfolio
-    which only has afternoon readings is not lost).
+    which only has afternoon readings is not lost). With ``times`` the capture
+    times of the picked readings stand beside them.
     """
     early = not_later_than(F.col("datetime_now"), cutoff)
     shaped = readings.withColumn(
         "_order", F.when(early, order_of(readings, "datetime_now", tie_breaker))
-    ).select(*keys, "date_now", F.expr(value).alias("_value"), "_order")
-    if not all_days:
-        shaped = shaped.filter(F.col("_order").isNotNull())
-    return shaped.groupBy(*keys, "date_now").agg(
+    )
+    picks = [
         F.max_by("_value", "_order").alias("last_value"),
         F.min_by("_value", "_order").alias("first_value"),
-    )
+    ]
+    extra = []
+    if times:
+        # The order goes by time first, so the picked readings have these times.
+        extra = [F.when(early, F.col("datetime_now")).alias("_time")]
+        picks += [F.max("_time").alias("last_time"), F.min("_time").alias("first_time")]
+    shaped = shaped.select(*keys, "date_now", F.expr(value).alias("_value"), "_order", *extra)
+    if not all_days:
+        shaped = shaped.filter(F.col("_order").isNotNull())
+    return shaped.groupBy(*keys, "date_now").agg(*picks)
 
 
 def pick_latest(columns: Iterable[str], order: str, where: Column | None = None) -> list[Column]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.config import ModelConfig
+from ledgerlane.functions.clock import is_day_after_weekday, is_weekday
 from ledgerlane.operators.latest import morning_readings
 from ledgerlane.operators.spine import spread_over_days, trading_days
 
@@ -13,9 +14,12 @@ from ledgerlane.operators.spine import spread_over_days, trading_days
 def gains_losses(account_data: DataFrame, dates: DataFrame, config: ModelConfig) -> DataFrame:
     """Per trading day: value before trading, value the next morning, difference.
 
-    Before trading is the day's last reading up to the cutoff; after trading is
-    the first reading of the following calendar day (for a Friday that is
-    Saturday's). The previous day is the previous calendar row, so a day
+    Before trading is the day's last reading up to the cutoff, taken on a
+    weekday; after trading is the first reading of the following calendar day
+    (for a Friday that is Saturday's), taken on a Tuesday to Saturday. The
+    weekday is that of the reading's own time: a reading whose ``date_now`` is
+    of another day than its ``datetime_now`` is picked by the one and judged by
+    the other. The previous day is the previous calendar row, so a day
     without readings gives null and is not skipped.
 
     Two shuffles, both of daily rows only: (portfolio, date) for the picks and
@@ -32,7 +36,9 @@ def gains_losses(account_data: DataFrame, dates: DataFrame, config: ModelConfig)
         keys,
         config.tie_breaker,
         all_days=True,
+        times=True,
     )
+    daily = taken_on_trading_days(daily).drop("last_time", "first_time")
     if keys:
         # Adaptive execution merges partitions by their bytes, but here a few
         # bytes can grow into whole calendars. A given number is left alone.
@@ -60,6 +66,14 @@ def gains_losses(account_data: DataFrame, dates: DataFrame, config: ModelConfig)
     )
 
 
+def taken_on_trading_days(daily: DataFrame) -> DataFrame:
+    """Daily rows without the values of readings that were taken on other weekdays."""
+    return daily.withColumns({
+        "last_value": F.when(is_weekday(F.col("last_time")), F.col("last_value")),
+        "first_value": F.when(is_day_after_weekday(F.col("first_time")), F.col("first_value")),
+    })
+
+
 def _with_neighbours(daily: DataFrame, days: DataFrame, keys: list[str]) -> DataFrame:
     """Daily rows with the next one, and the last earlier one on a trading day.
 

@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlane.sources.versions import Record, delete, matching
+
 # Folder, name prefix and name format of landed files.
 FOLDER = "account-data"
 FIND_PREFIX = "m"
@@ -80,17 +81,26 @@ def land_run(
     entry = df.sparkSession.range(0, 1, 1, 1).select(
         F.lit(run_id).alias("run_id"), F.lit(folder).alias("folder"), columns.alias("accounts")
     )
-    entry.write.mode("append").parquet(f"{root}/{RUN_LOG_FOLDER}")
+    runs = run_record(root)
+    runs.append(entry, runs.newest_epoch(df.sparkSession))
+
+
+def run_record(root: str) -> Record:
+    return Record(f"{root}/{RUN_LOG_FOLDER}", RUN_LOG)
 
 
 def landed_runs(spark: SparkSession, root: str) -> DataFrame:
     """The record of runs: one row per published attempt, also of files removed since."""
-    try:
-        return spark.read.schema(RUN_LOG).parquet(f"{root}/{RUN_LOG_FOLDER}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], RUN_LOG)
+    return run_record(root).read(spark).select(*RUN_LOG.names)
+
+
+def fold_runs(spark: SparkSession, root: str) -> None:
+    """Rewrite the record of runs as one file; of several attempts of a run one stays."""
+    runs = run_record(root)
+    once = landed_runs(spark, root).groupBy("run_id").agg(
+        F.max_by("folder", "folder").alias("folder"), F.max_by("accounts", "folder").alias("accounts")
+    )
+    runs.fold(once.select(*RUN_LOG.names), runs.newest_epoch(spark))
 
 
 def is_landed(spark: SparkSession, root: str, run_ts: datetime, name: str = "") -> bool:
@@ -153,10 +163,7 @@ def remove_landed(spark: SparkSession, root: str) -> int:
     The record of runs stays: a run that is repeated afterwards lands nothing.
     Only loaded batches should be removed, a load that misses files stops.
     """
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(landed_glob(root))
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(pattern) or []
-    for status in found:
-        fs.delete(status.getPath(), True)
+    found = matching(spark, landed_glob(root))
+    for path in found:
+        delete(spark, path)
     return len(found)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +12,8 @@ from pyspark.sql import types as T
 from ledgerlane.functions.clock import micros_since_epoch
 from ledgerlane.operators.checks import required
 from ledgerlane.schemas import PORTFOLIO, snapshot_schema
-from ledgerlane.sources.landing import landed_runs
+from ledgerlane.sources.landing import fold_runs, landed_runs
+from ledgerlane.sources.versions import DatedTable, Entry
 
 SURROGATE = "primary_key"
 NEVER_NULL = (PORTFOLIO, "datetime_now", "date_now")
@@ -61,20 +65,33 @@ def append_snapshots(snapshots: DataFrame, path: str) -> None:
     )
 
 
-def put_runs(snapshots: DataFrame, path: str) -> None:
-    """Put runs into the history, replacing what it holds of the same run and date.
+def history_table(root: str) -> DatedTable:
+    return DatedTable(f"{root}/history")
+
+
+def put_runs(
+    snapshots: DataFrame,
+    path: str,
+    names: Collection[str] | None = None,
+    entries: list[Entry] | None = None,
+) -> list[Entry]:
+    """Put runs (column ``run_id``) into the history at once; returns its log.
 
-    Partitioned by run and date. The rebalance hint gathers a date's rows, so a
-    quiet date gets one file and a busy one several, by size.
+    The history's log names the runs it holds, so a run that is put again adds
+    nothing. ``names`` lists the runs, ``entries`` is the log, if the caller knows them.
     """
-    (
-        with_surrogate(with_required(snapshots))
-        .hint("rebalance", "run_id", "date_now")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("run_id", "date_now")
-        .parquet(path)
-    )
+    spark = snapshots.sparkSession
+    table = DatedTable(path)
+    entries = table.entries(spark) if entries is None else entries
+    if names is None:
+        names = [r["run_id"] for r in snapshots.select("run_id").distinct().collect()]
+    new = sorted(set(names) - table.names(entries))
+    if not new:
+        return entries
+    if len(new) < len(set(names)):
+        snapshots = snapshots.filter(F.col("run_id").isin(new))
+    change = table.write(with_surrogate(with_required(snapshots.drop("run_id"))))
+    return [*entries, table.publish(spark, entries, change, names=new)]
 
 
 def history_schema(runs: DataFrame) -> T.StructType:
@@ -89,14 +106,25 @@ def history_schema(runs: DataFrame) -> T.StructType:
     return T.StructType([*schema.fields[:3], T.StructField(SURROGATE, T.LongType()), *schema.fields[3:]])
 
 
-def read_history(spark: SparkSession, root: str) -> DataFrame:
+def read_history(spark: SparkSession, root: str, entries: list[Entry] | None = None) -> DataFrame:
     """The history of all loaded runs, by its declared schema.
 
     An account that a run did not have yet, or no longer had, is null there.
+    What is loaded or compacted later does not show in it.
+    """
+    return history_table(root).read(spark, history_schema(landed_runs(spark, root)), entries)
+
+
+def compact_history(spark: SparkSession, root: str, closed_before: date, packs_of_a_day: int = 8) -> None:
+    """Keep the number of files in bounds: closed days into sized files, both records into one file each.
+
+    To be called between loads. A day that is loaded in few packs is left alone. Nothing
+    is deleted; ``history_table(root).remove_unused`` does that when old readers are gone.
     """
-    schema = history_schema(landed_runs(spark, root))
-    stored = T.StructType([*schema.fields, T.StructField("run_id", T.StringType())])
-    return read_table(spark, f"{root}/history", stored).select(*schema.names)
+    table = history_table(root)
+    table.compact(spark, history_schema(landed_runs(spark, root)), closed_before, packs_of_a_day)
+    table.fold_log(spark)
+    fold_runs(spark, root)
 
 
 def write_model(df: DataFrame, path: str) -> None:

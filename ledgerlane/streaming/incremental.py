@@ -10,14 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlane.schemas import snapshot_schema
-from ledgerlane.sources.landing import (
-    RUN_LOG,
-    RUN_LOG_FOLDER,
-    csv_options,
-    landed_glob,
-    read_landed,
-)
-from ledgerlane.sources.warehouse import put_runs, with_required, with_surrogate
+from ledgerlane.sources.landing import csv_options, landed_glob, landed_runs, read_landed
+from ledgerlane.sources.versions import Entry
+from ledgerlane.sources.warehouse import history_table, put_runs, with_required, with_surrogate
 
 # A restored or copied backlog may be any age; the checkpoint alone says what was loaded.
 ANY_AGE = "36500d"
@@ -66,35 +61,28 @@ def load_new_files(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
     return query
 
 
-def load_landed_runs(spark: SparkSession, root: str) -> StreamingQuery:
-    """Put every published run that is not in the history yet into it, then stop.
+def load_landed_runs(
+    spark: SparkSession, root: str, entries: list[Entry] | None = None
+) -> list[Entry]:
+    """Put every published run that is not in the history yet into it; returns the history's log.
 
-    Streams the record of runs, so only whole batches are read. The checkpoint
-    remembers the runs; a run's rows fill partitions of its own, which a
-    repeated batch replaces. A crash at any point, and even a lost checkpoint,
-    therefore neither loses nor doubles a row. A micro-batch brings one row per
-    run to the driver, whatever the size of the runs.
+    What is new is the record of runs less the names in the history's log, so
+    neither a crash at any point nor a lost checkpoint loses or doubles a row:
+    a run's rows and its name become visible together. One row per new run
+    reaches the driver, whatever the size of the runs.
     """
-
-    def load(batch: DataFrame, _: int) -> None:
-        # Attempts of one run hold the same rows: one of them is loaded.
-        folders = {r["run_id"]: (tuple(r["accounts"]), r["folder"]) for r in batch.collect()}
-        by_accounts: dict[tuple[str, ...], list[str]] = defaultdict(list)
-        for accounts, folder in folders.values():
-            by_accounts[accounts].append(folder)
-        for accounts, paths in by_accounts.items():
-            landed = read_landed(spark, paths, snapshot_schema(accounts))
-            attempt = F.element_at(F.split("_metadata.file_path", "/"), -2)
-            run_id = F.substring_index(attempt, ".", 1)
-            put_runs(landed.withColumn("run_id", run_id), f"{root}/history")
-
-    log = spark.readStream.schema(RUN_LOG).option("maxFileAge", ANY_AGE)
-    query = (
-        log.parquet(f"{root}/{RUN_LOG_FOLDER}")
-        .writeStream.foreachBatch(load)
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query
+    table = history_table(root)
+    entries = table.entries(spark) if entries is None else entries
+    known = spark.createDataFrame([(n,) for n in table.names(entries)], "run_id string")
+    new = landed_runs(spark, root).join(known, "run_id", "left_anti")
+    # Attempts of one run hold the same rows: one of them is loaded.
+    folders = {r["run_id"]: (tuple(r["accounts"]), r["folder"]) for r in new.collect()}
+    by_accounts: dict[tuple[str, ...], dict[str, str]] = defaultdict(dict)
+    for run_id, (accounts, folder) in folders.items():
+        by_accounts[accounts][run_id] = folder
+    for accounts, runs in by_accounts.items():
+        landed = read_landed(spark, list(runs.values()), snapshot_schema(accounts))
+        attempt = F.element_at(F.split("_metadata.file_path", "/"), -2)
+        run_id = F.substring_index(attempt, ".", 1)
+        entries = put_runs(landed.withColumn("run_id", run_id), table.path, list(runs), entries)
+    return entries
