@@ -18,8 +18,9 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import byte_slices, shuffle_width, stored
+from ledgerlane.llm.piece_chunks import MARK
 
 # Texts that one chunk holds, in bytes about, and pairs that one block of a run holds, at most.
 CHUNK_BYTES = 4 << 20
@@ -38,8 +40,6 @@ BLOCK_PAIRS = 4096
 # Pairs that a merge gathers before it counts those that are complete.
 HELD_PAIRS = 1 << 20
 
-MARK = "▁"
-
 
 @dataclass(frozen=True)
 class Vocabularies:
@@ -50,33 +50,63 @@ class Vocabularies:
     model_file: str
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """values[s : s + n] of each start and size, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return values[np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))]
+
+
+class Spelling:
+    """The bytes of each id, laid end to end."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.raw = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        return gathered(self.raw, self.starts[ids], self.sizes[ids])
+
+    def wrong(self, ids: np.ndarray, counts: np.ndarray, raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which texts their ids, joined, do not spell; `raw` holds the texts' bytes, up to `ends`."""
+        text = np.repeat(np.arange(len(counts)), counts)
+        lengths = np.bincount(text, self.sizes[ids], minlength=len(counts)).astype(np.int64)
+        starts = np.append(0, ends[:-1])
+        wrong = lengths != ends - starts
+        ids = ids[~wrong[text]]
+        # Texts of the right length lie side by side on both sides.
+        size = np.where(wrong, 0, lengths)
+        differs = self.spelled(ids) != gathered(raw, starts, size)
+        wrong[np.repeat(np.arange(len(counts)), size)[differs]] = True
+        return wrong
+
+
 @dataclass
 class Encoder:
-    """Ids of both tokenizers, and the bytes of each id."""
+    """Both tokenizers, and the bytes of their ids."""
 
     words: tiktoken.Encoding
     pieces: sentencepiece.SentencePieceProcessor
-    a_bytes: list[bytes]
-    b_bytes: list[bytes]
-    a_size: np.ndarray = field(init=False)
-    b_size: np.ndarray = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.a_size = np.array([len(x) for x in self.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in self.b_bytes], np.int64)
+    a: Spelling
+    b: Spelling
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of space + text; the second tokenizer puts the space before the text itself.
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of space + text by both sides, and how many each text has; B puts the space before itself.
 
-        No ids unless the tokens of both sides, joined, give back these bytes.
+        A text has no ids unless it is not empty and the tokens of both sides, joined, give back these bytes.
         """
-        a = np.array(self.words.encode_ordinary(" " + text), np.int64)
-        b = np.array(self.pieces.encode(text, num_threads=1), np.int64)
-        whole = b" " + text.encode()
-        same = (self.a_size[a].sum() == self.b_size[b].sum() == len(whole)
-                and b"".join(map(self.b_bytes.__getitem__, b.tolist())) == whole
-                and b"".join(map(self.a_bytes.__getitem__, a.tolist())) == whole)
-        return (a, b) if same else (a[:0], b[:0])
+        none = np.zeros(0, np.int64)
+        by_text = [self.words.encode_to_numpy(" " + t, disallowed_special=()) if t else none for t in texts]
+        a = np.concatenate([none, *by_text]).astype(np.int64)
+        a_counts = np.array([len(x) for x in by_text], np.int64)
+        pieces = self.pieces.encode(texts, num_threads=1) if texts else []
+        b_counts = np.array([len(x) for x in pieces], np.int64)
+        b = np.fromiter(chain.from_iterable(pieces), np.int64, int(b_counts.sum()))
+        spaced = [b" " + t.encode() if t else b"" for t in texts]
+        raw, ends = np.frombuffer(b"".join(spaced), np.uint8), np.cumsum([len(t) for t in spaced], dtype=np.int64)
+        wrong = self.a.wrong(a, a_counts, raw, ends) | self.b.wrong(b, b_counts, raw, ends)
+        a, b = a[~np.repeat(wrong, a_counts)], b[~np.repeat(wrong, b_counts)]
+        return a, np.where(wrong, 0, a_counts), b, np.where(wrong, 0, b_counts)
 
 
 def piece_bytes(model: sentencepiece.SentencePieceProcessor, number: int) -> bytes:
@@ -94,7 +124,7 @@ def encoder(files: Vocabularies) -> Encoder:
     words = tiktoken.Encoding("given", pat_str=files.pattern, mergeable_ranks=ranks, special_tokens={})
     pieces = sentencepiece.SentencePieceProcessor(model_file=files.model_file)
     b_bytes = [piece_bytes(pieces, i) for i in range(pieces.get_piece_size())]
-    return Encoder(words, pieces, a_bytes, b_bytes)
+    return Encoder(words, pieces, Spelling(a_bytes), Spelling(b_bytes))
 
 
 # --- Step 1: groups and links of a slice ---------------------------------------------------------
@@ -124,18 +154,17 @@ class Aligned:
 
         Two tokens overlap in one stretch of bytes, so each stretch between neighbouring ends is one link.
         """
-        ends = np.union1d(self.a_ends, self.b_ends)
+        _, shared = self.common()
+        ends = np.sort(np.concatenate([self.a_ends, self.b_ends[~shared]]), kind="stable")
         a_at, b_at = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
         return self.a[a_at], self.b[b_at], self.a_text[a_at]
 
 
-def aligned(encoded: list[tuple[np.ndarray, np.ndarray]], files: Encoder) -> Aligned:
-    a_counts, b_counts = ([len(pair[side]) for pair in encoded] for side in (0, 1))
-    a = np.concatenate([x for x, _ in encoded]) if encoded else np.zeros(0, np.int64)
-    b = np.concatenate([x for _, x in encoded]) if encoded else np.zeros(0, np.int64)
-    texts = np.arange(len(encoded))
-    return Aligned(a, b, np.cumsum(files.a_size[a]), np.cumsum(files.b_size[b]),
-                   np.repeat(texts, a_counts), np.repeat(texts, b_counts))
+def aligned(texts: list[str], files: Encoder) -> Aligned:
+    a, a_counts, b, b_counts = files.encode(texts)
+    of = np.arange(len(texts))
+    return Aligned(a, b, np.cumsum(files.a.sizes[a]), np.cumsum(files.b.sizes[b]),
+                   np.repeat(of, a_counts), np.repeat(of, b_counts))
 
 
 def _digits(numbers: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -236,20 +265,15 @@ def _batch(schema: pa.Schema, rows: list[dict]) -> pa.RecordBatch:
 def _encoded(files: Vocabularies, radix: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each chunk one row with its documents and records, and one row for each block of its runs."""
     given = encoder(files)
-    b_ids = len(given.b_bytes)
+    b_ids = len(given.b.sizes)
     chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
         doc_ids = batch.column("doc_id").to_pylist()
         for first, end, raw, offsets in byte_slices(batch.column("text"), CHUNK_BYTES):
             body = raw.tobytes()
-            none = np.zeros(0, np.int64)
-            encoded = [
-                given.encode(body[i:j].decode()) if j > i else (none, none)
-                for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
-            ]
+            texts = [body[i:j].decode() for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
             n = end - first
-            of = aligned(encoded, given)
-            del encoded
+            of = aligned(texts, given)
             a_cuts, _ = of.common()
             groups = group_texts(of, n)
             held = records(*of.links(), b_ids, n)
