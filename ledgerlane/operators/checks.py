@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 EXAMPLES_IN_MESSAGE = 20
 
 
 class LoadError(ValueError):
-    """The input breaks the table contract; nothing was written."""
+    """The input breaks the table contract; no result is handed out."""
 
 
 def require_none(violations: DataFrame, what: str) -> None:
@@ -30,6 +31,32 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> None:
         raise LoadError(f"nulls in required columns: {missing}")
 
 
+class Watch:
+    """Counts breaches in a frame while something else is computed from it.
+
+    The counts are observed by whatever job runs over ``frame`` first, so they cost no pass of their
+    own. Only if there are any does ``require`` go back to the rows, to name some.
+    """
+
+    def __init__(self, df: DataFrame, breaches: Mapping[str, Column], shown: Sequence[str]):
+        self._df, self._shown, self._breaches = df, list(shown), dict(breaches)
+        self._seen = Observation()
+        self.frame = df.observe(
+            self._seen, *[F.count_if(c).alias(str(n)) for n, c in enumerate(self._breaches.values())]
+        )
+
+    def require(self) -> None:
+        """Raise if the job that ran over the frame met a breach."""
+        try:
+            counts = self._seen.get
+        except Py4JJavaError:
+            # A frame without rows can be optimized away, and what was observed with it.
+            return
+        for number, (what, breach) in enumerate(self._breaches.items()):
+            if counts[str(number)]:
+                require_none(self._df.filter(breach).select(self._shown), what)
+
+
 def required(column: str) -> Column:
     """The column itself; a null stops the job that computes it.
 

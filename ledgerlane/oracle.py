@@ -68,6 +68,31 @@ SELECT {columns}date_value,
 FROM gains"""
 
 
+# The definition itself: ranks within a date, then the weekday of the reading's own time.
+STRADDLING = f"""
+WITH {_event_readings("user_id")},
+{WEEKDAYS},
+early AS (
+    SELECT *, CAST(ts + INTERVAL 12 HOUR AS DATE) AS date_now FROM readings
+    WHERE CAST(ts AS TIME) <= TIME '13:30:00'),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY portfolio_id, date_now ORDER BY ts DESC, primary_key DESC) AS down,
+        row_number() OVER (PARTITION BY portfolio_id, date_now ORDER BY ts, primary_key) AS up
+    FROM early),
+before AS (SELECT * FROM ranked WHERE down = 1 AND extract(dow FROM ts) IN (1, 2, 3, 4, 5)),
+after AS (
+    SELECT *, CAST(date_now - INTERVAL 1 DAY AS DATE) AS day_before FROM ranked
+    WHERE up = 1 AND extract(dow FROM ts) IN (2, 3, 4, 5, 6)),
+cells AS (
+    SELECT p.portfolio_id, w.date_value, before.amount AS pre, after.amount AS post
+    FROM (SELECT DISTINCT portfolio_id FROM readings) p CROSS JOIN weekdays w
+    LEFT JOIN before ON before.portfolio_id = p.portfolio_id AND before.date_now = w.date_value
+    LEFT JOIN after ON after.portfolio_id = p.portfolio_id AND after.day_before = w.date_value)
+SELECT portfolio_id, date_value, CAST(pre AS DOUBLE) AS pre_investment, CAST(post AS DOUBLE) AS post_investment,
+    CAST(post - pre AS DOUBLE) AS gains_losses,
+    CAST(lead(post - pre) OVER (PARTITION BY portfolio_id ORDER BY date_value DESC) AS DOUBLE) AS previous_day_gains
+FROM cells"""
+
 MORNING = f"""
 WITH {_event_readings("user_id")},
 {MORNINGS}
@@ -116,6 +141,10 @@ SELECT portfolio_id, primary_key, datetime_stamp, date_stamp,
 FROM series"""
 
 
+PRE_INVESTMENT = NETWORTH.replace(
+    "CAST(0 AS DECIMAL(18,2)) AS investment_amount", f"CAST({PRICE} * 0.25 AS DECIMAL(18,2)) AS investment_amount")
+
+
 def _compared(ages: dict[str, int]) -> str:
     """The picks of a comparison, from readings that know the newest instant."""
     picks = []
@@ -142,6 +171,21 @@ SELECT {f"{key}," if key else ""} CAST(COLUMNS('networth_|investment_') AS DOUBL
 FROM comparison"""
 
 
+# Of readings at one time the greatest key counts; then the last time up to the instant does.
+AS_OF = f"""
+WITH {ORDER_SERIES},
+once AS (
+    SELECT portfolio_id, datetime_stamp, arg_max(networth, primary_key) AS networth,
+        arg_max(investment_amount, primary_key) AS investment_amount
+    FROM series GROUP BY ALL),
+shipped AS (
+    SELECT o_orderkey, l_linenumber, o_custkey AS portfolio_id, l_shipdate AS instant
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT s.portfolio_id, s.instant, s.o_orderkey, s.l_linenumber, o.datetime_stamp,
+    CAST(o.networth AS DOUBLE) AS networth, CAST(o.investment_amount AS DOUBLE) AS investment_amount
+FROM shipped s ASOF LEFT JOIN once o
+    ON s.portfolio_id = o.portfolio_id AND s.instant >= o.datetime_stamp"""
+
 AGES = {"thirty_days_ago": 30, "sixty_days_ago": 60}
 SHORT_AGES = {"one_day_ago": 1, "seven_days_ago": 7, "twenty_days_ago": 20}
 
@@ -305,6 +349,15 @@ JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
 JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
 JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""
 
+PAYLOAD_FILES = f"""
+WITH {FIXED}
+SELECT e.user_id AS portfolio_id, CAST(f1.balance AS DOUBLE) AS checking,
+    CAST(f2.balance AS DOUBLE) AS bitcoin, CAST(f3.balance AS DOUBLE) AS dollars
+FROM (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id) e
+JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
+JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
+JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""
+
 EXTRACT_LOAD = f"""
 WITH {FIXED}
 SELECT e.user_id AS portfolio_id, e.ts AS datetime_now, CAST(e.ts AS DATE) AS date_now,
@@ -479,10 +532,15 @@ stocks AS (
 ORACLE_SQL: dict[str, str] = {
     "gains_losses": _gains("user_id", "portfolio_id, "),
     "gains_losses_global": _gains("0", ""),
+    "gains_losses_straddling": STRADDLING,
+    "gains_losses_kept": _gains("user_id", "portfolio_id, "),
     "networth": NETWORTH,
+    "networth_pre_investment": PRE_INVESTMENT,
     "networth_comparison": _comparison(ORDER_SERIES, AGES),
     "networth_comparison_global": _comparison(ORDER_SERIES, AGES, by_portfolio=False),
     "networth_comparison_ages": _comparison(EVENT_SERIES, SHORT_AGES),
+    "networth_as_of": AS_OF,
+    "networth_comparison_kept": _comparison(EVENT_SERIES, SHORT_AGES),
     "stock_distribution": _stocks_query(SINGLE_STOCKS, ""),
     "asset_distribution": _assets_query(SINGLE_STOCKS, "", ""),
     "asset_totals": _totals_query(SINGLE_STOCKS, "", ""),
@@ -505,6 +563,7 @@ ORACLE_SQL: dict[str, str] = {
     "payload_parse": PAYLOAD_PARSE,
     "payload_records": PAYLOAD_RECORDS,
     "payload_snapshot": PAYLOAD_SNAPSHOT,
+    "payload_files": PAYLOAD_FILES,
     "landed_names": LANDED_NAMES,
     "landing_roundtrip": EVENT_ROWS,
     "landing_by_position": BY_POSITION,

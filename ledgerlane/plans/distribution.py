@@ -39,9 +39,14 @@ def asset_distribution(
 
     A symbol without a split keeps null amounts; several split rows of a symbol
     give several result rows. No broadcast hint: the planner broadcasts the
-    split when its size allows, otherwise adaptive execution splits hot symbols.
+    split when its size allows. A symbol that many portfolios hold is dealt out
+    by portfolio; of a single portfolio a symbol has few rows.
     """
-    return stocks.join(assett_class_split, "stock_symbol", "left").select(
+    if config.keys:
+        joined = attach_by_key(stocks, assett_class_split, ["stock_symbol"], config.keys)
+    else:
+        joined = stocks.join(assett_class_split, "stock_symbol", "left")
+    return joined.select(
         *config.keys,
         "stock_symbol",
         "total_amount",

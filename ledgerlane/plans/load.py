@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.config import DEFAULT_RULES, BalanceRule
-from ledgerlane.operators.checks import LoadError, require_unique
-from ledgerlane.schemas import PORTFOLIO
-from ledgerlane.sources.landing import is_landed, land_run
+from ledgerlane.operators.checks import LoadError, require_none
+from ledgerlane.schemas import PORTFOLIO, snapshot_schema
+from ledgerlane.sources.landing import land_run, run_identity
 from ledgerlane.sources.payload import (
     capture_columns,
     payload_snapshot,
     payload_snapshot_by_map,
     stopped_at_failures,
 )
-from ledgerlane.sources.warehouse import read_history
+from ledgerlane.sources.versions import Entry
+from ledgerlane.sources.warehouse import history_table, read_history
 from ledgerlane.streaming.incremental import load_landed_runs
 
 
@@ -46,15 +47,18 @@ def run_load(
     microsecond, and ``name``: batches of one instant need different names, and
     repeating a run lands nothing again. A run that fails before it is
     published leaves the history as it was; one that fails later is completed
-    by the next. Two payloads of one portfolio and instant in a batch stop it.
+    by the next. Two payloads of one portfolio and instant stop it, in the
+    batch or with what the history holds of the batch's days.
     """
+    # What is published is loaded first, so the history's log says what was landed.
+    log = load_landed_runs(spark, root)
     if "datetime_now" in payloads.columns:
         stamps = ["datetime_now", F.to_date("datetime_now").alias("date_now")]
     else:
         stamps = capture_columns(run_ts)
     stamped = payloads.select(PORTFOLIO, *stamps, "payload")
-    if not is_landed(spark, root, run_ts, name):
-        require_unique(stamped, [PORTFOLIO, "datetime_now"])
+    if run_identity(run_ts, name) not in history_table(root).names(log):
+        require_new_readings(stamped, root, log)
         if account_map is None:
             wide = payload_snapshot(stamped, columns, rules)
         else:
@@ -65,5 +69,27 @@ def run_load(
             if "USER_RAISED_EXCEPTION" in str(error):
                 raise LoadError(str(error)) from error
             raise
-    load_landed_runs(spark, root)
-    return read_history(spark, root)
+        log = load_landed_runs(spark, root, log)
+    return read_history(spark, root, log)
+
+
+def require_new_readings(stamped: DataFrame, root: str, log: list[Entry]) -> None:
+    """Raise if a portfolio and instant of the batch stands there twice, or is in the history already.
+
+    Of the history only the stamps on the batch's days are read: equal instants
+    are of equal days.
+    """
+    spark = stamped.sparkSession
+    stamps = [PORTFOLIO, "datetime_now"]
+    own = stamped.select(*stamps, "date_now", F.lit(True).alias("new"))
+    table = history_table(root)
+    held = table.read(spark, snapshot_schema([]), log) if table.live(log) else None
+    if held is not None:
+        # A DATE column has few distinct values, so they may be broadcast.
+        days = own.select("date_now").distinct()
+        held = held.join(F.broadcast(days), "date_now", "left_semi")
+        own = own.unionByName(held.select(*stamps, "date_now", F.lit(False).alias("new")))
+    twice = own.groupBy(*stamps).agg(F.count("*").alias("rows"), F.bool_or("new").alias("new"))
+    require_none(
+        twice.filter((F.col("rows") > 1) & F.col("new")).drop("new"), f"duplicate {', '.join(stamps)}"
+    )

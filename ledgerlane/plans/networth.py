@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ledgerlane.config import ModelConfig
 from ledgerlane.functions.clock import days_before
 from ledgerlane.operators.latest import order_of, pick_latest
-from ledgerlane.operators.skew import broadcast_if_counted
 from ledgerlane.sources.warehouse import read_table, write_model
 
 AMOUNTS = ("networth", "investment_amount")
@@ -74,8 +73,8 @@ def networth_comparison(series: DataFrame, config: ModelConfig, folder: str) ->
     side of the age limit. Only a label that a limit cuts in two, at most a few
     per portfolio, needs its single readings: their dates filter the series
     where it lies (and prune a table partitioned by date), and what is left is
-    joined on (portfolio, date label): map-side if there are few such labels,
-    else with a shuffle of just those days.
+    joined on (portfolio, date label): a shuffle of just those days, or none
+    where adaptive execution finds the labels small enough to broadcast.
 
     With no keys the result is one row, of nulls if the series is empty.
     """
@@ -121,4 +120,4 @@ def _readings_of(ordered: DataFrame, cut_labels: DataFrame, keys: list[str]) ->
     on_cut_days = ordered.join(
         F.broadcast(cut_labels.select(LABEL).distinct()), LABEL, "left_semi"
     )
-    return on_cut_days.join(broadcast_if_counted(cut_labels), [*keys, LABEL])
+    return on_cut_days.join(cut_labels, [*keys, LABEL])

@@ -6,13 +6,14 @@ from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.config import ModelConfig
-from ledgerlane.operators.checks import require_none, require_not_null, require_unique
+from ledgerlane.operators.checks import Watch, require_none, require_not_null, require_unique
 from ledgerlane.operators.descent import latest_by_descent
 from ledgerlane.operators.latest import latest_row
 from ledgerlane.operators.reshape import columns_to_rows
@@ -35,7 +36,12 @@ class Staging:
 
 
 def check_staging(staging: Staging, config: ModelConfig) -> None:
-    """Raise if a table breaks what the models rely on."""
+    """Raise if a table breaks what the models rely on, before anything is built.
+
+    For tables that others load: it reads the stamps of the whole history and
+    shuffles its keys. The loader of this package keeps readings unique when it
+    loads them, and ``run_models`` watches the rest while it builds.
+    """
     stamps = [*config.keys, "datetime_now", "date_now"]
     require_not_null(staging.account_data, stamps)
     require_not_null(staging.networth_historical, stamps)
@@ -68,16 +74,29 @@ def run_models(
     earlier model. Models named in ``views`` are not stored: net worth is a
     projection of its sources, and a second copy of the whole history would
     lose their date partitions. With ``view_prefix`` every model also becomes
-    a temporary view. ``check`` reads the stamp columns once before anything
-    is written; switch it off for tables that were checked when loaded.
+    a temporary view.
+
+    ``check`` counts missing stamps and dates of another day than their times
+    while the models are written, and raises with examples before any model is
+    handed out; a double day in the calendar stops the run at once. That
+    readings are unique by portfolio, time and tie breaker is the loader's care.
 
     ``newest`` is the day of the run. With it the latest snapshots are searched
     from that day back, for the portfolios that hold securities; the account
     data must then be partitioned by ``date_now``. Without it one pass over the
     whole table picks them.
     """
+    stamps = [*config.keys, "datetime_now", "date_now"]
+    missing = reduce(or_, [F.col(c).isNull() for c in stamps])
+    snapshots = Watch(
+        staging.account_data,
+        {"nulls in required columns": missing,
+         "date_now is not the day of datetime_now": F.col("date_now") != F.to_date("datetime_now")},
+        stamps,
+    )
+    past = Watch(staging.networth_historical, {"nulls in required columns": missing}, stamps)
     if check:
-        check_staging(staging, config)
+        require_unique(staging.dates, ["date_value"])
     built: dict[str, DataFrame] = {}
 
     def build(name: str, make: Callable[[], DataFrame]) -> None:
@@ -95,9 +114,16 @@ def run_models(
     )
     build(
         "networth_comparison",
-        lambda: networth_comparison(built["networth"], config, f"{folder}/networth_daily"),
+        lambda: networth_comparison(
+            networth(past.frame, staging.account_data, config) if check else built["networth"],
+            config, f"{folder}/networth_daily",
+        ),
     )
-    build("gains_losses", lambda: gains_losses(staging.account_data, staging.dates, config))
+    account_data = snapshots.frame if check else staging.account_data
+    build("gains_losses", lambda: gains_losses(account_data, staging.dates, config))
+    if check:
+        past.require()
+        snapshots.require()
 
     def latest() -> DataFrame:
         if newest is None:

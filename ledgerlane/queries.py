@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.config import DEFAULT_ACCOUNTS, DEFAULT_RULES, ModelConfig
-from ledgerlane.functions.clock import instant, is_weekday, time_of_day, whole_days_between
+from ledgerlane.functions.clock import instant, is_weekday, reading_order, time_of_day, whole_days_between
 from ledgerlane.functions.money import MONEY, decimals_to_double, money
+from ledgerlane.operators.asof import as_of
 from ledgerlane.operators.descent import latest_by_descent
 from ledgerlane.operators.latest import latest_row, morning_readings, wide_balances
 from ledgerlane.operators.rules import corrected_balance
@@ -22,6 +23,7 @@ from ledgerlane.plans.gains import gains_losses
 from ledgerlane.plans.load import run_load
 from ledgerlane.plans.networth import networth, networth_comparison
 from ledgerlane.plans.run import Staging, run_models, run_summary
+from ledgerlane.plans.upkeep import Upkeep
 from ledgerlane.schemas import PORTFOLIO
 from ledgerlane.sources import driver_tables as given
 from ledgerlane.sources.landing import (
@@ -39,8 +41,10 @@ from ledgerlane.sources.payload import (
     encode_payload,
     payload_records,
     payload_snapshot,
+    read_payload_files,
     stopped_at_failures,
 )
+from ledgerlane.sources.versions import DatedTable
 from ledgerlane.sources.warehouse import append_snapshots, import_columns, read_table
 from ledgerlane.sources.workspace import new_run_folder
 from ledgerlane.streaming.incremental import landed_stream, load_new_files
@@ -70,6 +74,52 @@ def q_gains_losses_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(result)
 
 
+def q_gains_losses_straddling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates that run half a day ahead of the capture times: weekdays are those of the times."""
+    readings = given.event_account_data(spark, sf_dir)
+    ahead = F.to_date(F.col("datetime_now") + F.expr("INTERVAL '12' HOUR"))
+    result = gains_losses(
+        readings.withColumn("date_now", ahead), given.event_dates(spark, sf_dir), EVENT_CONFIG
+    )
+    return decimals_to_double(result)
+
+
+KEPT_CONFIG = replace(SHORT_AGES, networth_expr="investment")
+
+
+def _kept(spark: SparkSession, sf_dir: str, config: ModelConfig) -> dict[str, DataFrame]:
+    """Models after three loads of events: the last days, the days before 20 January, and one in eight of any day."""
+    folder = new_run_folder(spark, "kept")
+    events = given.table(spark, sf_dir, "events")
+    wide = given.event_account_data(spark, sf_dir).join(
+        events.select(F.col("event_id").alias("primary_key"), "event_type"), "primary_key"
+    )
+    schema = wide.schema
+    history = DatedTable(f"{folder}/history")
+    late, early = F.col("primary_key") % 8 == 0, F.col("date_now") < F.lit("2024-01-20").cast("date")
+    nothing = wide.select(*given.NETWORTH_COLUMNS).limit(0).withColumnRenamed("investment", "networth")
+    for number, part in enumerate((~late & ~early, ~late & early, late)):
+        entries = history.entries(spark)
+        history.publish(spark, entries, history.write(wide.filter(part)), [f"load-{number}"])
+        keeper = Upkeep(
+            spark, history, schema, nothing, given.event_dates(spark, sf_dir), config, f"{folder}/models"
+        )
+        models = keeper.run()
+    return models
+
+
+def q_gains_losses_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decimals_to_double(_kept(spark, sf_dir, KEPT_CONFIG)["gains_losses"])
+
+
+def q_networth_comparison_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same loads; invested is what purchases brought."""
+    config = replace(
+        KEPT_CONFIG, investment_expr="CASE WHEN event_type = 'purchase' THEN investment ELSE 0 END"
+    )
+    return decimals_to_double(_kept(spark, sf_dir, config)["networth_comparison"])
+
+
 def q_morning_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     readings = morning_readings(
         given.event_account_data(spark, sf_dir), "investment", EVENT_CONFIG.cutoff, [PORTFOLIO]
@@ -105,6 +155,12 @@ def q_networth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(_order_series(spark, sf_dir))
 
 
+def q_networth_pre_investment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An expression over the historical rows, too."""
+    config = replace(given.ORDER_CONFIG, pre_investment_expr="networth * 0.25")
+    return decimals_to_double(networth(*given.order_networth(spark, sf_dir), config))
+
+
 def _compared(series: DataFrame, config: ModelConfig) -> DataFrame:
     folder = new_run_folder(series.sparkSession, "networth-daily")
     return decimals_to_double(networth_comparison(series, config, folder))
@@ -123,6 +179,16 @@ def q_networth_comparison_ages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(given.event_networth(spark, sf_dir), SHORT_AGES)
 
 
+def q_networth_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each customer's net worth as it was when each of their items was shipped."""
+    orders = given.table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias(PORTFOLIO))
+    shipped = given.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", F.col("l_shipdate").alias("instant")
+    ).join(orders, "o_orderkey")
+    found = as_of(_order_series(spark, sf_dir), shipped, [PORTFOLIO], ["networth", "investment_amount"])
+    return decimals_to_double(found)
+
+
 def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     newest = latest_row(given.event_account_data(spark, sf_dir), [PORTFOLIO])
     return decimals_to_double(newest)
@@ -221,9 +287,19 @@ def q_payload_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     accounts = given.event_payload_accounts(spark, sf_dir)
-    return accounts.select(
-        PORTFOLIO, "primary_key", "datetime_now", encode_payload(F.col("accounts")).alias("payload")
-    )
+    payload = encode_payload(F.col("accounts"), accounts.schema["accounts"].dataType)
+    return accounts.select(PORTFOLIO, "primary_key", "datetime_now", payload.alias("payload"))
+
+
+def q_payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's newest payload, written as a file of its own and read back from there."""
+    folder = new_run_folder(spark, "payloads")
+    order = reading_order(F.col("datetime_now"), F.col("primary_key"))
+    newest = _payloads(spark, sf_dir).groupBy(PORTFOLIO).agg(F.max_by("payload", order).alias("payload"))
+    newest.write.partitionBy(PORTFOLIO).text(folder)
+    files = read_payload_files(spark, folder).withColumn(PORTFOLIO, F.col(PORTFOLIO).cast("bigint"))
+    wide = payload_snapshot(files, given.PAYLOAD_ACCOUNTS)
+    return decimals_to_double(stopped_at_failures(wide))
 
 
 def q_payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,10 +525,15 @@ def q_model_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "gains_losses": q_gains_losses,
     "gains_losses_global": q_gains_losses_global,
+    "gains_losses_straddling": q_gains_losses_straddling,
+    "gains_losses_kept": q_gains_losses_kept,
     "networth": q_networth,
+    "networth_pre_investment": q_networth_pre_investment,
     "networth_comparison": q_networth_comparison,
     "networth_comparison_global": q_networth_comparison_global,
     "networth_comparison_ages": q_networth_comparison_ages,
+    "networth_as_of": q_networth_as_of,
+    "networth_comparison_kept": q_networth_comparison_kept,
     "stock_distribution": q_stock_distribution,
     "asset_distribution": q_asset_distribution,
     "asset_totals": q_asset_totals,
@@ -471,6 +552,7 @@ QUERIES: dict[str, Query] = {
     "payload_parse": q_payload_parse,
     "payload_records": q_payload_records,
     "payload_snapshot": q_payload_snapshot,
+    "payload_files": q_payload_files,
     "landed_names": q_landed_names,
     "landing_roundtrip": q_landing_roundtrip,
     "landing_by_position": q_landing_by_position,

@@ -46,6 +46,9 @@ def event_account_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+NETWORTH_COLUMNS = (PORTFOLIO, "primary_key", "datetime_now", "date_now", "investment")
+
+
 def event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every day from the first to the last event."""
     events = table(spark, sf_dir, "events")

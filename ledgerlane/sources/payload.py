@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlane.config import DEFAULT_RULES, BalanceRule
 from ledgerlane.functions.clock import instant
@@ -38,13 +39,27 @@ def capture_columns(run_ts: datetime) -> list[Column]:
     return [now.alias("datetime_now"), F.to_date(now).alias("date_now")]
 
 
-def encode_payload(records: Column) -> Column:
-    """Array of account records to JSON text.
+def encode_payload(records: Column, kind: T.DataType = PAYLOAD) -> Column:
+    """Array of account records to JSON text; `kind` is the column's type if records have other fields.
 
-    Keys come out in field order, which is sorted for the declared record
-    schema. Numbers are written as they are, other types as text, nulls as null.
+    Keys come out sorted at every level, in whatever order the records have
+    their fields. Numbers are written as they are, other types as text, nulls as null.
     """
-    return F.to_json(records, {"ignoreNullFields": "false"})
+    return F.to_json(in_key_order(records, kind), {"ignoreNullFields": "false"})
+
+
+def in_key_order(value: Column, kind: T.DataType) -> Column:
+    """The same value with the fields of its structs, and the keys of its maps, sorted."""
+    if isinstance(kind, T.StructType):
+        fields = [in_key_order(value[f.name], f.dataType).alias(f.name) for f in sorted(kind.fields, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda item: in_key_order(item, kind.elementType))
+    if isinstance(kind, T.MapType):
+        entries = F.array_sort(F.map_entries(value))
+        sorted_map = F.map_from_entries(entries)
+        return F.transform_values(sorted_map, lambda _, item: in_key_order(item, kind.valueType))
+    return value
 
 
 def decode_payload(payload: Column) -> Column:

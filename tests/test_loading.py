@@ -372,3 +372,80 @@ def test_equal_readings_stop_the_models(spark):
     staging = Staging(rows, rows.limit(0), rows, rows, calendar(spark, "2024-01-01", "2024-01-02"))
     with pytest.raises(LoadError, match="duplicate portfolio_id, datetime_now, primary_key"):
         check_staging(staging, ModelConfig())
+
+
+def test_an_instant_the_history_holds_stops_another_run(spark, root):
+    run_load(spark, paid(spark, (1, {"b": 1}), (2, {"b": 2})), ONE, root, RUN)
+    run_load(spark, paid(spark, (3, {"b": 3})), ONE, root, RUN, name="other")
+    with pytest.raises(LoadError, match="duplicate portfolio_id, datetime_now.*'portfolio_id': 2"):
+        run_load(spark, paid(spark, (2, {"b": 9}), (4, {"b": 4})), ONE, root, RUN, name="again")
+    assert not is_landed(spark, root, RUN, "again")
+    history = run_load(spark, paid(spark, (2, {"b": 9})), ONE, root, RUN + timedelta(microseconds=1))
+    assert loaded(history, "broker") == [(1, 1), (2, 2), (2, 9), (3, 3)]
+
+
+def test_history_stays_in_few_files_and_knows_its_runs(spark, root):
+    from pathlib import Path
+
+    from ledgerlane.sources.warehouse import compact_history, history_table
+
+    def load(number):
+        return run_load(spark, paid(spark, (1, {"b": number})), ONE, root, RUN + timedelta(minutes=number))
+
+    for number in range(5):
+        reader = load(number)
+    compact_history(spark, root, day("2024-01-02"), packs_of_a_day=3)
+    assert loaded(reader, "broker") == [(1, n) for n in range(5)]
+    history_table(root).remove_unused(spark)
+    assert len(list(Path(f"{root}/history").rglob("*.parquet"))) == 1
+    assert len(history_table(root).entries(spark)) == 2
+    assert loaded(load(3), "broker") == [(1, n) for n in range(5)]
+    assert loaded(load(7), "broker") == [(1, n) for n in (0, 1, 2, 3, 4, 7)]
+
+
+def staged(spark, rows, past=None):
+    accounts = ["broker", "coins"]
+    past = past or [(1, 1, at("2023-11-01 10:00:00"), day("2023-11-01"), dec("7.00"))]
+    return Staging(
+        rows, spark.createDataFrame(past, NETWORTH_HISTORICAL.simpleString()[7:-1].replace(":", " ")),
+        spark.createDataFrame([(1, "A", dec("0.5"), dec("2"))], investment_distribution_schema(accounts)),
+        spark.createDataFrame([("A", dec("1"), dec("0"), dec("0"), dec("0"), dec("0"))], ASSETT_CLASS_SPLIT),
+        calendar(spark, "2024-01-01", "2024-01-05"),
+    )
+
+
+RUN_CONFIG = ModelConfig(
+    networth_expr="broker + coins", investment_expr="broker", spread_exprs=weighted_spreads(["broker", "coins"]))
+
+
+def test_models_name_bad_rows_without_a_pass_of_their_own(spark, root, monkeypatch):
+    import ledgerlane.plans.run as run
+
+    keys = []
+    unique = run.require_unique
+    monkeypatch.setattr(run, "require_unique", lambda df, of: (keys.append(of), unique(df, of)))
+    good = with_surrogate(batch(spark, "2024-01-01 10:00:00", "2024-01-02 10:00:00"))
+    run_models(spark, staged(spark, good), RUN_CONFIG, f"{root}/good")
+    # Readings' own keys are not shuffled to be compared.
+    assert keys == [["date_value"]]
+    wrong_day = good.withColumn("date_now", F.expr("IF(primary_key % 2 = 0, date_now, date_add(date_now, 1))"))
+    bad = wrong_day.unionByName(good.withColumn("date_now", F.date_add("date_now", 2)).limit(1))
+    with pytest.raises(LoadError, match="date_now is not the day of datetime_now: .*2024, 1, 3"):
+        run_models(spark, staged(spark, bad), RUN_CONFIG, f"{root}/bad")
+    nulls = good.unionByName(good.withColumn("portfolio_id", F.lit(None).cast("bigint")).limit(1))
+    with pytest.raises(LoadError, match="nulls in required columns: {'portfolio_id': None"):
+        run_models(spark, staged(spark, nulls), RUN_CONFIG, f"{root}/nulls")
+    past = [(1, 1, None, day("2023-11-01"), dec("7.00"))]
+    with pytest.raises(LoadError, match="nulls in required columns: .*2023, 11, 1"):
+        run_models(spark, staged(spark, good, past), RUN_CONFIG, f"{root}/past")
+    run_models(spark, staged(spark, nulls, past), RUN_CONFIG, f"{root}/unchecked", check=False)
+
+
+def test_models_find_latest_snapshots_from_the_run_day_back(spark, root):
+    path = f"{root}/dated"
+    append_snapshots(batch(spark, "2024-01-01 10:00:00", "2024-01-03 10:00:00"), path)
+    history = read_table(spark, path, with_surrogate(batch(spark)).schema)
+    plain = run_models(spark, staged(spark, history), RUN_CONFIG, f"{root}/plain")
+    back = run_models(spark, staged(spark, history), RUN_CONFIG, f"{root}/back", newest=day("2024-01-03"))
+    for name in ("stock_distribution", "asset_totals"):
+        assert sorted(map(str, back[name].collect())) == sorted(map(str, plain[name].collect()))

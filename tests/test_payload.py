@@ -174,3 +174,16 @@ def test_payload_files_and_json_round_trip(spark, tmp_path):
     encoded = json.loads(text.first()["payload"])
     assert [list(r) for r in encoded] == [sorted(r) for r in encoded]
     assert encoded[0] == record("b", 1.5)
+
+
+def test_keys_are_sorted_in_whatever_order_fields_stand(spark):
+    df = spark.sql(
+        "SELECT array(named_struct('id', 'b', 'zeta', named_struct('y', 1, 'x', CAST(NULL AS INT)), "
+        "'tags', map('q', 2, 'p', 1), 'accountName', 'n'), NULL) AS accounts, 1 AS k "
+        "UNION ALL SELECT NULL, 2")
+    texts = {r["k"]: r["payload"] for r in df.select(
+        "k", encode_payload(F.col("accounts"), df.schema["accounts"].dataType).alias("payload")).collect()}
+    assert texts[1] == json.dumps(
+        [{"accountName": "n", "id": "b", "tags": {"p": 1, "q": 2}, "zeta": {"x": None, "y": 1}}, None],
+        sort_keys=True, separators=(",", ":"))
+    assert texts[2] is None

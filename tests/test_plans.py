@@ -9,7 +9,6 @@ import pytest
 
 from ledgerlane.queries import QUERIES
 from ledgerlane.config import ModelConfig
-from ledgerlane.operators import skew
 from ledgerlane.plans.gains import gains_losses
 from ledgerlane.plans.networth import daily_networth, networth, networth_comparison
 from ledgerlane.session import shuffle_partitions
@@ -126,8 +125,7 @@ def test_comparison_prunes_the_dates_it_does_not_need(spark, sf_dir):
     assert sorted(result.select(columns).collect()) == sorted(expected.select(columns).collect())
 
 
-@pytest.mark.parametrize("counted_as_small", [False, True])
-def test_hot_day_is_split_between_join_tasks(spark, monkeypatch, counted_as_small):
+def test_hot_day_is_split_between_join_tasks(spark):
     """One portfolio with a third of all readings, all of them on one day."""
     rows = spark.range(300_000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 + 1 END AS portfolio_id",
@@ -147,8 +145,6 @@ def test_hot_day_is_split_between_join_tasks(spark, monkeypatch, counted_as_smal
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
     }
     before = {name: spark.conf.get(name, None) for name in small}
-    if not counted_as_small:
-        monkeypatch.setattr(skew, "BROADCAST_ROWS", -1)
     try:
         for name, value in small.items():
             spark.conf.set(name, value)
@@ -158,11 +154,7 @@ def test_hot_day_is_split_between_join_tasks(spark, monkeypatch, counted_as_smal
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-    # Either the readings are split by size, or they stay where they are.
-    if counted_as_small:
-        assert "SortMergeJoin" not in plan and "skew=true" not in plan
-    else:
-        assert "skew=true" in plan
+    assert "skew=true" in plan
     # The newest reading (id 0) is at noon, so is the limit ten days before it.
     assert picked[0] == 154_284
 
@@ -187,3 +179,51 @@ def test_latest_row_neither_sorts_nor_reads_unused_columns(spark, sf_dir):
     plan = plan_of(newest)
     assert "SortAggregate" not in plan and not re.search(r"\bvalue#", plan)
     assert "SortAggregate" not in plan_of(latest_row(events, ["user_id"], "ts", "event_id"))
+
+
+def skewed(spark, rows: int = 300_000):
+    """A third of all rows belong to portfolio 0, and a third to symbol 0."""
+    return spark.range(rows).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 9973 + 1 END AS portfolio_id",
+        "CASE WHEN id % 3 = 1 THEN 0 ELSE id % 7919 + 1 END AS stock_symbol", "id")
+
+
+@pytest.mark.parametrize("key, other", [("portfolio_id", "stock_symbol"), ("stock_symbol", "portfolio_id")])
+def test_only_the_hot_key_is_salted(spark, key, other):
+    from pyspark.sql import functions as F
+
+    from ledgerlane.operators.skew import attach_by_key
+
+    big = skewed(spark)
+    few = big.select(key).distinct().filter(F.col(key) % 5 != 1).withColumn("found", F.col(key) * 2)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = attach_by_key(big, few, [key], [other, "id"])
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        wanted = big.join(few, key, "left")
+        assert joined.count() == wanted.count() == 300_000
+        total = F.sum(F.coalesce("found", F.lit(-1)) * F.col("id"))
+        assert joined.agg(total).first() == wanted.agg(total).first()
+        # The copied side: one row a key, and the hot key once for each salt.
+        right = joined._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate explode" in right
+        copies = few.count() + 15
+        plan = attach_by_key(big, few, [key], [other, "id"])
+        plan.write.format("noop").mode("overwrite").save()
+        salted = few.withColumn("hot", F.array_contains(skew_hot(big, key), F.xxhash64(key)))
+        assert salted.filter("hot").count() == 1 and few.count() + 15 * salted.filter("hot").count() == copies
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    # Without salting one task would hold a third: 100,000 rows.
+    assert max(sizes) < 40_000
+
+
+def skew_hot(df, key):
+    from ledgerlane.operators.skew import hot_keys
+
+    return hot_keys(df, [key])
