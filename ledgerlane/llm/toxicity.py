@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import partial
 
@@ -17,18 +17,21 @@ from ledgerlane.llm.common import held_out, labelled_sample, stored, utf8
 # Labelled rows that insult stems and weights are learned from, at most.
 FIT_ROWS = 20_000
 
-# Symbols of the grammar.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+# Symbols of the grammar; END stands after the last word of a clause.
+OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, LINK, END = range(8)
 
-# Closed word classes of English, German, French and Spanish.
+# Closed word classes of English, German, French and Spanish, and a few open ones to start from.
 WORDS = {
     TARGET: "you your yourself he him his she her they them their du dich dir dein ihr euch er ihn sie "
     "tu toi vous votre lui leur usted ustedes vosotros ellos ella",
     NEGATION: "not no never isn't aren't don't nobody kein keine nicht nie ne pas jamais nunca jamás",
     REPORT: "said says say told wrote called calls claimed quoted according sagte schrieb nannte laut dit "
     "disait écrit selon dijo dice escribió según",
-    THREAT: "kill killing murder hurt stab strangle",
-    INSULT: "idiot moron scum",
+    # Words that may stand between a verb of saying and what was said.
+    LINK: "that it is are was were be been a an the such as to dass es ist sind war ein eine que est sont était "
+    "un une son era una",
+    THREAT: "kill killing murder hurt stab strangle töten umbringen tuer matar",
+    INSULT: "idiot moron scum imbecile trottel dummkopf imbécile crétin idiota imbécil",
 }
 
 # A stem is a word's first bytes; shorter words count as a whole.
@@ -49,49 +52,145 @@ def fixed_symbols() -> dict[bytes, int]:
     return {w.encode(): symbol for symbol, words in WORDS.items() for w in words.split()}
 
 
-# --- The grammar: small transducers over symbols, composed into one -------------------------------
+# --- The grammar: sequential transducers over symbols, composed into one --------------------------
 #
-# Each transducer follows one circumstance of a clause and has states 0 (not met) and 1 (met).
+# A transducer is a pair of tables: next[state, symbol] and out[state, symbol]. Negation and reported speech
+# pass all symbols on and mark attacks in their scope; the insult and the threat transducer read what
+# they pass on and put out a matched pattern, with or without a target, once that is settled.
 
-WATCHED = (TARGET, NEGATION, REPORT)
+# Words after a negation that it reaches, and words after an attack in which its target may still come.
+NEGATION_REACH = 4
+TARGET_REACH = 3
 
+# Marks of an attack: bits of a pattern's number.
+TARGETED, NEGATED, REPORTED = 1, 2, 4
+PATTERNS = 8
+NOTHING = 0
 
-def transducer(symbol: int) -> np.ndarray:
-    """next[state, symbol]: 1 once the symbol was met, until the clause ends."""
-    table = np.zeros((2, 6), np.int64)
-    table[1] = 1
-    table[0, symbol] = 1
-    return table
 
+@dataclass(frozen=True)
+class Transducer:
+    next: np.ndarray
+    out: np.ndarray
 
-def composed(tables: list[np.ndarray]) -> np.ndarray:
-    """Product of the transducers; a state holds one bit for each of them."""
-    states = 1 << len(tables)
-    out = np.zeros((states, 6), np.int64)
-    for k, table in enumerate(tables):
-        bit = (np.arange(states) >> k) & 1
-        out |= table[bit] << k
-    return out
 
+def _marked(symbol: int, marks: int) -> int:
+    """Symbols beyond END are marked attacks: kind and marks."""
+    return END + 1 + (symbol == THREAT) * PATTERNS + marks
 
-STEP = composed([transducer(s) for s in WATCHED])
-STATES = len(STEP)
 
-# Features of a text: attacks by kind (insult, threat) and final state of their clause, and how dense.
-FEATURES = 2 * STATES + 1
+def _unmarked(symbol: int) -> tuple[int, int]:
+    if symbol in (INSULT, THREAT):
+        return symbol, 0
+    if symbol > END:
+        kind, marks = divmod(symbol - END - 1, PATTERNS)
+        return (THREAT if kind else INSULT), marks
+    return symbol, 0
 
 
-def clause_features(symbols: list[int]) -> tuple[int, int, int]:
-    """Final state of a clause, and its insults and threats.
+SYMBOLS = END + 1 + 2 * PATTERNS
 
-    The circumstances may stand before or after the attack, so a clause is read to its end.
+
+def _table(states: int, step: Callable[[int, int], tuple[int, int]]) -> Transducer:
+    cells = [[step(state, symbol) for symbol in range(SYMBOLS)] for state in range(states)]
+    return Transducer(np.array([[c[0] for c in row] for row in cells]), np.array([[c[1] for c in row] for row in cells]))
+
+
+def negation() -> Transducer:
+    """Marks attacks up to NEGATION_REACH words after a negation. A state counts the words that are left."""
+
+    def step(left: int, symbol: int) -> tuple[int, int]:
+        kind, marks = _unmarked(symbol)
+        if kind == END:
+            return 0, symbol
+        if kind in (INSULT, THREAT):
+            return max(left - 1, 0), _marked(kind, marks | (NEGATED if left else 0))
+        return (NEGATION_REACH if kind == NEGATION else max(left - 1, 0)), symbol
+
+    return _table(NEGATION_REACH + 1, step)
+
+
+def reported_speech() -> Transducer:
+    """Marks attacks after a verb of saying, unless another word has come first: that is what was said."""
+
+    def step(inside: int, symbol: int) -> tuple[int, int]:
+        kind, marks = _unmarked(symbol)
+        if kind in (INSULT, THREAT):
+            return inside, _marked(kind, marks | (REPORTED if inside else 0))
+        if kind == REPORT:
+            return 1, symbol
+        return (0 if kind in (OTHER, END) else inside), symbol
+
+    return _table(2, step)
+
+
+def attack(kind: int) -> Transducer:
+    """Matches attacks of one kind; puts out 1 + marks of a matched pattern, or NOTHING.
+
+    An attack has a target if one stands before it in the clause, or up to TARGET_REACH words after it. While
+    that is open the attack waits: a state holds whether a target was seen, and the marks and words left of
+    what waits. Of two that wait in a row the first had none.
     """
-    state = insults = threats = 0
-    for s in symbols:
-        state = STEP[state, s]
-        insults += s == INSULT
-        threats += s == THREAT
-    return int(state), insults, threats
+    waiting = [(marks, left) for marks in (0, NEGATED, REPORTED, NEGATED | REPORTED) for left in range(1, TARGET_REACH + 1)]
+    states = [(seen, held) for seen in (False, True) for held in (None, *waiting)]
+    number = {state: n for n, state in enumerate(states)}
+
+    def step(state: int, symbol: int) -> tuple[int, int]:
+        seen, held = states[state]
+        own, marks = _unmarked(symbol)
+        marks &= NEGATED | REPORTED
+        without = NOTHING if held is None else 1 + held[0]
+        if own == END:
+            return number[False, None], without
+        if own == TARGET:
+            return number[True, None], NOTHING if held is None else 1 + (held[0] | TARGETED)
+        if own == kind and seen:
+            return number[True, None], 1 + (marks | TARGETED)
+        if own == kind:
+            return number[False, (marks, TARGET_REACH)], without
+        if held is None:
+            return state, NOTHING
+        if held[1] == 1:
+            return number[seen, None], without
+        return number[seen, (held[0], held[1] - 1)], NOTHING
+
+    return _table(len(states), step)
+
+
+def cascade(first: Transducer, second: Transducer) -> Transducer:
+    """What `first` puts out is what `second` reads."""
+    a, b = len(first.next), len(second.next)
+    passed = np.repeat(first.out, b, axis=0)
+    own = np.tile(np.arange(b), a)[:, None]
+    return Transducer(np.repeat(first.next, b, axis=0) * b + second.next[own, passed], second.out[own, passed])
+
+
+def beside(one: Transducer, other: Transducer) -> Transducer:
+    """Both read the same; outputs are put into one number."""
+    a, b = len(one.next), len(other.next)
+    return Transducer(np.repeat(one.next, b, axis=0) * b + np.tile(other.next, (a, 1)),
+                      np.repeat(one.out, b, axis=0) * (PATTERNS + 1) + np.tile(other.out, (a, 1)))
+
+
+GRAMMAR = cascade(cascade(negation(), reported_speech()), beside(attack(INSULT), attack(THREAT)))
+# Plain lists: a clause is read symbol by symbol.
+_NEXT, _OUT = GRAMMAR.next[:, : END + 1].tolist(), GRAMMAR.out[:, : END + 1].tolist()
+
+# Features of a text: matched patterns by kind (insult, threat) and marks, and how dense they are.
+FEATURES = 2 * PATTERNS + 1
+
+
+def matched(symbols: list[int]) -> list[int]:
+    """Numbers of the patterns that a clause matches: marks, plus PATTERNS for threats."""
+    state, found = 0, []
+    for symbol in (*symbols, END):
+        insult, threat = divmod(_OUT[state][symbol], PATTERNS + 1)
+        if insult:
+            found.append(insult - 1)
+        if threat:
+            found.append(PATTERNS + threat - 1)
+        state = _NEXT[state][symbol]
+    return found
 
 
 @dataclass
@@ -119,9 +218,8 @@ class Grammar:
             inside = words_of(clause)
             if attacks.isdisjoint(inside):
                 continue
-            state, insults, threats = clause_features([self.symbol(w) for w in inside])
-            out[state] += insults
-            out[STATES + state] += threats
+            for pattern in matched([self.symbol(w) for w in inside]):
+                out[pattern] += 1
         total = out.sum()
         out = np.log1p(out)
         out[-1] = total / len(words)
@@ -136,12 +234,12 @@ class Grammar:
 
 
 def prior() -> tuple[np.ndarray, float]:
-    """Weights before any label is seen: a target adds, negation and reported speech take away."""
+    """Weights of the patterns before any label is seen: a target adds, negation and reported speech take away."""
     weights = np.zeros(FEATURES)
-    for state in range(STATES):
-        targeted, negated, reported = ((state >> k) & 1 for k in range(3))
-        weights[state] = 4 + targeted - 2 * negated - 2 * reported
-        weights[STATES + state] = 2 + 2 * targeted - 2 * negated - 2 * reported
+    for marks in range(PATTERNS):
+        targeted, negated, reported = (bool(marks & m) for m in (TARGETED, NEGATED, REPORTED))
+        weights[marks] = 4 + targeted - 2 * negated - 2 * reported
+        weights[PATTERNS + marks] = 2 + 2 * targeted - 2 * negated - 2 * reported
     weights[-1] = 1
     return weights, -2.0
 
@@ -276,7 +374,8 @@ def score_of(text: Column, grammar: Grammar) -> Column:
 def score_toxicity(docs: DataFrame, grammar: Grammar, threshold: float = 0.5) -> DataFrame:
     """Score every whole text: all columns of docs, then held_out, score, predicted.
 
-    Attacks (insults, threats) count by the state of their clause: with a target, negated, reported.
+    A clause counts by the patterns it matches: insults and threats, each with or without a target, in the
+    scope of a negation or of reported speech before them.
     A null text counts as empty; a text without attacks gets the lowest score. Rows are
     scored one by one, so repeated rows get equal scores. A column of docs that is named
     like a result is replaced by the result.
