@@ -38,11 +38,12 @@ def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of each line of each document; a token on a border counts where most of it lies."""
+    """Tokens of each sentence of each document; a token on a border counts where most of it lies."""
     return token_spans.section_tokens(
         given(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        starts_of=token_spans.sentence_starts,
     )
 
 
