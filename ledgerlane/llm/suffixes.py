@@ -21,9 +21,11 @@ from ledgerlane.llm.hashing import (
 SPAN = 400
 # Bytes of an anchor in the first search, and of one that names a group of strings.
 FIRST_ANCHOR, GROUP_ANCHOR = 336, 32
-# Bytes that one transform is built over, about; a group with more is split further.
+# Bytes that one transform is built over, about; the strings of a group with more are counted by hash.
 BLOCK_BYTES = 1 << 20
 GROUP_BYTES = 3 << 20
+# Strings that a batch holds.
+STRING_ROWS = 50_000
 
 _PLACE = np.uint64((1 << 31) - 1)
 
@@ -97,7 +99,7 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             joined_ids = b"".join(x.ljust(16, b"\0") for x in ids[first:end].tolist())
             # A place in a text, so that copies of the text are not taken for other places.
             place = np.frombuffer(joined_ids, np.uint64)[::2][text] + (begins - offsets[text]).astype(np.uint64)
-            tags = (mixed(place) >> np.uint64(32)).astype(np.uint32)
+            tags = mixed(place)
             buckets = (hashes[order] >> np.uint64(64 - bits)).astype(np.int64)
             cuts = list(stretches(buckets))
             n = len(cuts)
@@ -127,7 +129,7 @@ def _repeated(bits: int, key: tuple, table: pa.Table) -> pa.Table:
         chunk = np.repeat(dealt.column("chunk").to_numpy(), [len(p) for p in parts])
         hashes = np.concatenate(parts)
         runs = np.frombuffer(b"".join(dealt.column("runs").to_pylist()), np.int32)
-        tags = np.frombuffer(b"".join(dealt.column("tags").to_pylist()), np.uint32)
+        tags = np.frombuffer(b"".join(dealt.column("tags").to_pylist()), np.uint64)
         order = np.lexsort((tags, hashes))
         hashes, tags = hashes[order], tags[order]
         fresh = np.append(True, hashes[1:] != hashes[:-1])
@@ -170,6 +172,7 @@ def _by_text(table: pa.Table) -> pa.Table:
 _PARTS = pa.schema([("id", pa.binary()), ("starts", pa.binary()), ("n", pa.int32()), ("name", pa.binary()),
                     ("anchor", pa.int64()), ("bytes", pa.binary()), ("weight", pa.int64())])
 _PARTS_SQL = "id binary, starts binary, n int, name binary, anchor long, bytes binary, weight long"
+_STRINGS_SQL = "string binary, name binary, place int, weight long"
 
 
 def _part_batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
@@ -226,22 +229,40 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _part_batches(rows())
 
 
-def _single_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each string of a large group as a part of its own, in a group named by its first bytes."""
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strings of each distinct part by their hash: which strings are equal needs no bytes any more."""
+    for batch in batches:
+        columns = (batch.column(c) for c in ("name", "n", "bytes", "weight"))
+        for name, n, part, weight in zip(*columns, strict=True):
+            n, part = n.as_py(), part.as_py()
+            for first in range(0, n, STRING_ROWS):
+                places = range(first, min(first + STRING_ROWS, n))
+                hashes = [hashlib.blake2b(part[k : k + SPAN], digest_size=16).digest() for k in places]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(hashes, pa.binary()), pa.array([name.as_py()] * len(hashes), pa.binary()),
+                     pa.array(places, pa.int32()), pa.array([weight.as_py()] * len(hashes), pa.int64())],
+                    names=["string", "name", "place", "weight"],
+                )
+
+
+def _repeated_by_hash(parts: DataFrame) -> DataFrame:
+    """(name, found) as `_searched` gives it, for groups of any size: a string is repeated if its hash is.
+
+    A string that stands in a third of all parts is one row of counts; its places meet it in a join
+    that adaptive execution can split.
+    """
+    strings = stored(
+        parts.select("name", "n", "bytes", "weight").mapInArrow(_strings, _STRINGS_SQL), "strings"
+    )
+    twice = strings.groupBy("string").agg(F.sum("weight").alias("n")).filter("n > 1").select("string")
+    return strings.join(twice, "string").groupBy("name").agg(F.sort_array(F.collect_list("place")).alias("places")).select(
+        "name", F.unhex(F.array_join(F.transform("places", _little_endian), "")).alias("found"))
 
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            columns = (batch.column(c) for c in ("id", "starts", "n", "bytes", "weight"))
-            for text_id, starts, n, part, weight in zip(*columns, strict=True):
-                part, places = part.as_py(), np.frombuffer(starts.as_py(), np.int32)
-                for k in range(n.as_py()):
-                    one = part[k : k + SPAN]
-                    head = hashlib.blake2b(one[:GROUP_ANCHOR], digest_size=8).digest()
-                    name = hashlib.blake2b(one, digest_size=16).digest()
-                    anchor = int.from_bytes(head, "little", signed=True)
-                    yield text_id.as_py(), (places + k).astype(np.int32).tobytes(), 1, name, anchor, one, weight.as_py()
 
-    yield from _part_batches(rows())
+def _little_endian(number: Column) -> Column:
+    """Four bytes of a number below 2**31, low byte first, in hexadecimal."""
+    digits = F.lpad(F.hex(number), 8, "0")
+    return F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)])
 
 
 # --- The transform ------------------------------------------------------------------------------
@@ -437,8 +458,9 @@ def remove_repeated(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
     Equal strings have equal anchors, so only strings whose anchor of 336 bytes occurs twice go
     on. They are grouped by a shorter anchor, and each group's distinct parts are searched by
-    a Burrows-Wheeler transform that is bounded at 400 bytes. A group of over GROUP_BYTES is
-    split by the first bytes of its strings.
+    a Burrows-Wheeler transform that is bounded at 400 bytes. The strings of a group of over
+    GROUP_BYTES are counted by a hash of 16 bytes each instead, which spreads them over all tasks. A very long
+    text is handled whole in one task, in about 60 times its size.
     """
     spark = docs.sparkSession
     width = shuffle_width(spark)
@@ -464,23 +486,22 @@ def remove_repeated(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     )
 
     cut = stored(texts.mapInArrow(_parts, _PARTS_SQL), "parts")
-    sizes = cut.groupBy("anchor").agg(F.sum(F.octet_length("bytes")).alias("size"))
-    large = stored(sizes.filter(F.col("size") > GROUP_BYTES).select("anchor"), "large")
-    if not large.isEmpty():
-        cut = cut.join(large, "anchor", "left_anti").unionByName(
-            cut.join(large, "anchor", "left_semi")
-            .select(_PARTS.names).mapInArrow(_single_starts, _PARTS_SQL)
-        )
     distinct = stored(cut.groupBy("name").agg(
         F.first("anchor").alias("anchor"), F.first("n").alias("n"), F.first("bytes").alias("bytes"),
         F.sum("weight").alias("weight"),
     ), "distinct")
-    total = distinct.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
+    sizes = stored(distinct.groupBy("anchor").agg(F.sum(F.octet_length("bytes")).alias("size")), "sizes")
+    large = sizes.filter(F.col("size") > GROUP_BYTES).select("anchor")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
     blocks = max(width, -(-total // BLOCK_BYTES))
+    # A block's cost is time and not bytes, so adaptive execution must not merge them: their number is given.
     found = (
-        distinct.withColumn("block", F.pmod("anchor", F.lit(blocks)))
+        distinct.join(large, "anchor", "left_anti").withColumn("block", F.pmod("anchor", F.lit(blocks)))
+        .repartition(blocks, "block")
         .groupBy("block").applyInArrow(lambda t: _searched(t), "name binary, found binary")
     )
+    if not large.isEmpty():
+        found = found.unionByName(_repeated_by_hash(distinct.join(large, "anchor", "left_semi")))
     by_text = (
         cut.select("name", "id", "starts").join(found, "name")
         .groupBy("id").agg(F.collect_list(F.struct("starts", "found")).alias("found"))
