@@ -100,6 +100,8 @@ def section_tokens(
     if rule not in RULES:
         raise ValueError(f"rule is one of {RULES}")
 
+    by_column = sections is not None
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, lengths = _encoder(rank_file, pattern)
         for batch in batches:
@@ -109,7 +111,7 @@ def section_tokens(
                 ids = np.array(encoding.encode_ordinary(text or ""), np.int64)
                 token_ends = np.cumsum(lengths[ids])
                 size = int(token_ends[-1]) if len(ids) else 0
-                if sections is None:
+                if not by_column:
                     first = starts_of((text or "").encode())
                 else:
                     first = np.array(given.as_py() or [0], np.int64)
