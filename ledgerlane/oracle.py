@@ -462,6 +462,18 @@ SELECT CASE WHEN ts < TIMESTAMP '2024-01-16 00:00:00' THEN 'mint_01_31_2024_12-4
     count(*) AS readings, max(ts) AS last_reading
 FROM events GROUP BY landed"""
 
+LAST_REPORTS = f"""
+SELECT user_id AS portfolio_id, event_id AS primary_key, ts AS datetime_now, CAST(ts AS DATE) AS date_now,
+    CAST(CASE WHEN event_id % 7 = 0 THEN {AMOUNT} * 3 WHEN event_id % 3 = 0 THEN {AMOUNT} * 2 ELSE {AMOUNT} END
+        AS DOUBLE) AS investment,
+    CASE WHEN event_id % 7 = 0 THEN 2 WHEN event_id % 3 = 0 THEN 1 ELSE 0 END AS reported
+FROM events"""
+
+LANDED_FILE = f"""
+SELECT user_id AS portfolio_id, event_id AS primary_key, ts AS datetime_now, CAST(ts AS DATE) AS date_now,
+    CAST({AMOUNT} AS DOUBLE) AS investment, 'mint_01_31_2024_12-45-00.csv' AS file_name
+FROM events"""
+
 SNAPSHOT_APPEND = f"""
 SELECT CAST(ts AS DATE) AS date_now, count(*) AS readings,
     CAST(sum({AMOUNT}) AS DOUBLE) AS investment, max(ts) AS last_reading
@@ -569,6 +581,8 @@ ORACLE_SQL: dict[str, str] = {
     "landing_by_position": BY_POSITION,
     "incremental_load": EVENT_ROWS,
     "landed_discovery": LANDED_DISCOVERY,
+    "landed_file": LANDED_FILE,
+    "last_reports": LAST_REPORTS,
     "extract_load": EXTRACT_LOAD,
     "repeated_load": EXTRACT_LOAD,
     "history_schema_change": HISTORY_SCHEMA_CHANGE,

@@ -27,9 +27,11 @@ from ledgerlane.plans.upkeep import Upkeep
 from ledgerlane.schemas import PORTFOLIO
 from ledgerlane.sources import driver_tables as given
 from ledgerlane.sources.landing import (
+    land_file,
     landed_glob,
     landed_name,
     landed_summary,
+    latest_landed,
     read_landed,
     remove_landed,
     write_landed,
@@ -48,6 +50,7 @@ from ledgerlane.sources.versions import DatedTable
 from ledgerlane.sources.warehouse import append_snapshots, import_columns, read_table
 from ledgerlane.sources.workspace import new_run_folder
 from ledgerlane.streaming.incremental import landed_stream, load_new_files
+from ledgerlane.streaming.last_wins import load_last_reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -414,6 +417,42 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decimals_to_double(read_table(spark, history, LANDED))
 
 
+REPORTED = T.StructType(
+    [*LANDED.fields, T.StructField("reported", T.IntegerType())]
+)
+
+
+def q_last_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings by a stream: every third is reported again in a second batch, every seventh in a third.
+
+    The stream stops after each batch and is started anew for the next one.
+    """
+    root = new_run_folder(spark, "reports")
+    first = given.event_account_data(spark, sf_dir)
+    table = DatedTable(f"{root}/readings")
+    for number, every in enumerate((1, 3, 7)):
+        batch = first.filter(F.col("primary_key") % every == 0).select(
+            PORTFOLIO, "primary_key", "datetime_now", "date_now",
+            (F.col("investment") * (number + 1)).cast(MONEY).alias("investment"),
+            F.lit(number).alias("reported"),
+        )
+        batch.write.mode("append").parquet(f"{root}/reports")
+        stream = spark.readStream.schema(REPORTED).parquet(f"{root}/reports")
+        load_last_reports(
+            stream, "reported", table, f"{root}/checkpoint", (PORTFOLIO, "primary_key", "datetime_now"), "60 days"
+        )
+    return decimals_to_double(table.read(spark, REPORTED))
+
+
+def q_landed_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run landed as one file of the fixed name, found by name and read back."""
+    root = new_run_folder(spark, "landing")
+    land_file(given.event_account_data(spark, sf_dir), root, RUN_TIME)
+    landed = read_landed(spark, latest_landed(spark, root), LANDED)
+    name = F.element_at(F.split("_metadata.file_path", "/"), -1)
+    return decimals_to_double(landed.withColumn("file_name", name))
+
+
 def q_landed_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the landing folder holds, per landed file name."""
     root = new_run_folder(spark, "landing")
@@ -558,6 +597,8 @@ QUERIES: dict[str, Query] = {
     "landing_by_position": q_landing_by_position,
     "incremental_load": q_incremental_load,
     "landed_discovery": q_landed_discovery,
+    "landed_file": q_landed_file,
+    "last_reports": q_last_reports,
     "extract_load": q_extract_load,
     "repeated_load": q_repeated_load,
     "history_schema_change": q_history_schema_change,

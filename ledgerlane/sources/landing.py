@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlane.sources.versions import Record, delete, matching
+from ledgerlane.sources.versions import Record, delete, matching, move_new
 
 # Folder, name prefix and name format of landed files.
 FOLDER = "account-data"
@@ -66,6 +66,24 @@ def write_landed(df: DataFrame, root: str, run_ts: datetime) -> str:
     return folder
 
 
+def land_file(df: DataFrame, root: str, run_ts: datetime) -> str:
+    """Land a batch as one file under exactly the fixed name; returns its path.
+
+    For batches that one task can write. Spark commits the file to a folder that readers skip, and a
+    rename puts it in its place: before that nothing is visible, whatever failed. A name that exists is an error.
+    """
+    spark = df.sparkSession
+    path = landed_folder(root, run_ts)
+    attempt = f"{root}/_landing-{uuid.uuid4().hex}"
+    try:
+        _write_csv(df.coalesce(1), attempt)
+        (written,) = matching(spark, f"{attempt}/part-*")
+        move_new(spark, written, path)
+    finally:
+        delete(spark, attempt)
+    return path
+
+
 def land_run(
     df: DataFrame, root: str, run_ts: datetime, accounts: Sequence[str], name: str = ""
 ) -> None:

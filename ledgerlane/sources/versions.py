@@ -291,3 +291,14 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> None:
     files, hadoop = _files(spark, path)
     files.delete(hadoop, True)
+
+
+def move_new(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file to a name that does not exist yet, making the folder above it."""
+    files, hadoop = _files(spark, path)
+    _, target = _files(spark, to)
+    if files.exists(target):
+        raise FileExistsError(to)
+    files.mkdirs(target.getParent())
+    if not files.rename(hadoop, target):
+        raise OSError(f"cannot rename {path} to {to}")
