@@ -425,7 +425,7 @@ def align(docs: DataFrame, files: Vocabularies) -> DataFrame:
     either side has no tokens: zeros, and ''.
 
     Each row is a document of its own, also where doc_ids or texts repeat or are null. A chunk holds
-    whole texts, so a text of many megabytes is one task's memory (about 150 times its size). A merging
+    whole texts, so a text of many megabytes is one task's memory (many times its size). A merging
     task holds the pairs of one A id over all chunks, each chunk's once, besides HELD_PAIRS. Other columns are
     ignored; an empty table gives no rows.
     """

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlane.sources.versions import delete
 from ledgerlane.sources.workspace import new_run_folder
 
 # Whole texts are handled in slices of about this many bytes and at most this many texts inside a task,
@@ -55,9 +56,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     folder = new_run_folder(spark, purpose)
     df.write.parquet(folder)
+    _WRITTEN.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+# Folders that `stored` has made in this process, in order.
+_WRITTEN: list[str] = []
+
+
+def written() -> int:
+    return len(_WRITTEN)
+
+
+def drop_written(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Delete what `stored` has written since there were so many folders, but the last `keep`.
+
+    For callers that know that nothing reads these any more.
+    """
+    for folder in _WRITTEN[since : len(_WRITTEN) - keep]:
+        delete(spark, folder)
+    del _WRITTEN[since : len(_WRITTEN) - keep]
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

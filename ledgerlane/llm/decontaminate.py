@@ -103,7 +103,8 @@ def contamination(
     the window. Only the words around such places are shuffled, never whole texts, unless the
     benchmark has more than `limit` prefix words.
 
-    Each row is judged on its own text, so repeated rows and ids get a row each. Null or empty
+    Each row is judged on its own text, so repeated rows and ids get a row each. The words of a text are
+    one value of a row: a text of many megabytes is one task's memory (many times its size). Null or empty
     texts have no words and no hits. An item without words has no windows; a null item_id
     hits words but is not counted in n_items. Other columns are ignored.
     """

@@ -377,7 +377,7 @@ def extract(pages: DataFrame) -> DataFrame:
     styles and reader comments. Character references are decoded; a block is what stands between
     starts and ends of block elements, its white space becomes single spaces; blocks are joined by line feeds.
     A null or empty page, or one without text, gives ''. Rows are handled one by one, whole, so repeated
-    rows and nulls in page_id or url need no rule; a page of many megabytes is one task's memory (about 20
+    rows and nulls in page_id or url need no rule; a page of many megabytes is one task's memory (many
     times its size). Other columns are ignored; an empty table gives no rows.
     """
     rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"), "html")

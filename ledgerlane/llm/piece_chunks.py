@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame
 
 MARK = "▁"
 
+# What usual normalizers change: compatibility characters, wide letters, combining marks, runs of spaces.
+PROBE = "a  ﬁ ½ Ａ ２ e\u0301 Å \u00a0x\u3000 ①"
+
 # A task's table is emptied when it holds this many chunks; each is then segmented again when met.
 TABLE_CHUNKS = 400_000
 
@@ -24,8 +27,8 @@ class ChunkTable:
     A chunk is a run of space marks with the characters up to the next mark or line
     feed, or a run of line feeds with what follows. No piece of the vocabulary
     may reach from a character into a following mark, or hold a line feed beside
-    another character; the constructor checks both, and then segmenting chunk by chunk
-    equals segmenting the whole text.
+    another character, and the model's normalizer must leave texts as they are; the constructor checks
+    all three, and then segmenting chunk by chunk equals segmenting the whole text.
     """
 
     def __init__(self, model_file: str, size: int = TABLE_CHUNKS):
@@ -36,6 +39,8 @@ class ChunkTable:
             raise ValueError("pieces cross space marks: chunks cannot be segmented alone")
         if any("\n" in p for p in pieces):
             raise ValueError("pieces cross line feeds: chunks cannot be segmented alone")
+        if self.model.decode(self.model.encode(PROBE, num_threads=1)) != PROBE:
+            raise ValueError("the model's normalizer changes texts: chunks cannot be cut before it")
         # What a piece stands for, in bytes; without fixed pieces, decoding is joining these.
         self.surface = [self._bytes_of(i, p) for i, p in enumerate(pieces)]
         self.lengths = np.array([len(x) for x in self.surface], np.int64)
@@ -129,7 +134,8 @@ def encode_decode(docs: DataFrame, model_file: str) -> DataFrame:
     """Ids and decoded text of each whole text: doc_id, n_tokens, ids, decoded.
 
     A null text counts as empty and has no ids. Each row is handled alone, so ties and
-    repeated rows need no rule; other columns are ignored.
+    repeated rows need no rule, and whole: a text of many megabytes is one task's memory (many times
+    its size). Other columns are ignored.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])

@@ -177,7 +177,8 @@ def score_quality(docs: DataFrame, forest: Forest, threshold: float = 0.3) -> Da
     """Score every whole text: doc_id, held_out, score, predicted.
 
     A null text counts as empty, and an empty one is scored like any other. Rows are scored one by
-    one, so repeated rows get equal scores; other columns are ignored.
+    one, each whole: a text of many megabytes is one task's memory (many times its size). Repeated rows get
+    equal scores; other columns are ignored.
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

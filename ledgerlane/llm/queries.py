@@ -33,6 +33,7 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 @query
 def op1_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors, by inner product, of every vector whose vec_id is divisible by 20."""
     return rp_forest.search(given(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
@@ -49,33 +50,39 @@ def op2_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards of near equal bytes."""
     return shards.shard_by_bytes(given(spark, sf_dir, "documents"))
 
 
 @query
 def op4_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from labels that are not held out."""
     docs = given(spark, sf_dir, "documents")
     return quality.score_quality(docs, quality.fit_on(docs, given(spark, sf_dir, "labels")))
 
 
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without strings of 400 bytes that start anywhere else, too."""
     return suffixes.remove_repeated(given(spark, sf_dir, "documents"))
 
 
 @query
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of links, at a Jaccard similarity of 0.8 of five-word shingles."""
     return jaccard.near_duplicates(given(spark, sf_dir, "documents"))
 
 
 @query
 def op7_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by pseudonyms of the same format."""
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
     return pseudonyms.pseudonymise(docs, DEMO_KEY)
 
 
 @query
 def op8_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, by a grammar whose weights are learned from labels that are not held out."""
     docs = given(spark, sf_dir, "documents").select("doc_id", "text")
     grammar = toxicity.fit_on(docs, given(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(docs, grammar).select("doc_id", "held_out", "score", "predicted")
@@ -83,6 +90,7 @@ def op8_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids and of what they decode to."""
     return piece_chunks.encode_decode_digests(
         given(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
@@ -90,6 +98,7 @@ def op9_piece_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
     return decontaminate.contamination(given(spark, sf_dir, "documents"), given(spark, sf_dir, "benchmark"))
 
 
@@ -103,11 +112,13 @@ def op11_str_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op12_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
     return main_text.extract(given(spark, sf_dir, "pages"))
 
 
 @query
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers cut every document, and how often their linked ids meet in the corpus."""
     files = alignment.Vocabularies(
         public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
         public_tokenizers.path("piece_bpe_32k.model"),

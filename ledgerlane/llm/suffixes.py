@@ -460,7 +460,7 @@ def remove_repeated(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     on. They are grouped by a shorter anchor, and each group's distinct parts are searched by
     a Burrows-Wheeler transform that is bounded at 400 bytes. The strings of a group of over
     GROUP_BYTES are counted by a hash of 16 bytes each instead, which spreads them over all tasks. A very long
-    text is handled whole in one task, in about 60 times its size.
+    text is handled whole in one task, in many times its size.
     """
     spark = docs.sparkSession
     width = shuffle_width(spark)

@@ -94,7 +94,7 @@ def section_tokens(
     running lengths are their offsets.
     The counts of a document's sections add up to its token count. A null or
     empty text, or null sections, has one section of the whole text. Rows are handled
-    one by one, each whole: a text of many megabytes is one task's memory (about 60 times its size).
+    one by one, each whole: a text of many megabytes is one task's memory (many times its size).
     Other columns are ignored.
     """
     if rule not in RULES:

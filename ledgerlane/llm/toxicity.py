@@ -377,7 +377,8 @@ def score_toxicity(docs: DataFrame, grammar: Grammar, threshold: float = 0.5) ->
     A clause counts by the patterns it matches: insults and threats, each with or without a target, in the
     scope of a negation or of reported speech before them.
     A null text counts as empty; a text without attacks gets the lowest score. Rows are
-    scored one by one, so repeated rows get equal scores. A column of docs that is named
+    scored one by one, each whole: a text of many megabytes is one task's memory (many times its size).
+    Repeated rows get equal scores. A column of docs that is named
     like a result is replaced by the result.
     """
 
