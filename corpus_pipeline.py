@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm import decontaminate, jaccard, piece_chunks, pseudonyms, toxicity
-from ledgerlane.llm.common import given, held, ship_package, stored
+from ledgerlane.llm.common import drop_written, given, held, ship_package, stored, written
 from ledgerlane.llm.queries import DEMO_KEY
 
 
@@ -60,7 +60,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = given(spark, sf_dir, "documents")
+    """All stages; what a stage has read and written besides its result is removed after it."""
+    docs, first = given(spark, sf_dir, "documents"), written()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_written(spark, first)
     return docs
