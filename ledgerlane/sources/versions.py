@@ -13,7 +13,7 @@ of its days up to its base version, so appends published while it was written st
 from __future__ import annotations
 
 import uuid
-from collections.abc import Collection, Iterable
+from collections.abc import Collection, Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
 
@@ -167,13 +167,21 @@ class DatedTable:
 
     # Changing
 
-    def write(self, df: DataFrame) -> Change:
+    def write(self, df: DataFrame, cluster: Sequence[str] = ()) -> Change:
         """Write a pack; its days are read back from its folder names and file footers.
 
         The rebalance hint gathers a day's rows, so a quiet day gets one file and a busy one several, by size.
+        With ``cluster`` files hold ranges of these columns instead, sorted, and a Bloom filter on the first:
+        readers that look for few of its values skip files, row groups and pages by their statistics. The ranges
+        go by all of the columns, so a value that fills a third of a day is cut by the next column.
         """
         pack = uuid.uuid4().hex
-        df.hint("rebalance", self.day).write.partitionBy(self.day).parquet(self.folder(pack))
+        if cluster:
+            ranged = df.repartitionByRange(self.day, *cluster).sortWithinPartitions(self.day, *cluster)
+            writer = ranged.write.option(f"parquet.bloom.filter.enabled#{cluster[0]}", True)
+        else:
+            writer = df.hint("rebalance", self.day).write
+        writer.partitionBy(self.day).parquet(self.folder(pack))
         written = df.sparkSession.read.schema(df.schema).parquet(self.folder(pack))
         counts = {r[0]: r[1] for r in written.groupBy(self.day).count().collect()}
         return Change(pack, tuple(sorted(counts)), sum(counts.values()))
@@ -212,9 +220,14 @@ class DatedTable:
     # Housekeeping
 
     def compact(
-        self, spark: SparkSession, schema: T.StructType, closed_before: date, packs_of_a_day: int = 8
+        self,
+        spark: SparkSession,
+        schema: T.StructType,
+        closed_before: date,
+        packs_of_a_day: int = 8,
+        cluster: Sequence[str] = (),
     ) -> Entry | None:
-        """Rewrite closed days that have `packs_of_a_day` packs or more into files sized by the rebalancing.
+        """Rewrite closed days that have `packs_of_a_day` packs or more into sized files, clustered if asked for.
 
         Readers keep what they see: the old packs stay, and the new one takes their place in one step. Afterwards
         a closed day has fewer packs than that, however many runs came.
@@ -223,7 +236,7 @@ class DatedTable:
         many = [d for d, of in self.live(entries).items() if d < closed_before and len(of) >= packs_of_a_day]
         if not many:
             return None
-        change = self.write(self.read(spark, schema, entries, many))
+        change = self.write(self.read(spark, schema, entries, many), cluster)
         return self.publish(spark, entries, change, base=entries[-1].version, replaced=many)
 
     def fold_log(self, spark: SparkSession) -> None:

@@ -118,11 +118,13 @@ def read_history(spark: SparkSession, root: str, entries: list[Entry] | None = N
 def compact_history(spark: SparkSession, root: str, closed_before: date, packs_of_a_day: int = 8) -> None:
     """Keep the number of files in bounds: closed days into sized files, both records into one file each.
 
-    To be called between loads. A day that is loaded in few packs is left alone. Nothing
+    To be called between loads. Files of closed days are clustered by portfolio and time. A day that is loaded in few packs is left alone. Nothing
     is deleted; ``history_table(root).remove_unused`` does that when old readers are gone.
     """
     table = history_table(root)
-    table.compact(spark, history_schema(landed_runs(spark, root)), closed_before, packs_of_a_day)
+    table.compact(
+        spark, history_schema(landed_runs(spark, root)), closed_before, packs_of_a_day, (PORTFOLIO, "datetime_now")
+    )
     table.fold_log(spark)
     fold_runs(spark, root)
 

@@ -79,8 +79,8 @@ def test_appends_during_a_compaction_stay(spark, table, monkeypatch):
         put(spark, table, rows(spark, (k, k, 1), (k, k, 9)))
     whole = DatedTable.write
 
-    def write_and_append(self, df):
-        change = whole(self, df)
+    def write_and_append(self, df, cluster=()):
+        change = whole(self, df, cluster)
         if len(self.entries(spark)) == 3:
             late = whole(self, rows(spark, (7, 7, 1)))
             self.publish(spark, self.entries(spark), late)
@@ -151,8 +151,8 @@ def sorted_rows(df, columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
 
 
-@pytest.mark.parametrize("tie_breaker", ["primary_key", None])
-def test_upkeep_equals_the_full_models_over_late_loads(spark, table, tie_breaker):
+@pytest.mark.parametrize("tie_breaker, n_loads", [("primary_key", 5), (None, 3)])
+def test_upkeep_equals_the_full_models_over_late_loads(spark, table, tie_breaker, n_loads):
     rng = random.Random(5)
     config = replace(CONFIG, tie_breaker=tie_breaker)
     past = [(p, 10_000 + p, datetime(2023, 12, 1, 10), date(2023, 12, 1), dec(p)) for p in (1, 2, 50)]
@@ -170,7 +170,7 @@ def test_upkeep_equals_the_full_models_over_late_loads(spark, table, tie_breaker
         loads = [[r for r in load if not ((r[0], r[2]) in unique or unique.add((r[0], r[2])))] for load in loads]
     everything = []
     folder = new_run_folder(spark, "kept")
-    for number, load in enumerate(loads):
+    for number, load in enumerate(loads[:n_loads]):
         everything += load
         if load:
             put(spark, table, spark.createDataFrame(load, SNAPSHOT), [f"run-{number}"])
@@ -206,3 +206,39 @@ def test_runs_compacted_before_they_were_taken_up_are_not_lost(spark, table):
         kept = Upkeep(spark, table, schema, past, days, CONFIG, folder).run()
         for name, df in full(spark, everything, past, days, CONFIG).items():
             assert sorted_rows(kept[name], df.columns) == sorted_rows(df, df.columns), (name, number)
+
+
+def rows_scanned(df) -> int:
+    """How many rows the file scan of a query without a shuffle hands on."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    leaf = plan.collectLeaves().apply(0)
+    return leaf.metrics().get("numOutputRows").get().value()
+
+
+def test_clustered_files_are_skipped(spark, table):
+    """One portfolio has a third of the day's rows; the others' rows are found in a few of the files."""
+    readings = spark.range(600_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 + 1 END AS k", "id AS v", "DATE'2024-01-01' AS date_now")
+    small = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        for part in range(2):
+            put(spark, table, readings.filter(F.col("v") % 2 == part).repartition(4))
+        schema = rows(spark).schema
+        plain = rows_scanned(table.read(spark, schema).filter("k = 500"))
+        table.compact(spark, schema, date(2024, 1, 2), packs_of_a_day=2, cluster=("k", "v"))
+        clustered = table.read(spark, schema)
+        found = clustered.filter("k = 500")
+        assert rows_scanned(found) < plain / 10
+        assert found.count() == readings.filter("k = 500").count()
+        assert clustered.agg(F.sum("v"), F.count("*")).first() == readings.agg(F.sum("v"), F.count("*")).first()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    table.remove_unused(spark)
+    sizes = [len_ for len_ in (spark.read.parquet(str(f)).count() for f in files(table)) if len_]
+    # The hot portfolio is cut by the second column: no file holds its 200,000 rows.
+    assert len(sizes) >= 16 and max(sizes) < 100_000
