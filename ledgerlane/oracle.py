@@ -353,7 +353,8 @@ PAYLOAD_FILES = f"""
 WITH {FIXED}
 SELECT e.user_id AS portfolio_id, CAST(f1.balance AS DOUBLE) AS checking,
     CAST(f2.balance AS DOUBLE) AS bitcoin, CAST(f3.balance AS DOUBLE) AS dollars
-FROM (SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY user_id) e
+FROM (SELECT CAST(day(ts) AS BIGINT) AS user_id, arg_max(event_id, (ts, event_id)) AS event_id
+    FROM events GROUP BY day(ts)) e
 JOIN fixed f1 ON f1.event_id = e.event_id AND f1.id = 'a1'
 JOIN fixed f2 ON f2.event_id = e.event_id AND f2.id = 'a2'
 JOIN fixed f3 ON f3.event_id = e.event_id AND f3.id = 'a3'"""

@@ -33,16 +33,17 @@ def stock_distribution(
 
 
 def asset_distribution(
-    stocks: DataFrame, assett_class_split: DataFrame, config: ModelConfig
+    stocks: DataFrame, assett_class_split: DataFrame, config: ModelConfig, salted: bool = False
 ) -> DataFrame:
     """Amounts per asset class of every security.
 
     A symbol without a split keeps null amounts; several split rows of a symbol
     give several result rows. No broadcast hint: the planner broadcasts the
-    split when its size allows. A symbol that many portfolios hold is dealt out
-    by portfolio; of a single portfolio a symbol has few rows.
+    split when its size allows, otherwise adaptive execution splits hot symbols.
+    With ``salted`` a symbol that many portfolios hold is dealt out by portfolio,
+    which reads the symbols of ``stocks`` once more: for a table that is stored.
     """
-    if config.keys:
+    if salted and config.keys:
         joined = attach_by_key(stocks, assett_class_split, ["stock_symbol"], config.keys)
     else:
         joined = stocks.join(assett_class_split, "stock_symbol", "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlane.config import DEFAULT_RULES, BalanceRule
 from ledgerlane.operators.checks import LoadError, require_none
 from ledgerlane.schemas import PORTFOLIO, snapshot_schema
-from ledgerlane.sources.landing import land_run, run_identity
+from ledgerlane.sources.landing import land_run, run_identity, run_record
 from ledgerlane.sources.payload import (
     capture_columns,
     payload_snapshot,
@@ -20,8 +20,8 @@ from ledgerlane.sources.payload import (
     stopped_at_failures,
 )
 from ledgerlane.sources.versions import Entry
-from ledgerlane.sources.warehouse import history_table, read_history
-from ledgerlane.streaming.incremental import load_landed_runs
+from ledgerlane.sources.warehouse import history_table, schema_of_accounts
+from ledgerlane.streaming.incremental import put_landed
 
 
 def run_load(
@@ -51,7 +51,8 @@ def run_load(
     batch or with what the history holds of the batch's days.
     """
     # What is published is loaded first, so the history's log says what was landed.
-    log = load_landed_runs(spark, root)
+    runs, epoch = run_record(root).rows(spark)
+    log = put_landed(spark, root, runs, history_table(root).entries(spark))
     if "datetime_now" in payloads.columns:
         stamps = ["datetime_now", F.to_date("datetime_now").alias("date_now")]
     else:
@@ -64,13 +65,14 @@ def run_load(
         else:
             wide = payload_snapshot_by_map(stamped, account_map, list(columns), rules)
         try:
-            land_run(stopped_at_failures(wide), root, run_ts, list(columns), name)
+            runs.append(land_run(stopped_at_failures(wide), root, run_ts, list(columns), name, epoch))
         except PySparkException as error:
             if "USER_RAISED_EXCEPTION" in str(error):
                 raise LoadError(str(error)) from error
             raise
-        log = load_landed_runs(spark, root, log)
-    return read_history(spark, root, log)
+        log = put_landed(spark, root, runs[-1:], log)
+    schema = schema_of_accounts(r["accounts"] for r in sorted(runs, key=lambda r: r["run_id"]))
+    return history_table(root).read(spark, schema, log)
 
 
 def require_new_readings(stamped: DataFrame, root: str, log: list[Entry]) -> None:

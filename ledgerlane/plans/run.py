@@ -140,7 +140,8 @@ def run_models(
     build(
         "asset_distribution",
         lambda: asset_distribution(
-            built["stock_distribution"], staging.assett_class_split, config
+            built["stock_distribution"], staging.assett_class_split, config,
+            salted="stock_distribution" not in views,
         ),
     )
     build("asset_totals", lambda: asset_totals(built["asset_distribution"], config))

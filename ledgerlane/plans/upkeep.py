@@ -9,7 +9,7 @@ newest day. Every step has a log of its own, so a run that failed anywhere is co
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -29,6 +29,7 @@ from ledgerlane.sources.warehouse import read_table, write_model
 from ledgerlane.sources.workspace import new_run_folder
 
 DAY = "date_now"
+MODELS = ("gains_losses", "networth_comparison")
 
 
 def day_states(readings: DataFrame, config: ModelConfig) -> DataFrame:
@@ -113,16 +114,18 @@ class Upkeep:
     def gains(self) -> DatedTable:
         return DatedTable(f"{self.folder}/gains_losses", "date_value")
 
-    def run(self) -> dict[str, DataFrame]:
-        """Bring the models up to date with the history; returns them."""
+    def run(self, models: Collection[str] = MODELS) -> dict[str, DataFrame]:
+        """Bring models up to date with the history; returns them. Each catches up by itself."""
         if not self.config.keys:
             raise ValueError("models are kept up to date per portfolio")
         loaded = self.history.entries(self.spark)
         states = self.absorb(loaded)
-        return {
-            "gains_losses": self.refresh_gains(states),
-            "networth_comparison": self.refresh_comparison(states, loaded),
-        }
+        built = {}
+        if "gains_losses" in models:
+            built["gains_losses"] = self.refresh_gains(states)
+        if "networth_comparison" in models:
+            built["networth_comparison"] = self.refresh_comparison(states, loaded)
+        return built
 
     # States
 

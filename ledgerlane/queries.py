@@ -90,8 +90,8 @@ def q_gains_losses_straddling(spark: SparkSession, sf_dir: str) -> DataFrame:
 KEPT_CONFIG = replace(SHORT_AGES, networth_expr="investment")
 
 
-def _kept(spark: SparkSession, sf_dir: str, config: ModelConfig) -> dict[str, DataFrame]:
-    """Models after three loads of events: the last days, the days before 20 January, and one in eight of any day."""
+def _kept(spark: SparkSession, sf_dir: str, config: ModelConfig, model: str) -> DataFrame:
+    """A model after two loads of events: days from 20 January on, then all days before and one in eight of any day."""
     folder = new_run_folder(spark, "kept")
     events = given.table(spark, sf_dir, "events")
     wide = given.event_account_data(spark, sf_dir).join(
@@ -101,18 +101,18 @@ def _kept(spark: SparkSession, sf_dir: str, config: ModelConfig) -> dict[str, Da
     history = DatedTable(f"{folder}/history")
     late, early = F.col("primary_key") % 8 == 0, F.col("date_now") < F.lit("2024-01-20").cast("date")
     nothing = wide.select(*given.NETWORTH_COLUMNS).limit(0).withColumnRenamed("investment", "networth")
-    for number, part in enumerate((~late & ~early, ~late & early, late)):
+    for number, part in enumerate((~late & ~early, late | early)):
         entries = history.entries(spark)
         history.publish(spark, entries, history.write(wide.filter(part)), [f"load-{number}"])
         keeper = Upkeep(
             spark, history, schema, nothing, given.event_dates(spark, sf_dir), config, f"{folder}/models"
         )
-        models = keeper.run()
-    return models
+        found = keeper.run([model])[model]
+    return found
 
 
 def q_gains_losses_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decimals_to_double(_kept(spark, sf_dir, KEPT_CONFIG)["gains_losses"])
+    return decimals_to_double(_kept(spark, sf_dir, KEPT_CONFIG, "gains_losses"))
 
 
 def q_networth_comparison_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +120,7 @@ def q_networth_comparison_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = replace(
         KEPT_CONFIG, investment_expr="CASE WHEN event_type = 'purchase' THEN investment ELSE 0 END"
     )
-    return decimals_to_double(_kept(spark, sf_dir, config)["networth_comparison"])
+    return decimals_to_double(_kept(spark, sf_dir, config, "networth_comparison"))
 
 
 def q_morning_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,10 +295,14 @@ def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_payload_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each user's newest payload, written as a file of its own and read back from there."""
+    """Payload files: each day's newest payload, written as a file of its own and read back from there.
+
+    The day of the month stands for the portfolio.
+    """
     folder = new_run_folder(spark, "payloads")
     order = reading_order(F.col("datetime_now"), F.col("primary_key"))
-    newest = _payloads(spark, sf_dir).groupBy(PORTFOLIO).agg(F.max_by("payload", order).alias("payload"))
+    day = F.dayofmonth("datetime_now").cast("bigint").alias(PORTFOLIO)
+    newest = _payloads(spark, sf_dir).groupBy(day).agg(F.max_by("payload", order).alias("payload"))
     newest.write.partitionBy(PORTFOLIO).text(folder)
     files = read_payload_files(spark, folder).withColumn(PORTFOLIO, F.col(PORTFOLIO).cast("bigint"))
     wide = payload_snapshot(files, given.PAYLOAD_ACCOUNTS)

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,12 +85,18 @@ def land_file(df: DataFrame, root: str, run_ts: datetime) -> str:
 
 
 def land_run(
-    df: DataFrame, root: str, run_ts: datetime, accounts: Sequence[str], name: str = ""
-) -> None:
-    """Land a run's batch, then publish it by one row in the record of runs.
+    df: DataFrame,
+    root: str,
+    run_ts: datetime,
+    accounts: Sequence[str],
+    name: str = "",
+    epoch: int | None = None,
+) -> Row:
+    """Land a run's batch, then publish it by one row in the record of runs; returns that row.
 
     Every attempt writes to a folder of its own below the run's landed name.
     What a failed attempt leaves is never published, so nobody reads it.
+    ``epoch`` is the record's newest one, if the caller has read it.
     """
     run_id = run_identity(run_ts, name)
     folder = f"{landed_folder(root, run_ts)}/{run_id}.{uuid.uuid4().hex}"
@@ -100,7 +106,8 @@ def land_run(
         F.lit(run_id).alias("run_id"), F.lit(folder).alias("folder"), columns.alias("accounts")
     )
     runs = run_record(root)
-    runs.append(entry, runs.newest_epoch(df.sparkSession))
+    runs.append(entry, runs.newest_epoch(df.sparkSession) if epoch is None else epoch)
+    return Row(run_id=run_id, folder=folder, accounts=list(accounts))
 
 
 def run_record(root: str) -> Record:

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,18 @@ class Record:
             return spark.createDataFrame([], schema)
         return rows.filter(F.col("epoch") == rows.agg(F.max("epoch").alias("newest")).scalar())
 
+    def rows(self, spark: SparkSession) -> tuple[list[Row], int]:
+        """The rows of the newest epoch, here, and its number: one small job."""
+        schema = T.StructType([*self.schema.fields, T.StructField("epoch", T.IntegerType())])
+        try:
+            found = spark.read.schema(schema).parquet(self.path).collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return [], 0
+        newest = max((r["epoch"] for r in found), default=0)
+        return [r for r in found if r["epoch"] == newest], newest
+
     def append(self, rows: DataFrame, epoch: int = 0) -> None:
         """Add a few rows as one file: all of them appear at once."""
         one_file = rows.coalesce(1).withColumn("epoch", F.lit(epoch))
@@ -114,7 +126,7 @@ class DatedTable:
         """The log, in order: one row per change since it was last folded."""
         found = [
             Entry(r["version"], r["base"], r["pack"], tuple(r["days"]), r["rows"], tuple(r["names"]), r["epoch"])
-            for r in self.log.read(spark).collect()
+            for r in self.log.rows(spark)[0]
         ]
         return sorted(found, key=lambda e: (e.version, e.pack or ""))
 

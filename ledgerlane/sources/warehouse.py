@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -101,8 +101,12 @@ def history_schema(runs: DataFrame) -> T.StructType:
     distinct account list reaches the driver, not one per run.
     """
     lists = runs.groupBy("accounts").agg(F.min("run_id").alias("first")).orderBy("first").collect()
-    accounts = dict.fromkeys(a for row in lists for a in row["accounts"])
-    schema = snapshot_schema(accounts)
+    return schema_of_accounts(row["accounts"] for row in lists)
+
+
+def schema_of_accounts(lists: Iterable[Iterable[str]]) -> T.StructType:
+    """Schema of a history whose runs had these accounts, in the order of the runs."""
+    schema = snapshot_schema(dict.fromkeys(a for accounts in lists for a in accounts))
     return T.StructType([*schema.fields[:3], T.StructField(SURROGATE, T.LongType()), *schema.fields[3:]])
 
 

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlane.schemas import snapshot_schema
-from ledgerlane.sources.landing import csv_options, landed_glob, landed_runs, read_landed
+from ledgerlane.sources.landing import csv_options, landed_glob, read_landed, run_record
 from ledgerlane.sources.versions import Entry
 from ledgerlane.sources.warehouse import history_table, put_runs, with_required, with_surrogate
 
@@ -61,28 +62,30 @@ def load_new_files(stream: DataFrame, table: str, checkpoint: str) -> StreamingQ
     return query
 
 
-def load_landed_runs(
-    spark: SparkSession, root: str, entries: list[Entry] | None = None
-) -> list[Entry]:
-    """Put every published run that is not in the history yet into it; returns the history's log.
+def load_landed_runs(spark: SparkSession, root: str) -> list[Entry]:
+    """Put every published run that is not in the history yet into it; returns the history's log."""
+    runs, _ = run_record(root).rows(spark)
+    return put_landed(spark, root, runs, history_table(root).entries(spark))
+
+
+def put_landed(spark: SparkSession, root: str, runs: Iterable[Row], entries: list[Entry]) -> list[Entry]:
+    """Put those of the published runs into the history that its log does not name; returns the log.
 
     What is new is the record of runs less the names in the history's log, so
     neither a crash at any point nor a lost checkpoint loses or doubles a row:
-    a run's rows and its name become visible together. One row per new run
-    reaches the driver, whatever the size of the runs.
+    a run's rows and its name become visible together. The record has one
+    row per run, whatever the size of the runs.
     """
     table = history_table(root)
-    entries = table.entries(spark) if entries is None else entries
-    known = spark.createDataFrame([(n,) for n in table.names(entries)], "run_id string")
-    new = landed_runs(spark, root).join(known, "run_id", "left_anti")
+    names = table.names(entries)
     # Attempts of one run hold the same rows: one of them is loaded.
-    folders = {r["run_id"]: (tuple(r["accounts"]), r["folder"]) for r in new.collect()}
+    new = {r["run_id"]: (tuple(r["accounts"]), r["folder"]) for r in runs if r["run_id"] not in names}
     by_accounts: dict[tuple[str, ...], dict[str, str]] = defaultdict(dict)
-    for run_id, (accounts, folder) in folders.items():
+    for run_id, (accounts, folder) in new.items():
         by_accounts[accounts][run_id] = folder
-    for accounts, runs in by_accounts.items():
-        landed = read_landed(spark, list(runs.values()), snapshot_schema(accounts))
+    for accounts, folders in by_accounts.items():
+        landed = read_landed(spark, list(folders.values()), snapshot_schema(accounts))
         attempt = F.element_at(F.split("_metadata.file_path", "/"), -2)
         run_id = F.substring_index(attempt, ".", 1)
-        entries = put_runs(landed.withColumn("run_id", run_id), table.path, list(runs), entries)
+        entries = put_runs(landed.withColumn("run_id", run_id), table.path, list(folders), entries)
     return entries
