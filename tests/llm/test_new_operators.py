@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 from collections import Counter
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -173,8 +174,8 @@ FILES = alignment.Vocabularies(
     public_tokenizers.path("piece_bpe_32k.model"))
 
 
-def other_ids(text):
-    """Ids and token bytes by the two libraries that the contract names."""
+@lru_cache(maxsize=1)
+def other_libraries():
     words = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     words.encode_special_tokens = True
     pieces = sentencepiece.SentencePieceProcessor(model_file=FILES.model_file)
@@ -182,6 +183,12 @@ def other_ids(text):
     table = {chr(b): b for b in keep} | {
         chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in keep)}
     names = {i: t for t, i in words.get_vocab().items()}
+    return words, pieces, table, names
+
+
+def other_ids(text):
+    """Ids and token bytes by the two libraries that the contract names."""
+    words, pieces, table, names = other_libraries()
     a = words.encode(" " + text, add_special_tokens=False).ids
     b = pieces.encode(text)
     return ([(i, bytes(table[c] for c in names[i])) for i in a],
