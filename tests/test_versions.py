@@ -151,7 +151,7 @@ def sorted_rows(df, columns):
     return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
 
 
-@pytest.mark.parametrize("tie_breaker, n_loads", [("primary_key", 5), (None, 3)])
+@pytest.mark.parametrize("tie_breaker, n_loads", [("primary_key", 5), (None, 2)])
 def test_upkeep_equals_the_full_models_over_late_loads(spark, table, tie_breaker, n_loads):
     rng = random.Random(5)
     config = replace(CONFIG, tie_breaker=tie_breaker)
