@@ -81,3 +81,26 @@ def test_no_window_holds_a_whole_portfolio(spark):
         assert re.search(r"windowspecdefinition\(portfolio_id#\d+L, _(bucket|parent)#", line)
     # Every shuffle is by portfolio and a stretch of time, or an instant.
     assert not re.search(r"hashpartitioning\(portfolio_id#\d+L, \d+\)", plan)
+
+
+def test_plain_keys_meet_their_instants_in_one_shuffle(spark):
+    """Keys that are not hot take neither the ladder nor a join; hot ones do, and both give what brute force gives."""
+    rng = random.Random(5)
+    start = datetime(2024, 1, 1)
+    readings, instants = [], []
+    for number in range(400):
+        ts = start + timedelta(hours=rng.randint(0, 3000))
+        readings.append((number % 100, number, ts, ts.date(), dec(number), dec(1)))
+        instants.append((rng.randint(0, 110), start + timedelta(hours=rng.randint(0, 3000)), number))
+    result = as_of(spark.createDataFrame(readings, SERIES), asked(spark, instants), ["portfolio_id"], VALUES)
+    plan = plan_of(result)
+    assert "Join" not in plan and plan.count("windowspecdefinition") == 1
+    assert found(result) == expected(readings, instants)
+
+    hot = [(7, 1000 + n, start + timedelta(hours=n), start.date(), dec(n), dec(2)) for n in range(600)]
+    more = [(7, start + timedelta(hours=3 * n, minutes=1), 1000 + n) for n in range(300)]
+    hot_result = as_of(
+        spark.createDataFrame(readings + hot, SERIES), asked(spark, [*instants, *more, (None, start, -1), (7, None, -2)]),
+        ["portfolio_id"], VALUES)
+    assert "Join" in plan_of(hot_result)
+    assert found(hot_result) == expected(readings + hot, [*instants, *more, (None, start, -1), (7, None, -2)])
