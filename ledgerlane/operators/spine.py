@@ -58,7 +58,9 @@ def spread_over_days(
     )
     # Every run is non-empty by the filter above; the outer form spares the
     # optimizer's own emptiness test, which would build each sequence twice.
-    filled = bounded.withColumn("date_value", F.explode_outer(F.sequence("_from", "_to")))
-    return filled.join(F.broadcast(with_previous_day(days)), "date_value").drop(
-        "_ends", "_from", "_to"
+    # Days are numbered: a number is looked up by its place, where a date is hashed.
+    run = F.sequence(F.unix_date("_from"), F.unix_date("_to"))
+    numbered = with_previous_day(days).withColumn("_day", F.unix_date("date_value"))
+    return bounded.withColumn("_day", F.explode_outer(run)).join(F.broadcast(numbered), "_day").drop(
+        "_ends", "_from", "_to", "_day"
     )

@@ -227,3 +227,10 @@ def skew_hot(df, key):
     from ledgerlane.operators.skew import hot_keys
 
     return hot_keys(df, [key])
+
+
+def test_days_are_filled_in_by_their_number(spark, sf_dir):
+    """A dense row looks its day up by place: a date as join key would be hashed once for each of them."""
+    plan = plan_of(QUERIES["gains_losses"](spark, sf_dir))
+    assert re.search(r"BroadcastHashJoin \[(cast\()?_day#", plan)
+    assert not re.search(r"BroadcastHashJoin \[date_value#", plan)
