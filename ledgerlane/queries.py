@@ -93,10 +93,7 @@ KEPT_CONFIG = replace(SHORT_AGES, networth_expr="investment")
 def _kept(spark: SparkSession, sf_dir: str, config: ModelConfig, model: str) -> DataFrame:
     """A model after two loads of events: days from 20 January on, then all days before and one in eight of any day."""
     folder = new_run_folder(spark, "kept")
-    events = given.table(spark, sf_dir, "events")
-    wide = given.event_account_data(spark, sf_dir).join(
-        events.select(F.col("event_id").alias("primary_key"), "event_type"), "primary_key"
-    )
+    wide = given.typed_event_data(spark, sf_dir)
     schema = wide.schema
     history = DatedTable(f"{folder}/history")
     late, early = F.col("primary_key") % 8 == 0, F.col("date_now") < F.lit("2024-01-20").cast("date")

@@ -35,17 +35,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def event_account_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as snapshots with one amount."""
+def event_account_data(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Events as snapshots with one amount, and more of their columns if named."""
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias(PORTFOLIO),
         F.col("event_id").alias("primary_key"),
         F.col("ts").alias("datetime_now"),
         F.to_date("ts").alias("date_now"),
         money(F.col("value")).alias("investment"),
+        *more,
     )
 
 
+def typed_event_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the type of each event; events without an id are left out."""
+    return event_account_data(spark, sf_dir, "event_type").filter(F.col("primary_key").isNotNull())
+
+
 NETWORTH_COLUMNS = (PORTFOLIO, "primary_key", "datetime_now", "date_now", "investment")
 
 

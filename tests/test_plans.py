@@ -234,3 +234,13 @@ def test_days_are_filled_in_by_their_number(spark, sf_dir):
     plan = plan_of(QUERIES["gains_losses"](spark, sf_dir))
     assert re.search(r"BroadcastHashJoin \[(cast\()?_day#", plan)
     assert not re.search(r"BroadcastHashJoin \[date_value#", plan)
+
+
+def test_kept_events_bring_their_types_along(spark, tmp_path):
+    """The type stands in the event's own row: no join by event, and a repeated id makes no further rows."""
+    rows = [(1, "2024-01-02 10:00:00", 5, "view", 2.5)] * 2 + [(None, "2024-01-03 10:00:00", 6, "purchase", 1.0)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, value double")
+    events.withColumn("ts", events["ts"].cast("timestamp_ntz")).write.parquet(f"{tmp_path}/events.parquet")
+    wide = given.typed_event_data(spark, str(tmp_path))
+    assert "Join" not in plan_of(wide)
+    assert [(r["primary_key"], r["event_type"]) for r in wide.collect()] == [(1, "view")] * 2
