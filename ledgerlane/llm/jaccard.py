@@ -31,6 +31,8 @@ from ledgerlane.llm.hashing import bucket_bits, mixed, packed, shingle_hashes, s
 
 WORDS = 5
 BLOCK_SETS = 256
+# Bytes of texts that a task hashes at once: some forty times as much is held meanwhile, and workers keep it.
+SET_BYTES = 512 << 10
 
 _DEALT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("sets", pa.binary()),
                     ("sizes", pa.binary()), ("ids", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
@@ -53,7 +55,7 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     chunk = TaskContext.get().partitionId() << 32
     for batch in batches:
         doc_ids, names = batch.column("doc_id").cast(pa.int64()), batch.column("name")
-        for first, end, raw, offsets in byte_slices(batch.column("text")):
+        for first, end, raw, offsets in byte_slices(batch.column("text"), SET_BYTES):
             hashes, text = shingle_hashes(*word_hashes(raw, offsets), WORDS)
             order = np.argsort(hashes, kind="stable")
             hashes, text = hashes[order], text[order]

@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import public_tokenizers
@@ -467,3 +468,16 @@ def test_sql_twins(spark, name):
     sf_dir = "/root/testdata/sf0.001"
     twin = given_tables(sf_dir).execute(ORACLE_SQL[name]).df()
     assert sorted_rows(QUERIES[name](spark, sf_dir).toPandas()) == sorted_rows(twin)
+
+
+def test_sets_are_hashed_in_small_slices(spark):
+    """A task holds many times the bytes it hashes at once; links across slices are found all the same."""
+    ship_package(spark)
+    texts = [" ".join(f"w{n % 20}x{k}" for k in range(6000)) for n in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    dealt = docs.select("doc_id", "text", F.lit(None).cast("binary").alias("name")).mapInArrow(
+        partial(jaccard._dealt, 4), jaccard._DEALT_SQL)
+    assert sum(len(t) for t in texts) < 2 << 20
+    assert dealt.filter("ids IS NOT NULL").count() >= 3
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert found == {n: n % 20 for n in range(40)}
