@@ -349,7 +349,10 @@ def set_links(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         ),
         "classes",
     )
-    linked = stored(links(classes.filter("prefix IS NOT NULL")), "links")
+    # Each pair of blocks counts links of its own. Summed up they are few rows, which fill few files instead
+    # of one for each task: of every file that Hadoop makes in a local folder, it starts several processes.
+    found = links(classes.filter("prefix IS NOT NULL"))
+    linked = stored(found.groupBy("id", "to").agg(F.sum("links").alias("links")), "links")
     return classes, linked, components(linked)
 
 

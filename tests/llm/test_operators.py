@@ -481,3 +481,19 @@ def test_sets_are_hashed_in_small_slices(spark):
     assert dealt.filter("ids IS NOT NULL").count() >= 3
     found = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
     assert found == {n: n % 20 for n in range(40)}
+
+
+def test_links_of_several_block_pairs_are_one_row(spark):
+    """What pairs of blocks have found of one set and its root is summed up before it is stored."""
+    ship_package(spark)
+    words = [f"w{k}" for k in range(200)]
+    docs = spark.createDataFrame(
+        [(n, " ".join("other" if k == 3 * n + 7 else w for k, w in enumerate(words))) for n in range(40)],
+        "doc_id long, text string",
+    )
+    sets = jaccard.shingle_sets(docs)
+    _, linked, _ = jaccard.set_links(sets)
+    found = jaccard.links(sets.select("id", "n", "shared", "prefix", F.lit(1).alias("size")).filter("prefix IS NOT NULL"))
+    assert found.count() > linked.count()
+    assert linked.count() == linked.select("id", "to").distinct().count()
+    assert linked.agg(F.sum("links")).first()[0] == found.agg(F.sum("links")).first()[0] == 40 * 39
