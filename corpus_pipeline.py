@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm import decontaminate, jaccard, piece_chunks, pseudonyms, toxicity
-from ledgerlane.llm.common import drop_written, given, held, ship_package, stored, written
+from ledgerlane.llm.common import TEXT_WRITERS, drop_written, given, held, in_few_files, ship_package, stored, written
 from ledgerlane.llm.queries import DEMO_KEY
 
 
@@ -15,6 +15,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; the grammar is learned from these documents' labels."""
     ship_package(spark)
     grammar = toxicity.fit_on(docs, given(spark, sf_dir, "labels"))
+    docs = in_few_files(docs, TEXT_WRITERS)
     return docs.filter(toxicity.score_of(docs["text"], grammar) < 0.5)
 
 

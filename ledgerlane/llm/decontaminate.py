@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import LOWER, UPPER, stored
+from ledgerlane.llm.common import LOWER, UPPER, in_few_files, stored
 
 WINDOW = 10
 
@@ -108,9 +108,9 @@ def contamination(
     texts have no words and no hits. An item without words has no windows; a null item_id
     hits words but is not counted in n_items. Other columns are ignored.
     """
-    windows = stored(benchmark_windows(benchmark, window), "windows")
+    windows = stored(in_few_files(benchmark_windows(benchmark, window)), "windows")
     vocabulary = windows.select(F.explode("window").alias("word")).distinct()
-    prefixed = stored(rarest_words(windows, corpus_counts(docs, vocabulary, limit)), "prefixes")
+    prefixed = stored(in_few_files(rarest_words(windows, corpus_counts(docs, vocabulary, limit))), "prefixes")
     prefixes = prefixed.select(F.col("prefix").alias("word")).distinct()
 
     def around(i: Column) -> Column:
@@ -129,13 +129,15 @@ def contamination(
         "places",
     )
     hits = stored(
-        rows.select("row", F.explode("places").alias("x")).select("row", "x.*")
-        .join(prefixed, "prefix")
-        .withColumn("start", F.col("before") - F.col("place"))
-        .filter((F.col("start") >= 0) & (F.size("context") >= F.col("start") + F.col("length")))
-        .filter(F.expr("slice(context, start + 1, length) = window"))
-        .select("row", (F.col("at") - F.col("place")).alias("first"), "length", "window")
-        .distinct(),
+        in_few_files(
+            rows.select("row", F.explode("places").alias("x")).select("row", "x.*")
+            .join(prefixed, "prefix")
+            .withColumn("start", F.col("before") - F.col("place"))
+            .filter((F.col("start") >= 0) & (F.size("context") >= F.col("start") + F.col("length")))
+            .filter(F.expr("slice(context, start + 1, length) = window"))
+            .select("row", (F.col("at") - F.col("place")).alias("first"), "length", "window")
+            .distinct()
+        ),
         "hits",
     )
 

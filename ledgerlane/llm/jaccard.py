@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import byte_slices, held, shuffle_width, stored
+from ledgerlane.llm.common import TEXT_WRITERS, byte_slices, give_back, held, in_few_files, shuffle_width, stored
 from ledgerlane.llm.hashing import bucket_bits, mixed, packed, shingle_hashes, stretches, unpacked, word_hashes
 
 WORDS = 5
@@ -94,6 +94,7 @@ def _dealt(bits: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             }
             yield pa.RecordBatch.from_pydict(rows, schema=_DEALT)
             chunk += 1
+        give_back()
 
 
 def _counted(bits: int, key: tuple, table: pa.Table) -> pa.Table:
@@ -262,7 +263,7 @@ def shingle_sets(docs: DataFrame, name: Column | None = None) -> DataFrame:
     counted = dealt.groupBy("bucket").applyInArrow(
         lambda key, table: _counted(bits, key, table), _SHARED_SQL
     )
-    return stored(counted.groupBy("chunk").applyInArrow(lambda table: _prefixed(table), _SETS_SQL), "sets")
+    return stored(in_few_files(counted.groupBy("chunk").applyInArrow(lambda table: _prefixed(table), _SETS_SQL)), "sets")
 
 
 def candidate_pairs(sets: DataFrame, block_sets: int = BLOCK_SETS) -> tuple[DataFrame, DataFrame]:
@@ -272,7 +273,7 @@ def candidate_pairs(sets: DataFrame, block_sets: int = BLOCK_SETS) -> tuple[Data
     crowd = homes.groupBy("home").agg(F.count(F.lit(1)).alias("crowd"))
     part = F.pmod(F.xxhash64("id"), F.ceil(F.col("crowd") / block_sets)).cast("int")
     blocked = stored(
-        homes.join(crowd, "home").withColumn("block", F.struct("home", part.alias("part"))).drop("crowd", "home"),
+        in_few_files(homes.join(crowd, "home").withColumn("block", F.struct("home", part.alias("part"))).drop("crowd", "home")),
         "blocks",
     )
     lists = (
@@ -318,11 +319,13 @@ def links(classes: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) of every vertex of undirected edges (id, to): least label and pointer jumping."""
     both = stored(
-        edges.select("id", "to").unionByName(edges.select(F.col("to").alias("id"), F.col("id").alias("to")))
-        .filter("id != to").distinct(),
+        in_few_files(
+            edges.select("id", "to").unionByName(edges.select(F.col("to").alias("id"), F.col("id").alias("to")))
+            .filter("id != to").distinct()
+        ),
         "edges",
     )
-    labels = stored(both.groupBy("id").agg(F.least(F.col("id"), F.min("to")).alias("root")), "labels")
+    labels = stored(in_few_files(both.groupBy("id").agg(F.least(F.col("id"), F.min("to")).alias("root"))), "labels")
     while True:
         near = both.join(labels.select(F.col("id").alias("to"), F.col("root").alias("theirs")), "to")
         least = near.groupBy("id").agg(F.min("theirs").alias("theirs"))
@@ -330,7 +333,7 @@ def components(edges: DataFrame) -> DataFrame:
         jumped = nearer.join(
             labels.select(F.col("id").alias("next"), F.col("root").alias("beyond")), "next", "left"
         ).select("id", "root", F.least("next", F.coalesce("beyond", "next")).alias("next"))
-        new = stored(jumped, "labels")
+        new = stored(in_few_files(jumped), "labels")
         if new.filter("root != next").isEmpty():
             return labels
         labels = new.select("id", F.col("next").alias("root"))
@@ -343,16 +346,16 @@ def set_links(sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """
     rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "name")
     classes = stored(
-        sets.filter("n > 0").groupBy("id", "n").agg(
+        in_few_files(sets.filter("n > 0").groupBy("id", "n").agg(
             F.min("doc_id").alias("least"), F.min(rank).alias("first"), F.count(F.lit(1)).alias("size"),
             F.first("shared", ignorenulls=True).alias("shared"), F.first("prefix", ignorenulls=True).alias("prefix"),
-        ),
+        )),
         "classes",
     )
     # Each pair of blocks counts links of its own. Summed up they are few rows, which fill few files instead
     # of one for each task: of every file that Hadoop makes in a local folder, it starts several processes.
     found = links(classes.filter("prefix IS NOT NULL"))
-    linked = stored(found.groupBy("id", "to").agg(F.sum("links").alias("links")), "links")
+    linked = stored(in_few_files(found.groupBy("id", "to").agg(F.sum("links").alias("links"))), "links")
     return classes, linked, components(linked)
 
 
@@ -413,4 +416,4 @@ def first_of_each(docs: DataFrame) -> DataFrame:
         F.when(F.col("text").isNull(), True).when(F.substring("text", 1, 32).rlike(_WORD), False)
         .otherwise(~F.col("text").rlike(_WORD))
     )
-    return kept.select("row.*").unionByName(wordless)
+    return in_few_files(kept.select("row.*").unionByName(wordless), TEXT_WRITERS)

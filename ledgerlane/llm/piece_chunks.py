@@ -12,13 +12,18 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from ledgerlane.llm.common import give_back
+
 MARK = "▁"
 
 # What usual normalizers change: compatibility characters, wide letters, combining marks, runs of spaces.
 PROBE = "a  ﬁ ½ Ａ ２ e\u0301 Å \u00a0x\u3000 ①"
 
-# A task's table is emptied when it holds this many chunks; each is then segmented again when met.
-TABLE_CHUNKS = 400_000
+# A worker's table is emptied when it holds this many chunks; each is then segmented again when met.
+TABLE_CHUNKS = 100_000
+
+# Texts that are Python strings at a time.
+STRINGS = 500
 
 
 class ChunkTable:
@@ -106,14 +111,20 @@ def _converted(model_file: str, finish: Callable, schema: pa.Schema) -> Callable
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model_file)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            rows = [finish(*table.convert(t or "")) for t in texts]
+            texts = batch.column("text")
+            rows = [
+                finish(*table.convert(t or ""))
+                for first in range(0, len(texts), STRINGS) for t in texts.slice(first, STRINGS).to_pylist()
+            ]
             found = zip(*rows, strict=True) if rows else [[]] * (len(schema) - 1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").cast(schema.field(0).type)]
                 + [pa.array(list(c), f.type) for c, f in zip(found, list(schema)[1:], strict=True)],
                 schema=schema,
             )
+            # Else they would be held while the next batch is read.
+            del batch, texts, rows, found
+            give_back()
 
     return convert
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import held_out, labelled_sample, stored, utf8
+from ledgerlane.llm.common import give_back, held_out, in_few_files, labelled_sample, stored, utf8
 
 # Labelled rows that insult stems and weights are learned from, at most.
 FIT_ROWS = 20_000
@@ -351,7 +351,7 @@ def _measured(grammar: Grammar, batches: Iterator[pa.RecordBatch]) -> Iterator[p
 
 def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Grammar:
     """Learn stems and weights from at most `rows` labelled rows."""
-    sample = stored(labelled_sample(docs, labels, "toxic", rows), "labelled")
+    sample = stored(in_few_files(labelled_sample(docs, labels, "toxic", rows)), "labelled")
     weights, bias = prior()
     grammar = Grammar(fixed_symbols(), learn_stems(sample), weights, bias)
     found = sample.mapInArrow(partial(_measured, grammar), "x array<double>, label int").toPandas()
@@ -367,6 +367,9 @@ def score_of(text: Column, grammar: Grammar) -> Column:
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield pa.array(grammar.score(grammar.table(texts)), pa.float64())
+            # Else they would be held while the next batch is read.
+            del texts
+            give_back()
 
     return F.arrow_udf(score, "double", F.ArrowUDFType.SCALAR_ITER)(text)
 
